@@ -1,0 +1,69 @@
+"""Equi-join that survives a key holding a large share of one side."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from shoreline.session import fits_broadcast
+
+SALT = "_salt"
+
+
+def hottest_keys(df: DataFrame, keys: Sequence[str], most: int, min_rows: int) -> list[tuple]:
+    """At most ``most`` keys, those with the most rows, each having ``min_rows`` or more.
+
+    The counts are pre-aggregated per task and only ``most`` rows reach the driver.
+    """
+    counts = df.select(*keys).dropna(subset=list(keys)).groupBy(*keys).count()
+    top = counts.filter(F.col("count") >= min_rows).orderBy(F.desc("count")).limit(most)
+    return [tuple(row[k] for k in keys) for row in top.collect()]
+
+
+def _is_any(keys: Sequence[str], values: list[tuple]) -> Column:
+    if not values:
+        return F.lit(False)
+    if len(keys) == 1:
+        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
+    same = [
+        reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(x)) for k, x in zip(keys, v)])
+        for v in values
+    ]
+    return reduce(Column.__or__, same)
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    *,
+    salts: int = 64,
+    most: int = 64,
+    min_rows: int = 1_000_000,
+) -> DataFrame:
+    """``left.join(right, keys, how)`` with the hot keys of ``left`` spread over many tasks.
+
+    When Catalyst's own size check lets it broadcast the right side there is no shuffle to skew
+    and the join is left alone. Otherwise rows of the hottest keys get one of ``salts`` numbers
+    from a hash of the row (stable under task retries) and the right rows of just those keys are
+    repeated once per number. The result does not depend on which keys count as hot.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"skew_join supports inner and left, not {how}")
+    keys = list(keys)
+    if fits_broadcast(right) or (how == "inner" and fits_broadcast(left)):
+        return left.join(right, keys, how)
+    hot = hottest_keys(left, keys, most, min_rows)
+    if not hot and how == "inner":
+        return left.join(right, keys, how)
+    number = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = _is_any(keys, hot)
+    if how == "left":  # unmatched NULL keys would otherwise all meet in one task
+        spread = spread | reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    salted_left = left.withColumn(SALT, F.when(spread, number).otherwise(F.lit(0)))
+    copies = F.when(_is_any(keys, hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted_right = right.withColumn(SALT, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)

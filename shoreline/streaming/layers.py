@@ -1,0 +1,110 @@
+"""A table that is cheap to write in small batches: a compacted base plus one folder per batch.
+
+A batch adds a folder of already reduced rows and touches nothing else, so a micro-batch costs
+what it brings in, not what the table holds. Readers merge base and folders; ``compact`` folds the
+folders into a new base from time to time. A batch that is replayed after a crash finds its
+folder complete and is skipped. One writer per table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from shoreline.session import file_system
+from shoreline.sources import tables
+
+THROUGH = "shoreline.through"
+
+
+class LayeredTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        schema: T.StructType,
+        cluster_by: Sequence[str] = (),
+        buckets: int = 0,
+    ):
+        namespace, _, table = name.rpartition(".")
+        tables.ensure_namespace(spark, namespace)
+        root = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
+        self.spark, self.name, self.schema = spark, name, schema
+        self.base_name = f"{name}__base"
+        self.folder = f"{root}/{table}__layers"
+        self.cluster_by = cluster_by
+        self.buckets = buckets
+
+    def through(self) -> int:
+        """The last batch contained in the base."""
+        found = tables.table_property(self.spark, self.base_name, THROUGH)
+        return -1 if found is None else int(found)
+
+    def _is_complete(self, batch: int) -> bool:
+        fs, marker = file_system(self.spark, f"{self.folder}/batch={batch}/_SUCCESS")
+        return fs.exists(marker)
+
+    def _batches(self) -> list[int]:
+        fs, root = file_system(self.spark, self.folder)
+        if not fs.exists(root):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch="))
+
+    def pending(self) -> list[int]:
+        """Complete batches that are not in the base yet."""
+        through = self.through()
+        return [b for b in self._batches() if b > through and self._is_complete(b)]
+
+    def append(self, rows: DataFrame, batch: int) -> bool:
+        """Write a batch's rows unless that batch is already there."""
+        if batch <= self.through() or self._is_complete(batch):
+            return False
+        columns = rows.select(*self.schema.names)
+        columns.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
+        return True
+
+    def base(self) -> DataFrame | None:
+        if not tables.table_exists(self.spark, self.base_name):
+            return None
+        return tables.read_table(self.spark, self.base_name)
+
+    def layers(self, batches: Sequence[int]) -> DataFrame | None:
+        if not batches:
+            return None
+        paths = [f"{self.folder}/batch={b}" for b in batches]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
+    def merged(self, base: DataFrame | None, layers: DataFrame | None) -> DataFrame:
+        """Base and layers as one table; subclasses say how rows of equal key combine."""
+        raise NotImplementedError
+
+    def rows(self) -> DataFrame:
+        return self.merged(self.base(), self.layers(self.pending()))
+
+    def compact(self) -> int:
+        """Fold the complete batches into a new base; returns how many there were.
+
+        The folders folded now stay until the next compaction, for readers already using them.
+        """
+        pending = self.pending()
+        if not pending:
+            return 0
+        before = self.through()
+        tables.overwrite_table(
+            self.spark,
+            self.merged(self.base(), self.layers(pending)).select(*self.schema.names),
+            self.base_name,
+            cluster_by=self.cluster_by if self.buckets else (),
+            buckets=self.buckets,
+            properties={THROUGH: str(pending[-1])},
+        )
+        for batch in self._batches():
+            if batch <= before:
+                fs, path = file_system(self.spark, f"{self.folder}/batch={batch}")
+                fs.delete(path, True)
+        return len(pending)
