@@ -14,7 +14,6 @@ LENIENT_PATTERNS = (
     "dd/MM/yyyy",
     "yyyy/MM/dd HH:mm:ss",
     "yyyyMMddHHmmss",
-    "EEE, dd MMM yyyy HH:mm:ss Z",
 )
 
 

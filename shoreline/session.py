@@ -33,7 +33,7 @@ def file_system(spark: SparkSession, path: str):
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate. An upper-leaning guess: joins multiply their inputs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame) -> bool:
