@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The strict source pattern, and the layouts the lenient parser accepts
 # besides ISO 8601 (which Spark reads without a pattern).
@@ -35,3 +35,11 @@ def best_effort(
 
 def hour(value: Column) -> Column:
     return F.date_trunc("hour", value.cast("timestamp"))
+
+
+def bound(df: DataFrame, name: str, value: Column) -> Column:
+    """A time to compare a column with, in the column's own type.
+
+    Were the types to differ, the cast would land on the column and keep the filter from the scan.
+    """
+    return value.cast(df.schema[name].dataType)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shoreline.functions.timestamps import bound
 from shoreline.operators.skew import skew_join
 
 
@@ -14,10 +15,11 @@ def recent(
 ) -> DataFrame:
     """Rows changed in the last minutes. ``now`` defaults to the query's current time.
 
-    The comparison keeps the column bare so the source can evaluate it.
+    The comparison leaves the column bare so that the source can evaluate it.
     """
     now = F.current_timestamp() if now is None else now
-    return live.filter(F.col(updated) > now - F.make_interval(mins=F.lit(minutes)))
+    since = now - F.make_dt_interval(mins=F.lit(minutes))
+    return live.filter(F.col(updated) > bound(live, updated, since))
 
 
 def with_history(

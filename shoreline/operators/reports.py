@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoreline.functions.timestamps import hour
+from shoreline.functions.timestamps import bound, hour
 from shoreline.operators.skew import skew_join
 
 MONEY = "decimal(38,2)"
@@ -117,7 +117,7 @@ def category_sales_listing(
         F.sum(_sales_or_default(null_sales)).cast(MONEY).alias("sales")
     )
     names = products.groupBy("category", "product_name").agg(F.count(F.lit(1)).alias("times"))
-    listing = skew_join(names, sales, ["category"]).select(
+    listing = skew_join(names, sales, ["category"], hot_in=products).select(
         "category",
         "product_name",
         (F.col("times").cast("decimal(18,0)") * F.col("sales")).cast(MONEY).alias("total_sales"),
@@ -140,7 +140,7 @@ def sales_count(fact_sales: DataFrame) -> DataFrame:
 def hourly_revenue(orders: DataFrame, since: str | None = None) -> DataFrame:
     """Orders and revenue per hour. ``since`` reaches the scan as a pushed-down filter."""
     if since is not None:
-        orders = orders.filter(F.col("pedido_em") >= F.lit(since).cast("timestamp"))
+        orders = orders.filter(F.col("pedido_em") >= bound(orders, "pedido_em", F.lit(since)))
     return (
         orders.groupBy(hour(F.col("pedido_em")).alias("hora"))
         .agg(

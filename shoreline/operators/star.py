@@ -95,10 +95,11 @@ def fact_sales_category(
         return (F.col(amount) * F.col(repeats).cast("decimal(18,0)")).cast(MONEY)
 
     by_category = (
-        skew_join(per_pair, categories, ["product_id"])
+        skew_join(per_pair, categories, ["product_id"], hot_in=stg)
         .groupBy("user_id", "category")
         .agg(F.sum(times("amount", "repeats")).cast(MONEY).alias("amount"))
     )
-    return skew_join(by_category, people, ["user_id"]).select(
+    # At most one row per category and user is left, so no user is hot any more.
+    return by_category.join(people, "user_id").select(
         "user_id", "category", times("amount", "repeats").alias("sales_amount")
     )

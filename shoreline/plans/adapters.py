@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shoreline.functions.timestamps import bound
 from shoreline.operators import cdc
 from shoreline.operators.skew import skew_join
 
@@ -19,7 +20,7 @@ def orders(source: DataFrame) -> DataFrame:
     return source.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("timestamp").alias("pedido_em"),
+        F.col("o_orderdate").alias("pedido_em"),
         F.col("o_totalprice").cast(MONEY).alias("valor"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -30,7 +31,7 @@ def event_orders(source: DataFrame) -> DataFrame:
     return source.select(
         F.col("event_id").alias("order_id"),
         F.col("user_id").alias("customer_id"),
-        F.col("ts").cast("timestamp").alias("pedido_em"),
+        F.col("ts").alias("pedido_em"),
         F.col("value").cast(MONEY).alias("valor"),
         F.col("event_type").alias("status"),
     )
@@ -52,7 +53,8 @@ def sales(lineitem: DataFrame, part: DataFrame, order: DataFrame, customer: Data
         ["c_custkey"],
     )
     parts = part.select("p_partkey", "p_name", "p_type", "p_brand")
-    joined = skew_join(skew_join(lines, parts, ["p_partkey"]), buyers, ["o_orderkey"])
+    described = skew_join(lines, parts, ["p_partkey"])
+    joined = skew_join(described, buyers, ["o_orderkey"], hot_in=lines)
     product, user = F.col("p_partkey").cast("string"), F.col("c_custkey").cast("string")
     return joined.select(
         F.concat(F.lit("P"), product).alias("product_id"),
@@ -155,7 +157,7 @@ def envelope(events: DataFrame) -> DataFrame:
 def customer_history(order: DataFrame) -> DataFrame:
     """What the lake knows of each customer, from the whole orders table."""
     return order.groupBy(F.col("o_custkey").alias("customer_id")).agg(
-        F.count_if(F.col("o_orderdate") >= F.lit("2001-05-03").cast("timestamp"))
+        F.count_if(F.col("o_orderdate") >= bound(order, "o_orderdate", F.lit("2001-05-03")))
         .cast("int")
         .alias("pedidos_ultimos_90d"),
         F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("int").alias("chargebacks"),
@@ -166,7 +168,7 @@ def live_orders(order: DataFrame) -> DataFrame:
     return order.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderstatus").alias("status"),
-        F.col("o_orderdate").cast("timestamp").alias("updated_at"),
+        F.col("o_orderdate").alias("updated_at"),
         F.col("o_custkey").alias("customer_id"),
     )
 
@@ -175,6 +177,6 @@ def live_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("order_id"),
         F.col("event_type").alias("status"),
-        F.col("ts").cast("timestamp").alias("updated_at"),
+        F.col("ts").alias("updated_at"),
         F.col("user_id").alias("customer_id"),
     )

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shoreline.functions import cleaning
+from shoreline.functions.timestamps import bound
 from shoreline.operators import cdc, contracts, federate, quality, query, reports, star
 from shoreline.operators.dedup import duplicate_counts, keep_latest
 from shoreline.plans import adapters, pipeline
@@ -136,60 +137,53 @@ def stg_upsert(spark, sf_dir):
 
 # Star schema ----------------------------------------------------------------------------------
 
-_staged: dict[tuple[str, str], str] = {}
+_built: dict[tuple[str, str], str] = {}
 
 
-def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table, written once per session as the job graph does; later jobs read it."""
+def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema's tables, built once per session; as in the job graph, later jobs and the
+    dashboards read stored tables."""
     where = (spark.sparkContext.applicationId, sf_dir)
-    if where not in _staged:
-        name = f"{fresh_namespace(spark, 'star')}.stg_sales"
-        pipeline.stage(spark, adapters.sales_raw(spark, sf_dir), name, SALE_KEY, SALE_ORDER)
-        _staged[where] = name
-    return tables.read_table(spark, _staged[where])
+    if where not in _built:
+        namespace = fresh_namespace(spark, "star")
+        raw = adapters.sales_raw(spark, sf_dir)
+        pipeline.run_star_schema(spark, raw, namespace, SALE_KEY, SALE_ORDER)
+        _built[where] = namespace
+    names = [pipeline.STAGING, *quality.DIMENSION_RULES, *quality.FACT_RULES]
+    return {n: tables.read_table(spark, f"{_built[where]}.{n}") for n in names}
 
 
 @registered
 def stg_sales(spark, sf_dir):
-    return staged_sales(spark, sf_dir)
+    return stored_star(spark, sf_dir)["stg_sales"]
 
 
 @registered
 def dim_product(spark, sf_dir):
-    return star.dim_product(staged_sales(spark, sf_dir))
+    return star.dim_product(stored_star(spark, sf_dir)["stg_sales"])
 
 
 @registered
 def dim_user(spark, sf_dir):
-    return star.dim_user(staged_sales(spark, sf_dir))
+    return star.dim_user(stored_star(spark, sf_dir)["stg_sales"])
 
 
 @registered
 def dim_rating(spark, sf_dir):
-    return star.dim_rating(staged_sales(spark, sf_dir))
-
-
-def _facts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    stg = staged_sales(spark, sf_dir)
-    products, users, ratings = star.dim_product(stg), star.dim_user(stg), star.dim_rating(stg)
-    return {
-        "dim_product": products,
-        "dim_user": users,
-        "dim_rating": ratings,
-        "fact_product_rating": star.fact_product_rating(stg, products, ratings),
-        "fact_sales_category": star.fact_sales_category(stg, products, users),
-    }
+    return star.dim_rating(stored_star(spark, sf_dir)["stg_sales"])
 
 
 @registered
 def fact_product_rating(spark, sf_dir):
-    fact = _facts(spark, sf_dir)["fact_product_rating"]
+    t = stored_star(spark, sf_dir)
+    fact = star.fact_product_rating(t["stg_sales"], t["dim_product"], t["dim_rating"])
     return fact.withColumn("avg_rating", F.round("avg_rating", 6))
 
 
 @registered
 def fact_sales_category(spark, sf_dir):
-    return _facts(spark, sf_dir)["fact_sales_category"]
+    t = stored_star(spark, sf_dir)
+    return star.fact_sales_category(t["stg_sales"], t["dim_product"], t["dim_user"])
 
 
 @registered
@@ -216,14 +210,14 @@ def pipeline_star(spark, sf_dir):
 
 @registered
 def dash_rating_by_category(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     top = reports.rating_by_category(t["fact_product_rating"], t["dim_product"])
     return top.withColumn("avg_rating", F.round("avg_rating", 6))
 
 
 @registered
 def dash_sales_rating(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     return reports.sales_rating_by_category(
         t["dim_product"], t["dim_rating"], t["fact_sales_category"]
     )
@@ -231,20 +225,20 @@ def dash_sales_rating(spark, sf_dir):
 
 @registered
 def dash_rating_by_product(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     listing = reports.rating_by_product(t["fact_product_rating"], t["dim_product"])
     return listing.withColumn("avg_rating", F.round("avg_rating", 6))
 
 
 @registered
 def dash_category_listing(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     return reports.category_sales_listing(t["fact_sales_category"], t["dim_product"])
 
 
 @registered
 def dash_category_top(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     return reports.category_sales_listing(
         t["fact_sales_category"], t["dim_product"], true_top_n=True
     )
@@ -252,12 +246,12 @@ def dash_category_top(spark, sf_dir):
 
 @registered
 def dash_total_sales(spark, sf_dir):
-    return reports.total_sales(_facts(spark, sf_dir)["fact_sales_category"])
+    return reports.total_sales(stored_star(spark, sf_dir)["fact_sales_category"])
 
 
 @registered
 def dash_sales_count(spark, sf_dir):
-    return reports.sales_count(_facts(spark, sf_dir)["fact_sales_category"])
+    return reports.sales_count(stored_star(spark, sf_dir)["fact_sales_category"])
 
 
 # Quality --------------------------------------------------------------------------------------
@@ -265,7 +259,7 @@ def dash_sales_count(spark, sf_dir):
 
 @registered
 def dq_report(spark, sf_dir):
-    t = _facts(spark, sf_dir)
+    t = stored_star(spark, sf_dir)
     rules = {**quality.DIMENSION_RULES, **quality.FACT_RULES}
     result = quality.report({name: t[name] for name in rules}, rules)
     return result.withColumn("observed", F.round("observed", 6))
@@ -326,7 +320,7 @@ def mv_incremental(spark, sf_dir):
     """Two batches of events, the second after a compaction, and a replay of the second."""
     rows = _event_orders(spark, sf_dir)
     view = revenue_view(spark, f"{fresh_namespace(spark, 'mv')}.receita_por_hora", rows)
-    early = F.col("pedido_em") < F.lit(SINCE).cast("timestamp")
+    early = F.col("pedido_em") < bound(rows, "pedido_em", F.lit(SINCE))
     view.apply_delta(rows.filter(early), 0)
     view.compact()
     view.apply_delta(rows.filter(~early), 1)
@@ -422,7 +416,7 @@ def replica_snapshot(spark, sf_dir):
     later = _event_orders(spark, sf_dir).withColumns(
         {
             "op": F.when(F.col("status") == "error", "d").otherwise("u"),
-            "ts_ms": F.unix_millis("pedido_em"),
+            "ts_ms": F.unix_millis(F.col("pedido_em").cast("timestamp")),
         }
     )
     return cdc.state_from_log(copy.unionByName(later), ["order_id"])
@@ -535,7 +529,7 @@ def table_overwrite(spark, sf_dir):
 def table_bulk_load(spark, sf_dir):
     namespace = fresh_namespace(spark, "tables")
     folder = shared_folder(spark, "seed")
-    landing.write_parquet(_orders(spark, sf_dir), folder)
+    landing.write_parquet(contracts.conform(_orders(spark, sf_dir), contracts.ORDERS), folder)
     tables.ensure_table(spark, f"{namespace}.vendas", contracts.ORDERS)
     tables.bulk_load(spark, folder, f"{namespace}.vendas")
     return tables.read_table(spark, f"{namespace}.vendas")

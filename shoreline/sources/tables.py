@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from shoreline.session import fits_broadcast
 
 CURRENT = "shoreline.version"
-KEEP_VERSIONS = 3
+# The current version and the one before, for readers that started on it.
+KEEP_VERSIONS = 2
 
 
 class SchemaMismatchError(ValueError):

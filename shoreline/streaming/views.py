@@ -80,10 +80,9 @@ class AggregateView(LayeredTable):
         return self.append(self.delta(rows), batch)
 
     def merged(self, base: DataFrame | None, layers: DataFrame | None) -> DataFrame:
-        parts = [part for part in (base, layers) if part is not None]
-        if not parts:
-            return self.empty()
-        states = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if layers is None:  # a base holds each group once already
+            return self.empty() if base is None else base
+        states = layers if base is None else base.unionByName(layers)
         totals = [F.sum(self.count).alias(self.count)]
         for out in self.sums:
             filled = self._filled(out)
