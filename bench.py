@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoreline.operators import reports
 from shoreline.plans import adapters, registry
+from shoreline.sources import tables
 
 RUNS = 20
 
@@ -63,10 +64,11 @@ def main() -> None:
     for name, query in registry.QUERIES.items():
         timings[name] = seconds(lambda: execute(query(spark, sf_dir)))
 
-    events = adapters.event_orders(adapters.table(spark, sf_dir, "events"))
-    view = registry.revenue_view(
-        spark, f"{registry.fresh_namespace(spark, 'bench')}.receita_por_hora", events
-    )
+    namespace = registry.fresh_namespace(spark, "bench")
+    given = adapters.event_orders(adapters.table(spark, sf_dir, "events"))
+    tables.overwrite_table(spark, given, f"{namespace}.vendas")
+    events = tables.read_table(spark, f"{namespace}.vendas")
+    view = registry.revenue_view(spark, f"{namespace}.receita_por_hora", events)
     view.apply_delta(events, 0)
     view.compact()
     stored = view.read()

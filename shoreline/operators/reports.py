@@ -22,20 +22,17 @@ def _sales_or_default(null_sales: int) -> Column:
 def rating_by_category(fact_rating: DataFrame, products: DataFrame, top: int = 10) -> DataFrame:
     """Mean of the products' average ratings per category, best first.
 
-    A product listed several times weighs as often as the plain join would repeat it.
+    The fact is reduced to one row per product, so that each dimension row meets at most one and
+    a product listed several times weighs as often as the plain join would repeat it.
     """
     per_product = fact_rating.groupBy("product_id").agg(
         F.sum("avg_rating").alias("total"), F.count("avg_rating").alias("n")
     )
-    listed = products.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("times"))
+    listed = products.select("product_id", "category")
     return (
-        listed.join(per_product, "product_id")
+        skew_join(listed, per_product, ["product_id"])
         .groupBy("category")
-        .agg(
-            F.try_divide(
-                F.sum(F.col("total") * F.col("times")), F.sum(F.col("n") * F.col("times"))
-            ).alias("avg_rating")
-        )
+        .agg(F.try_divide(F.sum("total"), F.sum("n")).alias("avg_rating"))
         .orderBy(F.desc("avg_rating"), "category")
         .limit(top)
     )
@@ -61,16 +58,14 @@ def sales_rating_by_category(
         F.count("rating").alias("rated"),
         F.sum("rating").cast(MONEY).alias("rating_sum"),
     )
-    listed = products.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("times"))
+    listed = products.select("product_id", "category")
     per_category = (
-        listed.join(rated, "product_id", "left")
+        skew_join(listed, rated, ["product_id"], "left")
         .groupBy("category")
         .agg(
-            F.sum(F.col("times") * F.coalesce("rating_rows", F.lit(1))).alias("joined_rows"),
-            F.sum(F.col("times") * F.col("rated")).alias("rated"),
-            F.sum((F.col("times").cast("decimal(18,0)") * F.col("rating_sum")).cast(MONEY))
-            .cast("double")
-            .alias("rating_sum"),
+            F.sum(F.coalesce("rating_rows", F.lit(1))).alias("joined_rows"),
+            F.sum("rated").alias("rated"),
+            F.sum("rating_sum").cast("double").alias("rating_sum"),
         )
     )
     sales = fact_sales.groupBy("category").agg(
@@ -137,10 +132,18 @@ def sales_count(fact_sales: DataFrame) -> DataFrame:
     return fact_sales.agg(F.count(F.lit(1)).alias("total_sales"))
 
 
-def hourly_revenue(orders: DataFrame, since: str | None = None) -> DataFrame:
-    """Orders and revenue per hour. ``since`` reaches the scan as a pushed-down filter."""
+def hourly_revenue(
+    orders: DataFrame, since: str | None = None, day_column: str | None = None
+) -> DataFrame:
+    """Orders and revenue per hour.
+
+    ``since`` reaches the scan as a pushed-down filter. Over a table stored by day, naming its
+    ``day_column`` also skips the folders of earlier days.
+    """
     if since is not None:
         orders = orders.filter(F.col("pedido_em") >= bound(orders, "pedido_em", F.lit(since)))
+        if day_column is not None:
+            orders = orders.filter(F.col(day_column) >= F.to_date(F.lit(since).cast("timestamp")))
     return (
         orders.groupBy(hour(F.col("pedido_em")).alias("hora"))
         .agg(

@@ -226,8 +226,8 @@ def _row_counts(names: str) -> str:
 
 # Outputs that are exact decimals; shown as doubles on both sides.
 DECIMAL_OUTPUTS = {
-    "receita": "hourly_revenue hourly_revenue_since hourly_revenue_newest mv_incremental"
-    " mv_state_merge mv_stream",
+    "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
+    " mv_incremental mv_state_merge mv_stream",
     "valor": "stg_upsert replica_snapshot table_overwrite table_bulk_load land_gzip",
     "rating": "dim_rating",
     "sales_amount": "fact_sales_category",
@@ -257,6 +257,8 @@ def _lost_values() -> str:
 SQL: dict[str, str] = {
     "hourly_revenue": HOURLY_ALL,
     "hourly_revenue_since": f"""{HOURLY}
+WHERE pedido_em >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1 ORDER BY 1""",
+    "hourly_revenue_by_day": f"""{HOURLY}
 WHERE pedido_em >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1 ORDER BY 1""",
     "hourly_revenue_newest": f"{HOURLY} GROUP BY 1 ORDER BY 1 DESC LIMIT 5",
     "contract_conform": f"""WITH {TEXT}

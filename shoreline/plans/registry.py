@@ -88,6 +88,14 @@ def hourly_revenue_since(spark, sf_dir):
     return reports.hourly_revenue(_event_orders(spark, sf_dir), since=SINCE)
 
 
+@registered
+def hourly_revenue_by_day(spark, sf_dir):
+    """The same from a copy stored by day, reading only the folders from that day on."""
+    path = f"{shared_folder(spark, 'by_day')}/vendas"
+    landing.write_by_day(_event_orders(spark, sf_dir), path, "pedido_em")
+    return reports.hourly_revenue(landing.read_landing(spark, path), SINCE, "dia")
+
+
 @registered
 def hourly_revenue_newest(spark, sf_dir):
     return reports.newest_hours(reports.hourly_revenue(_event_orders(spark, sf_dir)))

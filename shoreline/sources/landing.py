@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +20,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_by_day(df: DataFrame, path: str, ts_col: str, day_column: str = "dia") -> None:
+    """Parquet in one folder per day, sorted by time inside each file.
+
+    The rebalance hint gathers a day's rows into few files and, with adaptive execution, splits a
+    day that is much larger than the others over several tasks.
+    """
+    dated = df.withColumn(day_column, F.to_date(ts_col)).hint("rebalance", day_column)
+    dated = dated.sortWithinPartitions(day_column, ts_col)
+    dated.write.mode("overwrite").partitionBy(day_column).parquet(path)
+
+
 def landing_path(folder: str, schema: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{schema}/{table}"
 

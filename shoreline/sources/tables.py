@@ -93,6 +93,9 @@ def _write_version(
     if cluster_by:
         # One task per bucket, hence one sorted file per bucket.
         df = df.repartition(buckets, *cluster_by)
+    elif partition_by:
+        # Few files per folder; adaptive execution splits a folder that outgrows the others.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
