@@ -1,0 +1,88 @@
+import pytest
+
+from conftest import plan
+from shoreline.operators import quality as q
+
+
+@pytest.fixture
+def users(spark):
+    return spark.createDataFrame(
+        [("u1", "a"), ("u2", "b")], "user_id string, user_name string"
+    )
+
+
+def results(df, rules):
+    found = q.evaluate(df, rules, "t").collect()
+    return {(r["rule"], r["column_name"]): (r["observed"], r["passed"]) for r in found}
+
+
+def test_rule_set_sizes():
+    count = lambda kind, rules: sum(type(r) is kind for rs in rules.values() for r in rs)
+    dims, facts = q.DIMENSION_RULES, q.FACT_RULES
+    assert [count(k, dims) for k in (q.ColumnExists, q.NotNull, q.UniqueProportion, q.RowCount, q.OfType, q.InRange)] == [12, 9, 2, 3, 10, 0]
+    assert [count(k, facts) for k in (q.ColumnExists, q.NotNull, q.UniqueProportion, q.RowCount, q.OfType, q.InRange)] == [6, 6, 0, 2, 4, 1]
+
+
+def test_clean_table_passes(users):
+    report = q.gate({"dim_user": users}, q.DIMENSION_RULES)
+    assert len(report) == 8 and all(row[-1] for row in report)
+
+
+def test_null_and_duplicate_users_fail_two_named_rules(spark, users):
+    bad = users.union(spark.createDataFrame([(None, "c"), ("u1", "d")], users.schema))
+    with pytest.raises(q.QualityGateError) as error:
+        q.gate({"dim_user": bad}, q.DIMENSION_RULES)
+    assert "dim_user: NotNull(user_id), UniqueProportion(user_id)" in str(error.value)
+
+
+def test_failures_of_all_tables_are_reported_together(spark, users):
+    facts = spark.createDataFrame([("p", "n", 6.0)], "product_id string, product_name string, avg_rating double")
+    rules = {**q.DIMENSION_RULES, **q.FACT_RULES}
+    with pytest.raises(ValueError) as error:
+        q.gate({"dim_user": users.limit(0), "fact_product_rating": facts}, rules)
+    assert "dim_user: " in str(error.value) and "RowCount" in str(error.value)
+    assert "fact_product_rating: InRange(avg_rating)" in str(error.value)
+
+
+def test_empty_table(users):
+    got = results(users.limit(0), [q.NotNull("user_id"), q.UniqueProportion("user_id"), q.RowCount()])
+    assert got[("NotNull", "user_id")] == (0.0, True)
+    assert got[("UniqueProportion", "user_id")] == (0.0, False)
+    assert got[("RowCount", None)] == (0.0, False)
+
+
+def test_exactly_99_percent_unique_passes(spark):
+    df = spark.range(100).selectExpr("cast(greatest(id, 1) AS string) AS k")
+    assert results(df, [q.UniqueProportion("k")]) == {("UniqueProportion", "k"): (0.99, True)}
+    worse = spark.range(100).selectExpr("cast(greatest(id, 2) AS string) AS k")
+    assert not results(worse, [q.UniqueProportion("k")])[("UniqueProportion", "k")][1]
+
+
+def test_unique_proportion_leaves_nulls_out(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert results(df, [q.UniqueProportion("k")])[("UniqueProportion", "k")] == (1.0, True)
+    approximate = q.UniqueProportion("k", approximate=True)
+    assert results(df, [approximate])[("UniqueProportion", "k")] == (1.0, True)
+
+
+def test_range_ignores_nulls_and_includes_bounds(spark):
+    df = spark.createDataFrame([(0.0,), (5.0,), (None,)], "r double")
+    rule = q.InRange("r", 0, 5)
+    assert results(df, [rule])[("InRange", "r")] == (0.0, True)
+    above = df.union(spark.createDataFrame([(5.1,)], df.schema))
+    assert results(above, [rule])[("InRange", "r")] == (1.0, False)
+
+
+def test_missing_column_and_wrong_type_fail_without_breaking_the_rest(users):
+    got = results(users, [q.ColumnExists("x"), q.NotNull("x"), q.OfType("x"), q.OfType("user_id", "LongType"), q.RowCount()])
+    assert got[("ColumnExists", "x")] == (0.0, False)
+    assert got[("NotNull", "x")] == (None, False)
+    assert got[("OfType", "x")] == (None, False)
+    assert got[("OfType", "user_id")] == (0.0, False)
+    assert got[("RowCount", None)] == (2.0, True)
+
+
+def test_a_table_is_scanned_once_for_all_its_rules(spark, users, tmp_path):
+    users.write.parquet(f"{tmp_path}/u")
+    report = q.evaluate(spark.read.parquet(f"{tmp_path}/u"), q.DIMENSION_RULES["dim_user"], "dim_user")
+    assert plan(report).count("FileScan") == 1
