@@ -1,0 +1,136 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from shoreline.operators import cdc
+from shoreline.sources import changes
+
+
+def image(**fields):
+    return tuple(fields.get(name) for name in cdc.IMAGE_FIELDS)
+
+
+def envelope(spark, *events):
+    return spark.createDataFrame([tuple(e) for e in events], cdc.ENVELOPE)
+
+
+@pytest.fixture
+def events(spark):
+    old = image(event_id="e1", event_type="view", ip_address="1.2.3.4", event_timestamp="2024-01-02 03:04:05.000006")
+    new = image(event_id="e1", event_type="buy", os="linux", device_is_mobile=True, event_timestamp="2024-01-02 03:04:05")
+    key_only = image(event_id="e2")
+    return envelope(
+        spark,
+        (None, old, "c", 1),
+        (old, new, "u", 2),
+        (new, None, "d", 3),
+        (key_only, None, "d", 4),
+        (None, image(event_type="lost"), "c", 5),
+        (None, image(event_id="e3", event_type="snap", event_timestamp="garbage"), "r", 6),
+    )
+
+
+def test_field_lists():
+    assert (len(cdc.IMAGE_FIELDS), len(cdc.PERSONAL_FIELDS), len(cdc.STATE_FIELDS)) == (30, 9, 17)
+    assert set(cdc.PERSONAL_FIELDS) < set(cdc.IMAGE_FIELDS)
+
+
+def test_flatten_takes_before_for_deletes_and_after_otherwise(events):
+    flat = cdc.flatten_envelope(events)
+    assert flat.columns == [*cdc.IMAGE_FIELDS, "op", "ts_ms"]
+    got = [(r.event_id, r.event_type, r.op, r.ts_ms) for r in flat.orderBy("ts_ms").collect()]
+    assert got == [
+        ("e1", "view", "c", 1),
+        ("e1", "buy", "u", 2),
+        ("e1", "buy", "d", 3),
+        ("e2", None, "d", 4),
+        (None, "lost", "c", 5),
+        ("e3", "snap", "r", 6),
+    ]
+
+
+def test_flatten_reads_only_full_micro_second_times(events):
+    times = [r.event_timestamp for r in cdc.flatten_envelope(events).orderBy("ts_ms").collect()]
+    assert times == [datetime(2024, 1, 2, 3, 4, 5, 6), None, None, None, None, None]
+
+
+def test_personal_fields_are_dropped_before_output(events):
+    log = cdc.drop_columns(cdc.flatten_envelope(events))
+    assert len(log.columns) == 23 and not set(cdc.PERSONAL_FIELDS) & set(log.columns)
+    assert "os" in cdc.drop_columns(cdc.flatten_envelope(events), ["ip_address"]).columns
+
+
+def test_flattening_needs_no_shuffle(events):
+    assert "Exchange" not in plan(cdc.drop_columns(cdc.flatten_envelope(events)))
+
+
+def test_project_after_skips_deletes_and_rows_without_key(events):
+    live = cdc.project_after(events).orderBy("_ts_ms")
+    assert live.columns == [*cdc.STATE_FIELDS, "_op", "_ts_ms"] and len(live.columns) == 19
+    assert [(r.event_id, r.event_timestamp, r._op) for r in live.collect()] == [
+        ("e1", datetime(2024, 1, 2, 3, 4, 5), "c"),
+        ("e1", datetime(2024, 1, 2, 3, 4, 5), "u"),
+        ("e3", None, "r"),
+    ]
+
+
+LOG = "k string, v string, op string, ts_ms bigint"
+
+
+def test_latest_by_version_ignores_arrival_order_and_replays(spark):
+    log = [("a", "1", "c", 1), ("a", "2", "u", 2), ("b", "1", "c", 5), ("b", "2", "u", 5)]
+    forward = spark.createDataFrame(log, LOG)
+    backward = spark.createDataFrame(log[::-1] + log, LOG)
+    want = [("a", "2", "u", 2), ("b", "2", "u", 5)]
+    assert rows(cdc.latest_by_version(forward, ["k"], ["ts_ms"])) == want
+    assert rows(cdc.latest_by_version(backward, ["k"], ["ts_ms"])) == want
+
+
+def test_state_from_log_removes_deleted_keys_even_with_a_late_update(spark):
+    log = spark.createDataFrame(
+        [("a", "1", "c", 1), ("a", "1", "d", 9), ("a", "late", "u", 5), ("b", "1", "c", 1), ("c", "1", None, 1)], LOG
+    )
+    assert rows(cdc.state_from_log(log, ["k"])) == [("b", "1", "c", 1), ("c", "1", None, 1)]
+
+
+def test_latest_reduces_before_the_shuffle(spark):
+    log = spark.createDataFrame([("a", "1", "c", 1)], LOG)
+    steps = plan(cdc.latest_by_version(log, ["k"], ["ts_ms"]))
+    assert steps.index("partial_max") > steps.index("Exchange") and "Window" not in steps
+
+
+def test_snapshot_rows_come_before_their_changes(spark):
+    copy = cdc.snapshot_as_changes(spark.createDataFrame([("a", "1"), ("b", "1")], "k string, v string"), 100)
+    later = spark.createDataFrame([("a", "2", "u", 101), ("b", "1", "d", 102), ("c", "1", "c", 103)], LOG)
+    state = cdc.state_from_log(copy.unionByName(later), ["k"])
+    assert rows(state) == [("a", "2", "u", 101), ("c", "1", "c", 103)]
+
+
+def test_registry_header_is_five_bytes(spark):
+    message = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07body"),)], "value binary")
+    body = message.select(cdc.strip_confluent_header(F.col("value"))).first()[0]
+    assert bytes(body) == b"body"
+
+
+def _has_class(spark, name):
+    try:
+        spark._jvm.java.lang.Class.forName(name)
+        return True
+    except Exception:
+        return False
+
+
+def test_avro_decoding(spark):
+    if not _has_class(spark, "org.apache.spark.sql.avro.AvroDataToCatalyst"):
+        pytest.skip("Spark's avro module is not on the class path here")
+    schema = '{"type": "record", "name": "e", "fields": [{"name": "op", "type": "string"}]}'
+    message = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07\x02c"),)], "value binary")
+    assert rows(cdc.decode_avro(message, schema)) == [("c",)]
+
+
+def test_kafka_source(spark):
+    if not _has_class(spark, "org.apache.spark.sql.kafka010.KafkaSourceProvider"):
+        pytest.skip("Spark's Kafka connector is not on the class path here")
+    assert changes.read_change_stream(spark, "localhost:9092", "topic").isStreaming

@@ -1,0 +1,77 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shoreline.operators import contracts, quality
+from shoreline.plans import pipeline
+from shoreline.sources import landing
+
+
+def raw_reviews(spark, extra=()):
+    made = []
+    for product in range(1, 21):
+        for copy in range(1 + product % 3):
+            user = (product + copy) % 10 + 1
+            made.append((f"P{product:05d}", f"U{user:05d}", product, copy))
+    made += list(extra)
+    base = spark.createDataFrame(made, "product_id string, user_id string, n int, copy int")
+    return base.select(
+        "product_id",
+        F.concat(F.lit("Product "), "n").alias("product_name"),
+        F.concat(F.lit("C"), (F.col("n") % 5).cast("string")).alias("category"),
+        F.lit(9.0).alias("discounted_price"),
+        (F.col("n") * 10.5).alias("actual_price"),
+        F.lit(10.0).alias("discount_percentage"),
+        F.lit(4.5).alias("rating"),
+        (F.col("copy") + 10).alias("rating_count"),
+        F.lit("about").alias("about_product"),
+        "user_id",
+        F.concat(F.lit("Name of "), "user_id").alias("user_name"),
+        F.concat_ws("-R", "product_id", "copy").alias("review_id"),
+        F.lit("t").alias("review_title"),
+        F.lit("c").alias("review_content"),
+        F.lit("i").alias("img_link"),
+        F.lit("l").alias("product_link"),
+        F.lit("undeclared").alias("extra"),
+    )
+
+
+def test_whole_graph_from_a_landed_folder(spark, namespace, tmp_path):
+    path = landing.land(raw_reviews(spark), str(tmp_path), "public", "amazonsales")
+    made = pipeline.run_star_schema(spark, path, namespace, order_by=["rating_count"])
+    counts = {name: df.count() for name, df in made.items()}
+    assert counts["stg_sales"] == counts["dim_product"] == counts["dim_rating"] == 20
+    assert counts["fact_product_rating"] == 20
+    assert made["stg_sales"].schema == contracts.SALES
+    assert rows(made["fact_product_rating"])[0] == ("P00001", "Product 1", 4.5)
+    total = made["fact_sales_category"].agg(F.sum("sales_amount")).first()[0]
+    assert float(total) == 10.5 * sum(range(1, 21))
+    kept = made["stg_sales"].filter("product_id = 'P00002'").first()
+    assert kept.rating_count == 12
+
+
+def test_running_twice_gives_the_same_tables(spark, namespace):
+    raw = raw_reviews(spark)
+    first = {n: rows(t) for n, t in pipeline.run_star_schema(spark, raw, namespace).items()}
+    second = {n: rows(t) for n, t in pipeline.run_star_schema(spark, raw, namespace).items()}
+    assert first == second
+
+
+def test_composite_keys_keep_one_row_per_pair(spark, namespace):
+    made = pipeline.run_star_schema(spark, raw_reviews(spark), namespace, ["product_id", "user_id"])
+    pairs = raw_reviews(spark).select("product_id", "user_id").distinct().count()
+    assert made["stg_sales"].count() == made["dim_rating"].count() == pairs
+
+
+def test_failed_dimension_gate_stops_before_the_facts(spark, namespace):
+    raw = raw_reviews(spark, extra=[("P99999", None, 99, 0)])
+    with pytest.raises(quality.QualityGateError, match=r"NotNull\(user_id\)"):
+        pipeline.run_star_schema(spark, raw, namespace)
+    assert spark.catalog.tableExists(f"{namespace}.dim_user")
+    assert not spark.catalog.tableExists(f"{namespace}.fact_sales_category")
+
+
+def test_null_key_is_rejected(spark, namespace):
+    raw = raw_reviews(spark, extra=[(None, "U00001", 99, 0)])
+    with pytest.raises(Exception, match="NULL key in product_id"):
+        pipeline.run_star_schema(spark, raw, namespace)
