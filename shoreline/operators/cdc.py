@@ -65,13 +65,18 @@ def decode_avro(df: DataFrame, schema_json: str, value_col: str = "value") -> Da
 def flatten_envelope(df: DataFrame, timestamp_col: str | None = "event_timestamp") -> DataFrame:
     """One flat row per change: ``before`` for a delete, else ``after``, with ``op, ts_ms``.
 
-    ``timestamp_col`` is parsed with the strict pattern; other text becomes NULL.
+    ``timestamp_col`` is parsed with the strict pattern; other text becomes NULL. The image is
+    chosen field by field rather than as a whole, so a field dropped later is never read from
+    columnar files at all.
     """
-    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    rows = df.select(image.alias("row"), "op", "ts_ms").select("row.*", "op", "ts_ms")
-    if timestamp_col is None:
-        return rows
-    return rows.withColumn(timestamp_col, timestamps.strict(F.col(timestamp_col)))
+    deleted = F.col("op") == "d"
+    chosen = {
+        name: F.when(deleted, F.col(f"before.{name}")).otherwise(F.col(f"after.{name}"))
+        for name in df.schema["after"].dataType.names
+    }
+    if timestamp_col is not None:
+        chosen[timestamp_col] = timestamps.strict(chosen[timestamp_col])
+    return df.select(*[value.alias(name) for name, value in chosen.items()], "op", "ts_ms")
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str] = tuple(PERSONAL_FIELDS)) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoreline.functions.timestamps import bound
-from shoreline.operators.skew import skew_join
 
 
 def recent(
@@ -25,8 +24,12 @@ def recent(
 def with_history(
     live: DataFrame, history: DataFrame, key: str = "customer_id"
 ) -> DataFrame:
-    """Every live row with its history columns, NULL where there is none."""
-    return skew_join(live, history, [key], "left")
+    """Every live row with its history columns, NULL where there is none.
+
+    A plain join, so that the source is asked once; a customer holding much of it, or rows without
+    one, are split by adaptive execution, which nothing after the join prevents.
+    """
+    return live.join(history, key, "left")
 
 
 def lookup(

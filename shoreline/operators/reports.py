@@ -87,11 +87,10 @@ def sales_rating_by_category(
 def rating_by_product(fact_rating: DataFrame, products: DataFrame) -> DataFrame:
     """Every rated product, best first. The sort is by range over the full key, not the rating
     alone, so a rating shared by many products does not land in one task."""
-    return (
-        products.select("product_id", "product_name")
-        .join(fact_rating.select("product_id", "avg_rating"), "product_id")
-        .orderBy(F.desc("avg_rating"), "product_id", "product_name")
-    )
+    listed = products.select("product_id", "product_name")
+    rated = fact_rating.select("product_id", "avg_rating")
+    joined = skew_join(listed, rated, ["product_id"])
+    return joined.orderBy(F.desc("avg_rating"), "product_id", "product_name")
 
 
 def category_sales_listing(

@@ -50,10 +50,9 @@ def fact_product_rating(
     )
     staged = stg.select("product_id").distinct()
     names = products.select("product_id", "product_name").distinct()
-    return (
-        names.join(averages, "product_id")
-        .join(staged, "product_id", "left_semi")
-        .select("product_id", "product_name", "avg_rating")
+    rated = averages.join(staged, "product_id", "left_semi")
+    return skew_join(names, rated, ["product_id"], hot_in=products).select(
+        "product_id", "product_name", "avg_rating"
     )
 
 

@@ -70,18 +70,14 @@ dim_rating AS MATERIALIZED (
          CAST(rating_count AS BIGINT) AS rating_count
   FROM stg),
 fact_product_rating AS MATERIALIZED (
-  SELECT p.product_id, p.product_name, AVG(CAST(r.rating AS DOUBLE)) AS avg_rating
-  FROM stg s
-  JOIN dim_product p ON s.product_id = p.product_id
-  JOIN dim_rating r ON r.product_id = p.product_id
-  WHERE r.rating IS NOT NULL
-  GROUP BY p.product_id, p.product_name),
+  SELECT product_id, dim_product.product_name, AVG(CAST(dim_rating.rating AS DOUBLE)) AS avg_rating
+  FROM stg JOIN dim_product USING (product_id) JOIN dim_rating USING (product_id)
+  WHERE dim_rating.rating IS NOT NULL
+  GROUP BY ALL),
 fact_sales_category AS MATERIALIZED (
-  SELECT u.user_id, p.category, SUM(CAST(s.actual_price AS DECIMAL(10,2))) AS sales_amount
-  FROM stg s
-  JOIN dim_product p ON s.product_id = p.product_id
-  JOIN dim_user u ON s.user_id = u.user_id
-  GROUP BY u.user_id, p.category)"""
+  SELECT user_id, dim_product.category, SUM(CAST(actual_price AS DECIMAL(10,2))) AS sales_amount
+  FROM stg JOIN dim_product USING (product_id) JOIN dim_user USING (user_id)
+  GROUP BY ALL)"""
 
 BY_PAIR = _staged("product_id, user_id") + STAR
 BY_PRODUCT = _staged("product_id") + STAR
@@ -228,7 +224,7 @@ def _row_counts(names: str) -> str:
 DECIMAL_OUTPUTS = {
     "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
     " mv_incremental mv_state_merge mv_stream",
-    "valor": "stg_upsert replica_snapshot table_overwrite table_bulk_load land_gzip",
+    "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load land_gzip",
     "rating": "dim_rating",
     "sales_amount": "fact_sales_category",
     "total_sales": "dash_sales_rating dash_category_listing dash_category_top dash_total_sales",
@@ -289,32 +285,31 @@ SELECT product_id, product_name, round(avg_rating, 6) AS avg_rating FROM fact_pr
     ),
     "dash_rating_by_category": f"""WITH {BY_PAIR}
 SELECT category, round(avg_rating, 6) AS avg_rating FROM (
-  SELECT p.category, AVG(f.avg_rating) AS avg_rating
-  FROM fact_product_rating f JOIN dim_product p ON f.product_id = p.product_id
-  GROUP BY p.category ORDER BY avg_rating DESC, p.category LIMIT 10)""",
+  SELECT category, AVG(avg_rating) AS avg_rating
+  FROM fact_product_rating JOIN dim_product USING (product_id)
+  GROUP BY category ORDER BY 2 DESC, 1 LIMIT 10)""",
     "dash_sales_rating": f"""WITH {BY_PAIR}
-SELECT p.category, ROUND(AVG(r.rating), 2) AS avg_rating,
-       SUM(COALESCE(s.sales_amount, 10)) AS total_sales
-FROM dim_product p
-LEFT JOIN dim_rating r ON p.product_id = r.product_id
-LEFT JOIN fact_sales_category s ON p.category = s.category
-GROUP BY p.category ORDER BY avg_rating, total_sales DESC, p.category LIMIT 10""",
+SELECT category, round(AVG(rating), 2) AS avg_rating,
+       SUM(coalesce(sales_amount, 10)) AS total_sales
+FROM dim_product
+LEFT JOIN dim_rating USING (product_id) LEFT JOIN fact_sales_category USING (category)
+GROUP BY category ORDER BY 2, 3 DESC, 1 LIMIT 10""",
     "dash_rating_by_product": f"""WITH {BY_PAIR}
-SELECT p.product_id, p.product_name, round(f.avg_rating, 6) AS avg_rating
-FROM fact_product_rating f JOIN dim_product p ON f.product_id = p.product_id
-ORDER BY f.avg_rating DESC""",
+SELECT product_id, dim_product.product_name, round(avg_rating, 6) AS avg_rating
+FROM fact_product_rating JOIN dim_product USING (product_id)
+ORDER BY 3 DESC""",
     "dash_category_listing": f"""WITH {BY_PAIR}
-SELECT p.category, p.product_name, SUM(COALESCE(s.sales_amount, 10)) AS total_sales
-FROM fact_sales_category s JOIN dim_product p ON s.category = p.category
-GROUP BY p.category, p.product_name
-ORDER BY p.category, total_sales DESC, p.product_name LIMIT 10""",
+SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
+FROM fact_sales_category JOIN dim_product USING (category)
+GROUP BY ALL
+ORDER BY category, total_sales DESC, product_name LIMIT 10""",
     "dash_category_top": f"""WITH {BY_PAIR}
-SELECT p.category, p.product_name, SUM(COALESCE(s.sales_amount, 10)) AS total_sales
-FROM fact_sales_category s JOIN dim_product p ON s.category = p.category
-GROUP BY p.category, p.product_name
-ORDER BY total_sales DESC, p.category, p.product_name LIMIT 10""",
+SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
+FROM fact_sales_category JOIN dim_product USING (category)
+GROUP BY ALL
+ORDER BY total_sales DESC, category, product_name LIMIT 10""",
     "dash_total_sales": f"""WITH {BY_PAIR}
-SELECT SUM(COALESCE(sales_amount, 10)) AS total_sales FROM fact_sales_category""",
+SELECT SUM(coalesce(sales_amount, 10)) AS total_sales FROM fact_sales_category""",
     "dash_sales_count": f"WITH {BY_PAIR} SELECT COUNT(*) AS total_sales FROM fact_sales_category",
     "dq_report": _quality_report(),
     "cdc_flatten": f"WITH {CHANGES} SELECT * FROM flat",
@@ -323,6 +318,7 @@ SELECT SUM(COALESCE(sales_amount, 10)) AS total_sales FROM fact_sales_category""
     "cdc_latest_by_version": f"WITH {CHANGES}" + _newest("live", "_ts_ms", _TIES),
     "cdc_state_from_log": STATE,
     "cdc_stream_log": LOG,
+    "cdc_stream_state": f"WITH {CHANGES}" + _newest("live", "_ts_ms", _TIES),
     "mv_incremental": HOURLY_ALL,
     "mv_state_merge": HOURLY_ALL,
     "mv_stream": HOURLY_ALL,
@@ -364,6 +360,8 @@ GROUP BY o_custkey ORDER BY pedidos DESC, o_custkey LIMIT 100""",
     "land_gzip": f"WITH {EVENT_ORDERS} SELECT * FROM events_v",
 }
 
+SQL["replica_initial_load"] = SQL["replica_snapshot"]
+
 for _column, _names in DECIMAL_OUTPUTS.items():
     for _name in _names.split():
         SQL[_name] = (

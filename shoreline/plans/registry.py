@@ -66,8 +66,26 @@ def _event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.event_orders(adapters.table(spark, sf_dir, "events"))
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
+def landed_changes(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of captured change files, written once per session from the events; batch and
+    streaming queries read it the way they would read what a capture service delivers."""
+    where = (spark.sparkContext.applicationId, sf_dir)
+    if where not in _landed:
+        captured = adapters.envelope(adapters.table(spark, sf_dir, "events"))
+        folder = shared_folder(spark, "captured")
+        _landed[where] = landing.land(captured, folder, "public", "web_events")
+    return _landed[where]
+
+
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.envelope(adapters.table(spark, sf_dir, "events"))
+    return landing.read_landing(spark, landed_changes(spark, sf_dir))
+
+
+def _envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.read_file_stream(spark, landed_changes(spark, sf_dir), cdc.ENVELOPE)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,15 +324,26 @@ def cdc_state_from_log(spark, sf_dir):
 def cdc_stream_log(spark, sf_dir):
     """The event log written by a stream with a checkpoint, read back."""
     folder = shared_folder(spark, "log")
-    log = cdc.drop_columns(
-        cdc.flatten_envelope(adapters.envelope(_event_stream(spark, sf_dir)))
-    )
+    log = cdc.drop_columns(cdc.flatten_envelope(_envelope_stream(spark, sf_dir)))
     sinks.append_log(
         log, f"{folder}/checkpoint", f"{folder}/log", trigger={"availableNow": True}
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/log")
 
 
+@registered
+def cdc_stream_state(spark, sf_dir):
+    """The newest row per key kept by a stream that leaves deletes out."""
+    stream = cdc.project_after(_envelope_stream(spark, sf_dir))
+    name = f"{fresh_namespace(spark, 'state')}.web_events"
+    state = Mirror(
+        spark, name, stream.schema, ["event_id"], ["_ts_ms"], "_op", deletes="ignore", buckets=8
+    )
+    checkpoint = shared_folder(spark, "state_checkpoint")
+    state.stream(stream, checkpoint, {"availableNow": True}).awaitTermination()
+    return state.read()
+
+
 # Materialized view ----------------------------------------------------------------------------
 
 
@@ -408,18 +437,15 @@ def replica_mirror_keep_deleted(spark, sf_dir):
 
 @registered
 def replica_mirror_stream(spark, sf_dir):
-    stream = cdc.drop_columns(
-        cdc.flatten_envelope(adapters.envelope(_event_stream(spark, sf_dir)))
-    )
+    stream = cdc.drop_columns(cdc.flatten_envelope(_envelope_stream(spark, sf_dir)))
     mirror = _mirror(spark, stream.schema)
     checkpoint = shared_folder(spark, "mirror_checkpoint")
     mirror.stream(stream, checkpoint, {"availableNow": True}).awaitTermination()
     return mirror.read()
 
 
-@registered
-def replica_snapshot(spark, sf_dir):
-    """A full copy of orders followed by events as later changes of the same table."""
+def _copy_and_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A full copy of orders, and the events as later changes of the same table."""
     copy = cdc.snapshot_as_changes(_orders(spark, sf_dir), 0)
     later = _event_orders(spark, sf_dir).withColumns(
         {
@@ -427,9 +453,26 @@ def replica_snapshot(spark, sf_dir):
             "ts_ms": F.unix_millis(F.col("pedido_em").cast("timestamp")),
         }
     )
+    return copy, later
+
+
+@registered
+def replica_snapshot(spark, sf_dir):
+    copy, later = _copy_and_changes(spark, sf_dir)
     return cdc.state_from_log(copy.unionByName(later), ["order_id"])
 
 
+@registered
+def replica_initial_load(spark, sf_dir):
+    """The same kept as a mirror: the copy becomes its base, the changes its first batch."""
+    copy, later = _copy_and_changes(spark, sf_dir)
+    name = f"{fresh_namespace(spark, 'mirror')}.vendas"
+    mirror = Mirror(spark, name, copy.schema, ["order_id"], buckets=8)
+    mirror.load(copy)
+    mirror.apply(later, 0)
+    return mirror.read()
+
+
 @registered
 def replica_full_load(spark, sf_dir):
     """Selected tables landed as gzip Parquet and read back; rows per table."""

@@ -8,22 +8,46 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made_up: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one the cluster names in ``spark.checkpoint.dir``.
 
-    Every executor must be able to reach it, so a machine-local folder is only made up
-    when the setting is missing on a local master.
+    Every executor must be able to reach it, so a machine-local folder is only made up when the
+    setting is missing on a local master.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="shoreline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _made_up:
+            _made_up[application] = tempfile.mkdtemp(prefix="shoreline-")
+        base = _made_up[application]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def settings_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for a job whose largest shuffle moves that much on that many cores.
+
+    Partitions hold 256 MB, which executors sort without spilling, and are never fewer than the
+    cores. Beyond 20,000 of them they grow to 1 GB instead, since every mapper keeps a block for
+    every partition. Adaptive execution merges those that turn out small and splits those that
+    turn out hot, also where splitting costs another shuffle.
+    """
+    usual, large = -(-shuffle_bytes // (256 << 20)), -(-shuffle_bytes // (1 << 30))
+    partitions = max(cores, min(usual, max(20_000, large)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m" if shuffle_bytes >= 1 << 40 else "128m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as that system's object."""
     jvm = spark.sparkContext._jvm

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from shoreline.session import file_system
+from shoreline.session import estimated_bytes, file_system
 from shoreline.sources import tables
 
 THROUGH = "shoreline.through"
@@ -27,6 +27,8 @@ class LayeredTable:
         cluster_by: Sequence[str] = (),
         buckets: int = 0,
     ):
+        if tables.has_row_level_writes(name):
+            raise ValueError(f"{name}: a format with row-level writes merges batches itself")
         namespace, _, table = name.rpartition(".")
         tables.ensure_namespace(spark, namespace)
         root = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
@@ -86,6 +88,32 @@ class LayeredTable:
     def rows(self) -> DataFrame:
         return self.merged(self.base(), self.layers(self.pending()))
 
+    def replace_base(self, rows: DataFrame, through: int) -> None:
+        """Make these rows the base and, in the same step, that batch the last one in it."""
+        tables.overwrite_table(
+            self.spark,
+            rows.select(*self.schema.names),
+            self.base_name,
+            cluster_by=self.cluster_by if self.buckets else (),
+            buckets=self.buckets,
+            properties={THROUGH: str(through)},
+        )
+
+    def compact_if_due(self, every: int) -> int:
+        """Compact once ``every`` batches wait and they have grown to a tenth of the base.
+
+        Waiting for a tenth keeps the rewriting of a large base in proportion to what came in;
+        twenty times ``every`` batches are folded regardless, to bound the folders a read lists.
+        """
+        pending = self.pending()
+        if len(pending) < every:
+            return 0
+        base = self.base()
+        if base is not None and len(pending) < 20 * every:
+            if estimated_bytes(self.layers(pending)) * 10 < estimated_bytes(base):
+                return 0
+        return self.compact()
+
     def compact(self) -> int:
         """Fold the complete batches into a new base; returns how many there were.
 
@@ -95,14 +123,7 @@ class LayeredTable:
         if not pending:
             return 0
         before = self.through()
-        tables.overwrite_table(
-            self.spark,
-            self.merged(self.base(), self.layers(pending)).select(*self.schema.names),
-            self.base_name,
-            cluster_by=self.cluster_by if self.buckets else (),
-            buckets=self.buckets,
-            properties={THROUGH: str(pending[-1])},
-        )
+        self.replace_base(self.merged(self.base(), self.layers(pending)), pending[-1])
         for batch in self._batches():
             if batch <= before:
                 fs, path = file_system(self.spark, f"{self.folder}/batch={batch}")

@@ -37,6 +37,13 @@ class Mirror(LayeredTable):
         self.keys, self.version = list(keys), list(version)
         self.op_col, self.deletes = op_col, deletes
 
+    def load(self, snapshot: DataFrame) -> None:
+        """Start from a full copy of the source, as change rows, written straight to the base."""
+        if self.base() is not None or self.pending():
+            raise ValueError(f"{self.name} already holds rows")
+        rows = latest_by_version(snapshot.dropna(subset=self.keys), self.keys, self.version)
+        self.replace_base(rows, through=-1)
+
     def apply(self, changes: DataFrame, batch: int) -> bool:
         """Add one batch of flat change rows, reduced to the newest per key."""
         keyed = changes.dropna(subset=self.keys)
@@ -79,8 +86,7 @@ class Mirror(LayeredTable):
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             self.apply(batch, batch_id)
-            if len(self.pending()) >= compact_every:
-                self.compact()
+            self.compact_if_due(compact_every)
 
         writer = changes.writeStream.foreachBatch(on_batch)
         writer = writer.option("checkpointLocation", checkpoint)

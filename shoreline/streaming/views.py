@@ -117,8 +117,7 @@ class AggregateView(LayeredTable):
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             start = datetime.now(timezone.utc)
             self.apply_delta(batch, batch_id)
-            if len(self.pending()) >= every:
-                self.compact()
+            self.compact_if_due(every)
             if auto:
                 self._log("Success", "Auto", start)
 

@@ -66,6 +66,16 @@ def test_flattening_needs_no_shuffle(events):
     assert "Exchange" not in plan(cdc.drop_columns(cdc.flatten_envelope(events)))
 
 
+def test_dropped_fields_are_not_even_read(spark, events, tmp_path):
+    events.write.parquet(f"{tmp_path}/landed")
+    log = cdc.drop_columns(cdc.flatten_envelope(spark.read.parquet(f"{tmp_path}/landed")))
+    read = plan(log).partition("ReadSchema: ")[2]
+    assert "page_url" in log.columns and log.count() == 6
+    full = log._jdf.queryExecution().executedPlan().collectLeaves().head().requiredSchema()
+    assert "ip_address" not in full.treeString() and "user_domain_id" in full.treeString()
+    assert "before:struct<" in read
+
+
 def test_project_after_skips_deletes_and_rows_without_key(events):
     live = cdc.project_after(events).orderBy("_ts_ms")
     assert live.columns == [*cdc.STATE_FIELDS, "_op", "_ts_ms"] and len(live.columns) == 19

@@ -1,0 +1,48 @@
+from shoreline import session
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+class FakeSession:
+    def __init__(self, master, folder=None):
+        self.sparkContext, self.folder = FakeContext(master), folder
+        self.conf = self
+
+    def get(self, key, default):
+        return self.folder if key == "spark.checkpoint.dir" and self.folder else default
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    folder = session.shared_folder(spark, "x")
+    assert folder.startswith(f"{spark.conf.get('spark.checkpoint.dir')}/x-")
+    assert folder != session.shared_folder(spark, "x")
+
+
+def test_a_cluster_without_the_setting_is_refused_and_local_makes_one():
+    import pytest
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(FakeSession("yarn"), "x")
+    local = FakeSession("local[2]")
+    first, second = session.shared_folder(local, "x"), session.shared_folder(local, "x")
+    assert first != second and first.rpartition("/")[0] == second.rpartition("/")[0]
+
+
+def test_settings_grow_with_the_input():
+    assert session.settings_for(1 << 40, 64)["spark.sql.shuffle.partitions"] == "4096"
+    small, large = session.settings_for(1 << 20, 8), session.settings_for(100 << 40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(large["spark.sql.shuffle.partitions"]) == 102400
+
+
+def test_size_check_follows_the_session_threshold(spark):
+    few = spark.range(10)
+    assert session.fits_broadcast(few)
+    assert session.fits_broadcast(spark.range(10**9)) is False
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert session.fits_broadcast(few) is False
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -309,3 +309,36 @@ def test_a_failed_refresh_is_recorded(spark, namespace, sales_folder, tmp_path):
     with pytest.raises(Exception, match="boom"):
         view.refresh(broken, f"{tmp_path}/ck")
     assert [r.status for r in view.refresh_history().collect()] == ["Failed"]
+
+
+def test_a_large_base_is_not_rewritten_for_small_batches(spark, namespace):
+    schema = spark.createDataFrame([], LOG).schema
+    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
+    many = spark.range(20000).selectExpr("concat('k', id) AS k", "int(id) AS v", "'c' AS op", "id AS ts_ms")
+    mirror.apply(many, 0)
+    assert mirror.compact_if_due(1) == 1
+    for i in (1, 2, 3):
+        mirror.apply(spark.createDataFrame([("k1", i, "u", 10**6 + i)], LOG), i)
+        assert mirror.compact_if_due(1) == 0
+    assert mirror.compact_if_due(4) == 0 and mirror.pending() == [1, 2, 3]
+    mirror.apply(many.withColumn("ts_ms", F.col("ts_ms") + 10**7), 4)
+    assert mirror.compact_if_due(4) == 4
+    assert mirror.read().count() == 20000
+
+
+def test_layers_leave_row_level_formats_alone(spark):
+    schema = spark.createDataFrame([], LOG).schema
+    with pytest.raises(ValueError, match="row-level"):
+        Mirror(spark, "lake.ns.m", schema, ["k"])
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_mirror_starts_from_a_full_copy(spark, namespace, buckets):
+    copy = cdc.snapshot_as_changes(spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "k string, v int"), 10)
+    mirror = Mirror(spark, f"{namespace}.m", copy.schema, ["k"], buckets=buckets)
+    mirror.load(copy)
+    assert rows(mirror.read()) == [("a", 1, "r", 10), ("b", 1, "r", 10)]
+    mirror.apply(spark.createDataFrame([("a", 0, "u", 9), ("b", 1, "d", 11), ("c", 1, "c", 12)], LOG), 0)
+    assert rows(mirror.read()) == [("a", 1, "r", 10), ("c", 1, "c", 12)]
+    with pytest.raises(ValueError, match="already holds"):
+        mirror.load(copy)
