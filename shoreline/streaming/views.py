@@ -61,17 +61,19 @@ class AggregateView(LayeredTable):
 
         Beside each sum goes the number of values in it, to tell a sum of none (NULL) from zero.
         """
-        sign = F.lit(1) if self.sign is None else F.col(self.sign)
-        partials = [F.sum(sign).cast("bigint").alias(self.count)]
+        sign = None if self.sign is None else F.col(self.sign).cast("int")
+        count = F.count(F.lit(1)) if sign is None else F.sum(sign)
+        partials = [count.cast("bigint").alias(self.count)]
         for out, column in self.sums.items():
-            dtype = self._types[out]
+            dtype, value = self._types[out], F.col(column)
+            if sign is None:
+                total, filled = F.sum(value), F.count(value)
+            else:
+                total = F.sum((value.cast(dtype) * sign).cast(dtype))
+                filled = F.sum(F.when(value.isNotNull(), sign).otherwise(F.lit(0)))
             partials += [
-                F.sum((F.col(column).cast(dtype) * sign.cast("int")).cast(dtype))
-                .cast(dtype)
-                .alias(out),
-                F.sum(F.when(F.col(column).isNotNull(), sign).otherwise(F.lit(0)))
-                .cast("bigint")
-                .alias(self._filled(out)),
+                total.cast(dtype).alias(out),
+                filled.cast("bigint").alias(self._filled(out)),
             ]
         return rows.groupBy(*[e.alias(k) for k, e in self.keys.items()]).agg(*partials)
 

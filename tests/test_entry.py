@@ -3,10 +3,10 @@
 import os
 
 import duckdb
-import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tools.check_oracle import normal
 
 SF_DIR = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
@@ -22,19 +22,6 @@ def duck():
     return connection
 
 
-def comparable(df):
-    def value(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
-            return None
-        if isinstance(x, pd.Timestamp):
-            return x.isoformat()
-        return x.item() if hasattr(x, "item") else x
-
-    table = df[sorted(df.columns)].astype(object)
-    found = [tuple(value(x) for x in row) for row in table.itertuples(index=False)]
-    return sorted(found, key=lambda row: tuple((x is None, str(x)) for x in row))
-
-
 def test_every_sql_has_its_query():
     assert set(SQL) <= set(entry.queries())
     assert set(entry.queries()) - set(SQL) == {"mv_refresh_history"}
@@ -49,7 +36,7 @@ def test_query_equals_its_sql(spark, duck, name):
     got = entry.queries()[name](spark, SF_DIR).toPandas()
     want = duck.execute(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
-    assert comparable(got) == comparable(want)
+    assert normal(got) == normal(want)
 
 
 def test_refresh_history_has_both_kinds(spark):
