@@ -103,6 +103,19 @@ def project_after(
     )
 
 
+def signed_images(df: DataFrame, sign: str = "sign") -> DataFrame:
+    """What each change takes away (``before``, sign -1) and adds (``after``, sign +1), as rows.
+
+    Counts and sums over these follow updates and deletes, not only inserts.
+    """
+    sides = F.array(
+        F.struct(F.lit(-1).alias(sign), F.col("before").alias("row")),
+        F.struct(F.lit(1).alias(sign), F.col("after").alias("row")),
+    )
+    rows = df.select(F.inline(sides)).filter(F.col("row").isNotNull())
+    return rows.select("row.*", sign)
+
+
 def latest_by_version(
     df: DataFrame, keys: Sequence[str], version: Sequence[str] = ("_ts_ms",)
 ) -> DataFrame:

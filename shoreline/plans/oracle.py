@@ -223,7 +223,7 @@ def _row_counts(names: str) -> str:
 # Outputs that are exact decimals; shown as doubles on both sides.
 DECIMAL_OUTPUTS = {
     "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
-    " mv_incremental mv_state_merge mv_stream",
+    " mv_incremental mv_state_merge mv_stream mv_signed_changes",
     "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load land_gzip",
     "rating": "dim_rating",
     "sales_amount": "fact_sales_category",
@@ -322,6 +322,13 @@ SELECT SUM(coalesce(sales_amount, 10)) AS total_sales FROM fact_sales_category""
     "mv_incremental": HOURLY_ALL,
     "mv_state_merge": HOURLY_ALL,
     "mv_stream": HOURLY_ALL,
+    "mv_signed_changes": f"""WITH {CHANGES},
+signed AS (
+  SELECT 'C' || (user_id % 20) AS geo_country, CAST(value AS DECIMAL(12,2)) AS valor,
+         CASE op WHEN 'c' THEN 1 WHEN 'd' THEN -1 ELSE 0 END AS sign
+  FROM env)
+SELECT geo_country, CAST(SUM(sign) AS BIGINT) AS eventos, SUM(sign * valor) AS receita
+FROM signed GROUP BY 1 HAVING SUM(sign) > 0""",
     "replica_mirror": STATE,
     "replica_mirror_keep_deleted": KEPT,
     "replica_mirror_stream": STATE,

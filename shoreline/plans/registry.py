@@ -389,6 +389,25 @@ def mv_stream(spark, sf_dir):
     return view.read()
 
 
+@registered
+def mv_signed_changes(spark, sf_dir):
+    """Changes per country kept from envelopes in three batches, updates and deletes included."""
+    images = cdc.signed_images(_envelope(spark, sf_dir)).select(
+        "geo_country", "sign", F.col("click_id").cast("decimal(12,2)").alias("valor"), "event_type"
+    )
+    name = f"{fresh_namespace(spark, 'mv')}.por_pais"
+    keys = {"geo_country": F.col("geo_country")}
+    view = AggregateView(
+        spark, name, images.schema, keys, {"receita": "valor"}, count="eventos", sign="sign"
+    )
+    removed = F.col("sign") < 0
+    view.apply_delta(images.filter(~removed), 0)
+    view.compact()
+    view.apply_delta(images.filter(removed & (F.col("event_type") == "was click")), 1)
+    view.apply_delta(images.filter(removed & (F.col("event_type") != "was click")), 2)
+    return view.read()
+
+
 @registered
 def mv_refresh_history(spark, sf_dir):
     source = adapters.event_orders(_event_stream(spark, sf_dir))

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from shoreline.operators import contracts, quality
+from conftest import plan, rows
+from shoreline.operators import contracts, quality, star
 from shoreline.plans import pipeline
 from shoreline.sources import landing
 
@@ -75,3 +75,15 @@ def test_null_key_is_rejected(spark, namespace):
     raw = raw_reviews(spark, extra=[(None, "U00001", 99, 0)])
     with pytest.raises(Exception, match="NULL key in product_id"):
         pipeline.run_star_schema(spark, raw, namespace)
+
+
+def test_clustered_tables_feed_the_facts_without_a_shuffle(spark, namespace, no_broadcast):
+    plain = pipeline.run_star_schema(spark, raw_reviews(spark), f"{namespace}")
+    want = {name: rows(table) for name, table in plain.items()}
+    made = pipeline.run_star_schema(spark, raw_reviews(spark), namespace, buckets=8)
+    assert {name: rows(table) for name, table in made.items()} == want
+    fact = star.fact_product_rating(made["stg_sales"], made["dim_product"], made["dim_rating"])
+    assert "Exchange" not in plan(fact)
+    sales = star.fact_sales_category(made["stg_sales"], made["dim_product"], made["dim_user"])
+    exchanged = [line for line in plan(sales).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanged) == 2 and not any("hashpartitioning(product_id" in line for line in exchanged)

@@ -342,3 +342,25 @@ def test_mirror_starts_from_a_full_copy(spark, namespace, buckets):
     assert rows(mirror.read()) == [("a", 1, "r", 10), ("c", 1, "c", 12)]
     with pytest.raises(ValueError, match="already holds"):
         mirror.load(copy)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_view_over_envelopes_follows_updates_and_deletes(spark, namespace, seed):
+    log, state = random_history(seed)
+    held, changes_ = {}, []
+    for key, value, op, ts in log:
+        after = None if op == "d" else (key, value)
+        changes_.append((held.get(key), after, op, ts))
+        held[key] = after
+    envelope = "before struct<k: string, v: int>, after struct<k: string, v: int>, op string, ts_ms bigint"
+    group = {"bucket": F.col("v") % 5}
+    images = cdc.signed_images(spark.createDataFrame(changes_, envelope))
+    view = AggregateView(spark, f"{namespace}.v", images.schema, group, {"total": "v"}, "n", "sign")
+    for i in range(3):
+        part = spark.createDataFrame(changes_[i * 100 : (i + 1) * 100], envelope)
+        view.apply_delta(cdc.signed_images(part), i)
+    want = {}
+    for _, value, _, _ in state:
+        n, total = want.get(value % 5, (0, 0))
+        want[value % 5] = (n + 1, total + value)
+    assert {r.bucket: (r.n, r.total) for r in view.read().collect()} == want
