@@ -70,7 +70,8 @@ dim_rating AS MATERIALIZED (
          CAST(rating_count AS BIGINT) AS rating_count
   FROM stg),
 fact_product_rating AS MATERIALIZED (
-  SELECT product_id, dim_product.product_name, AVG(CAST(dim_rating.rating AS DOUBLE)) AS avg_rating
+  SELECT product_id, dim_product.product_name,
+         AVG(CAST(dim_rating.rating AS DOUBLE)) AS avg_rating
   FROM stg JOIN dim_product USING (product_id) JOIN dim_rating USING (product_id)
   WHERE dim_rating.rating IS NOT NULL
   GROUP BY ALL),
@@ -224,7 +225,8 @@ def _row_counts(names: str) -> str:
 DECIMAL_OUTPUTS = {
     "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
     " mv_incremental mv_state_merge mv_stream mv_signed_changes",
-    "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load land_gzip",
+    "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load"
+    " land_gzip",
     "rating": "dim_rating",
     "sales_amount": "fact_sales_category",
     "total_sales": "dash_sales_rating dash_category_listing dash_category_top dash_total_sales",

@@ -415,10 +415,9 @@ def mv_refresh_history(spark, sf_dir):
     view = revenue_view(spark, f"{namespace}.receita_por_hora", source)
     checkpoint = shared_folder(spark, "mv_checkpoint")
     view.refresh(source, checkpoint)
-    auto = view.auto_refresh(
-        source, shared_folder(spark, "mv_checkpoint"), trigger={"availableNow": True}
-    )
-    auto.awaitTermination()
+    view.reset()
+    again = shared_folder(spark, "mv_checkpoint")
+    view.auto_refresh(source, again, {"availableNow": True}).awaitTermination()
     return view.refresh_history()
 
 

@@ -10,9 +10,9 @@ from shoreline.sources import tables as catalog
 
 
 def _shareable(spark: SparkSession, producer: str) -> list[str]:
-    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {producer}").collect()]
-    temporary = {r["viewName"] for r in spark.sql("SHOW VIEWS").collect() if r["isTemporary"]}
-    return [n for n in names if not catalog.is_version(n) and n not in temporary]
+    found = spark.sql(f"SHOW TABLES IN {producer}").collect()
+    named = [r["tableName"] for r in found if not r["isTemporary"]]
+    return [name for name in named if not catalog.is_internal(name)]
 
 
 def publish(

@@ -71,6 +71,11 @@ def is_version(table: str) -> bool:
     return re.search(r"__v\d{8}_[0-9a-f]{8}$", table) is not None
 
 
+def is_internal(table: str) -> bool:
+    """True for names users do not read: versions, and the bases of layered tables."""
+    return is_version(table) or table.endswith("__base")
+
+
 def _versions(spark: SparkSession, name: str) -> list[str]:
     namespace, table = _split(name)
     found = spark.sql(f"SHOW TABLES IN {namespace} LIKE '{table}__v*'").collect()
@@ -166,6 +171,17 @@ def overwrite_table(
     return _write_version(df, name, partition_by, cluster_by, buckets, properties or {})
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a table, its name and all its versions."""
+    if has_row_level_writes(name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return
+    older = _versions(spark, name)
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for physical in older:
+        spark.sql(f"DROP TABLE IF EXISTS {physical}")
+
+
 def bulk_load(spark: SparkSession, path: str, name: str) -> None:
     """Append a Parquet folder to an existing table, matching columns by position."""
     incoming = spark.read.parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from shoreline.session import estimated_bytes, file_system
 from shoreline.sources import tables
@@ -67,6 +67,24 @@ class LayeredTable:
         columns.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
         return True
 
+    def check_checkpoint(self, checkpoint: str) -> None:
+        """Refuse to stream from a new checkpoint into a table that already counted batches.
+
+        Batch numbers would start over, and new batches would be taken for replays of old ones.
+        """
+        fs, offsets = file_system(self.spark, f"{checkpoint}/offsets")
+        if not fs.exists(offsets) and (self.through() >= 0 or self._batches()):
+            raise ValueError(
+                f"{self.name} holds batches of another checkpoint than {checkpoint}; go on with "
+                "that one, or reset() the table to process the source from its start"
+            )
+
+    def reset(self) -> None:
+        """Forget all rows, so that a new checkpoint can process the source from its start."""
+        tables.drop_table(self.spark, self.base_name)
+        fs, root = file_system(self.spark, self.folder)
+        fs.delete(root, True)
+
     def base(self) -> DataFrame | None:
         if not tables.table_exists(self.spark, self.base_name):
             return None

@@ -83,6 +83,7 @@ class Mirror(LayeredTable):
         compact_every: int = 50,
     ) -> StreamingQuery:
         """Start keeping the mirror from a stream of flat change rows."""
+        self.check_checkpoint(checkpoint)
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             self.apply(batch, batch_id)

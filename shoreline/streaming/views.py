@@ -116,6 +116,8 @@ class AggregateView(LayeredTable):
     def _start(
         self, source: DataFrame, checkpoint: str, trigger: dict | None, auto: bool, every: int
     ) -> StreamingQuery:
+        self.check_checkpoint(checkpoint)
+
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             start = datetime.now(timezone.utc)
             self.apply_delta(batch, batch_id)

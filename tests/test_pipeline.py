@@ -37,7 +37,7 @@ def raw_reviews(spark, extra=()):
 
 
 def test_whole_graph_from_a_landed_folder(spark, namespace, tmp_path):
-    path = landing.land(raw_reviews(spark), str(tmp_path), "public", "amazonsales")
+    path = landing.land(raw_reviews(spark), str(tmp_path), "public", "sales")
     made = pipeline.run_star_schema(spark, path, namespace, order_by=["rating_count"])
     counts = {name: df.count() for name, df in made.items()}
     assert counts["stg_sales"] == counts["dim_product"] == counts["dim_rating"] == 20

@@ -364,3 +364,31 @@ def test_view_over_envelopes_follows_updates_and_deletes(spark, namespace, seed)
         n, total = want.get(value % 5, (0, 0))
         want[value % 5] = (n + 1, total + value)
     assert {r.bucket: (r.n, r.total) for r in view.read().collect()} == want
+
+
+def test_a_new_checkpoint_needs_a_reset(spark, namespace, sales_folder, tmp_path):
+    folder, stream = sales_folder
+    view = revenue(spark, f"{namespace}.v")
+    view.refresh(stream(), f"{tmp_path}/ck1")
+    view.compact()
+    add_file(sales(spark, (2, "10:06", "1")), folder)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        view.refresh(stream(), f"{tmp_path}/ck2")
+    assert view.refresh_history(1).first().status == "Failed"
+    view.refresh(stream(), f"{tmp_path}/ck1")
+    before = hours(view)
+    view.reset()
+    assert hours(view) == []
+    view.refresh(stream(), f"{tmp_path}/ck2")
+    assert hours(view) == before == [("10", 2, Decimal(101))]
+
+
+def test_a_mirror_checks_its_checkpoint_too(spark, namespace, source, tmp_path):
+    _, stream = source
+    schema = spark.createDataFrame([], LOG).schema
+    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
+    mirror.load(spark.createDataFrame([("z", 1, "r", 0)], LOG))
+    mirror.stream(stream(), f"{tmp_path}/ck", NOW).awaitTermination()
+    assert mirror.read().count() == 3
+    with pytest.raises(ValueError, match="another checkpoint"):
+        mirror.stream(stream(), f"{tmp_path}/other", NOW)
