@@ -174,3 +174,52 @@ def test_full_load_lands_gzip_by_schema_and_table(spark, tmp_path):
     assert landed == {"db.public.a": f"{tmp_path}/raw/public/a"}
     assert list((tmp_path / "raw" / "public" / "a").glob("*.gz.parquet"))
     assert rows(landing.read_landing(spark, landed["db.public.a"])) == [(1, "db.public.a", 1)]
+
+
+class Recorder:
+    """Stands in for Spark's merge and write builders and notes what is called."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append((name, *[str(a) for a in args]))
+            return self
+
+        return call
+
+
+def test_three_part_names_use_the_formats_own_commands(spark, monkeypatch):
+    """No such format is installed here, so only the commands chosen can be checked."""
+    for name in ("ensure_namespace", "ensure_table", "assert_schema_matches"):
+        monkeypatch.setattr(tables, name, lambda *args, **kwargs: None)
+    df = frame(spark, [(1, "a", 1)])
+    done = Recorder()
+    begin = lambda step: lambda self, *args: getattr(done, step)(*args)
+    monkeypatch.setattr(type(df), "writeTo", begin("writeTo"))
+    monkeypatch.setattr(type(df), "mergeInto", begin("mergeInto"))
+    assert tables.overwrite_table(spark, df, "lake.ns.t") == "lake.ns.t"
+    assert [c[0] for c in done.calls] == ["writeTo", "overwrite"]
+    done.calls.clear()
+    tables.upsert(spark, df, "lake.ns.t", ["id", "part"])
+    assert [c[0] for c in done.calls] == [
+        "mergeInto",
+        "whenMatched",
+        "updateAll",
+        "whenNotMatched",
+        "insertAll",
+        "merge",
+    ]
+    condition = done.calls[0][2]
+    assert "source.id" in condition and "lake.ns.t.part" in condition and "AND" in condition.upper()
+
+
+def test_drop_removes_every_version(spark, namespace):
+    name = f"{namespace}.t"
+    for i in range(3):
+        tables.overwrite_table(spark, frame(spark, [(i, "a", i)]), name)
+    tables.drop_table(spark, name)
+    assert spark.sql(f"SHOW TABLES IN {namespace}").count() == 0
+    tables.overwrite_table(spark, frame(spark, [(9, "a", 9)]), name)
+    assert rows(tables.read_table(spark, name)) == [(9, "a", 9)]
