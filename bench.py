@@ -61,6 +61,7 @@ def main() -> None:
     execute(registry.QUERIES["hourly_revenue"](spark, sf_dir))
 
     timings = {
+        "land_sales": seconds(lambda: registry.landed_sales(spark, sf_dir)),
         "star_build": seconds(lambda: registry.stored_star(spark, sf_dir)),
         "land_changes": seconds(lambda: registry.landed_changes(spark, sf_dir)),
     }

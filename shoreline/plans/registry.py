@@ -66,18 +66,34 @@ def _event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.event_orders(adapters.table(spark, sf_dir, "events"))
 
 
-_landed: dict[tuple[str, str], str] = {}
+_landed: dict[tuple[str, str, str], str] = {}
 
 
-def landed_changes(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of captured change files, written once per session from the events; batch and
-    streaming queries read it the way they would read what a capture service delivers."""
-    where = (spark.sparkContext.applicationId, sf_dir)
-    if where not in _landed:
-        captured = adapters.envelope(adapters.table(spark, sf_dir, "events"))
+def _landed_once(spark: SparkSession, sf_dir: str, table: str, make: Query) -> str:
+    """The folder of a source table's raw files, written once per session from the given tables;
+    queries read it the way they would read what a capture service delivers."""
+    what = (spark.sparkContext.applicationId, sf_dir, table)
+    if what not in _landed:
         folder = shared_folder(spark, "captured")
-        _landed[where] = landing.land(captured, folder, "public", "web_events")
-    return _landed[where]
+        _landed[what] = landing.land(make(spark, sf_dir), folder, "public", table)
+    return _landed[what]
+
+
+def landed_sales(spark: SparkSession, sf_dir: str) -> str:
+    return _landed_once(spark, sf_dir, "sales", adapters.sales_raw)
+
+
+def landed_changes(spark: SparkSession, sf_dir: str) -> str:
+    return _landed_once(
+        spark,
+        sf_dir,
+        "web_events",
+        lambda spark, sf_dir: adapters.envelope(adapters.table(spark, sf_dir, "events")),
+    )
+
+
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.read_landing(spark, landed_sales(spark, sf_dir))
 
 
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +139,7 @@ def hourly_revenue_newest(spark, sf_dir):
 
 
 def _text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.sales_text(adapters.sales_raw(spark, sf_dir))
+    return adapters.sales_text(_sales(spark, sf_dir))
 
 
 @registered
@@ -143,13 +159,13 @@ def contract_lost_values(spark, sf_dir):
 
 @registered
 def stg_dedup(spark, sf_dir):
-    raw = contracts.conform(adapters.sales_raw(spark, sf_dir), contracts.SALES)
+    raw = contracts.conform(_sales(spark, sf_dir), contracts.SALES)
     return keep_latest(raw, ["product_id"], SALE_ORDER)
 
 
 @registered
 def stg_duplicates(spark, sf_dir):
-    return duplicate_counts(adapters.sales_raw(spark, sf_dir), SALE_KEY)
+    return duplicate_counts(_sales(spark, sf_dir), SALE_KEY)
 
 
 @registered
@@ -172,7 +188,7 @@ def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     where = (spark.sparkContext.applicationId, sf_dir)
     if where not in _built:
         namespace = fresh_namespace(spark, "star")
-        raw = adapters.sales_raw(spark, sf_dir)
+        raw = landed_sales(spark, sf_dir)
         pipeline.run_star_schema(spark, raw, namespace, SALE_KEY, SALE_ORDER)
         _built[where] = namespace
     names = [pipeline.STAGING, *quality.DIMENSION_RULES, *quality.FACT_RULES]
@@ -217,7 +233,7 @@ def pipeline_star(spark, sf_dir):
     """The whole job graph with its gates; how many rows each table got."""
     namespace = fresh_namespace(spark, "pipeline")
     made = pipeline.run_star_schema(
-        spark, adapters.sales_raw(spark, sf_dir), namespace, ["product_id"], SALE_ORDER
+        spark, landed_sales(spark, sf_dir), namespace, ["product_id"], SALE_ORDER
     )
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
