@@ -66,30 +66,35 @@ def _event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.event_orders(adapters.table(spark, sf_dir, "events"))
 
 
-_landed: dict[tuple[str, str, str], str] = {}
+_made: dict[tuple[str, str, str], str] = {}
 
 
-def _landed_once(spark: SparkSession, sf_dir: str, table: str, make: Query) -> str:
-    """The folder of a source table's raw files, written once per session from the given tables;
-    queries read it the way they would read what a capture service delivers."""
-    what = (spark.sparkContext.applicationId, sf_dir, table)
-    if what not in _landed:
-        folder = shared_folder(spark, "captured")
-        _landed[what] = landing.land(make(spark, sf_dir), folder, "public", table)
-    return _landed[what]
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], str]) -> str:
+    """Where something written once per session from the given tables is kept."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
 
 
 def landed_sales(spark: SparkSession, sf_dir: str) -> str:
-    return _landed_once(spark, sf_dir, "sales", adapters.sales_raw)
+    """Raw sales files, read the way a capture service's files would be."""
+
+    def make() -> str:
+        folder = shared_folder(spark, "captured")
+        return landing.land(adapters.sales_raw(spark, sf_dir), folder, "public", "sales")
+
+    return _once(spark, sf_dir, "sales", make)
 
 
 def landed_changes(spark: SparkSession, sf_dir: str) -> str:
-    return _landed_once(
-        spark,
-        sf_dir,
-        "web_events",
-        lambda spark, sf_dir: adapters.envelope(adapters.table(spark, sf_dir, "events")),
-    )
+    """Captured change files of the events."""
+
+    def make() -> str:
+        changed = adapters.envelope(adapters.table(spark, sf_dir, "events"))
+        return landing.land(changed, shared_folder(spark, "captured"), "public", "web_events")
+
+    return _once(spark, sf_dir, "web_events", make)
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,20 +184,19 @@ def stg_upsert(spark, sf_dir):
 
 # Star schema ----------------------------------------------------------------------------------
 
-_built: dict[tuple[str, str], str] = {}
-
-
 def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star schema's tables, built once per session; as in the job graph, later jobs and the
     dashboards read stored tables."""
-    where = (spark.sparkContext.applicationId, sf_dir)
-    if where not in _built:
+
+    def build() -> str:
         namespace = fresh_namespace(spark, "star")
         raw = landed_sales(spark, sf_dir)
         pipeline.run_star_schema(spark, raw, namespace, SALE_KEY, SALE_ORDER)
-        _built[where] = namespace
+        return namespace
+
+    namespace = _once(spark, sf_dir, "star", build)
     names = [pipeline.STAGING, *quality.DIMENSION_RULES, *quality.FACT_RULES]
-    return {n: tables.read_table(spark, f"{_built[where]}.{n}") for n in names}
+    return {n: tables.read_table(spark, f"{namespace}.{n}") for n in names}
 
 
 @registered
