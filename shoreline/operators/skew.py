@@ -1,37 +1,32 @@
-"""Equi-join that survives a key holding a large share of one side."""
+"""Equi-join that survives keys holding a large share of one side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shoreline.session import fits_broadcast
 
-SALT = "_salt"
+SALT, SALTS = "_salt", "_salts"
+# Rows without a key match nothing, so any number of salts spreads them at no cost.
+NULL_SALTS = 1 << 20
 
 
-def hottest_keys(df: DataFrame, keys: Sequence[str], most: int, min_rows: int) -> list[tuple]:
-    """At most ``most`` keys, those with the most rows, each having ``min_rows`` or more.
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, most: int) -> DataFrame | None:
+    """Keys with more than ``rows_per_task`` rows and how many tasks each should fill.
 
-    The counts are pre-aggregated per task and only ``most`` rows reach the driver.
+    The counts are pre-aggregated per task and at most ``most`` keys, the largest, come back, so
+    the result is small however many rows or keys there are. None if no key is hot.
     """
-    counts = df.select(*keys).dropna(subset=list(keys)).groupBy(*keys).count()
-    top = counts.filter(F.col("count") >= min_rows).orderBy(F.desc("count")).limit(most)
-    return [tuple(row[k] for k in keys) for row in top.collect()]
-
-
-def _is_any(keys: Sequence[str], values: list[tuple]) -> Column:
-    if not values:
-        return F.lit(False)
-    if len(keys) == 1:
-        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
-    same = [
-        reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(x)) for k, x in zip(keys, v)])
-        for v in values
-    ]
-    return reduce(Column.__or__, same)
+    keys = list(keys)
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n")).limit(most)
+    found = largest.select(*keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias(SALTS))
+    rows = found.collect()
+    schema = T.StructType([*df.select(*keys).schema, T.StructField(SALTS, T.IntegerType())])
+    return df.sparkSession.createDataFrame(rows, schema) if rows else None
 
 
 def skew_join(
@@ -41,31 +36,39 @@ def skew_join(
     how: str = "inner",
     *,
     hot_in: DataFrame | None = None,
-    salts: int = 64,
-    most: int = 64,
-    min_rows: int = 1_000_000,
+    rows_per_task: int = 2_000_000,
+    most: int = 10_000,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` with the hot keys of ``left`` spread over many tasks.
 
     When Catalyst's own size check lets it broadcast the right side there is no shuffle to skew
-    and the join is left alone. Otherwise rows of the hottest keys get one of ``salts`` numbers
-    from a hash of the row (stable under task retries) and the right rows of just those keys are
-    repeated once per number. The result does not depend on which keys count as hot, so they may
-    be looked for in ``hot_in``, a table cheaper to read than an intermediate ``left``.
+    and the join is left alone. Otherwise a key with more than ``rows_per_task`` rows is split in
+    as many parts as it takes: its left rows get a part number from a hash of the row (stable
+    under task retries) and its right rows are repeated once per part, which is never more than
+    the join puts out per part's rows. The table of hot keys has at most ``most`` rows and is
+    broadcast; a key beyond those holds less than 1/``most`` of the rows and is left to adaptive
+    execution. The result does not depend on which keys count as hot, so they may be looked for
+    in ``hot_in``, a table cheaper to read than an intermediate ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left, not {how}")
     keys = list(keys)
     if fits_broadcast(right) or (how == "inner" and fits_broadcast(left)):
         return left.join(right, keys, how)
-    hot = hottest_keys(left if hot_in is None else hot_in, keys, most, min_rows)
-    if not hot and how == "inner":
+    hot = hot_keys(left if hot_in is None else hot_in, keys, rows_per_task, most)
+    if hot is None and how == "inner":
         return left.join(right, keys, how)
-    number = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    spread = _is_any(keys, hot)
-    if how == "left":  # unmatched NULL keys would otherwise all meet in one task
-        spread = spread | reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    salted_left = left.withColumn(SALT, F.when(spread, number).otherwise(F.lit(0)))
-    copies = F.when(_is_any(keys, hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = right.withColumn(SALT, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
+    parts, split_left, split_right = F.lit(1), left, right
+    if hot is not None:
+        parts = F.coalesce(F.col(SALTS), F.lit(1))
+        split_left = left.join(F.broadcast(hot), keys, "left")
+        split_right = right.join(F.broadcast(hot), keys, "left")
+    # Exploded even for a single part: a constant would be folded out of the join keys.
+    split_right = split_right.withColumn(SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
+    split_right = split_right.drop(SALTS)
+    if how == "left":
+        without_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        parts = F.when(without_key, F.lit(NULL_SALTS)).otherwise(parts)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), parts).cast("int")
+    split_left = split_left.withColumn(SALT, part).drop(SALTS)
+    return split_left.join(split_right, [*keys, SALT], how).drop(SALT)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from shoreline.operators.skew import hottest_keys, skew_join
+from shoreline.operators.skew import hot_keys, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -15,44 +15,56 @@ def sides(spark):
     return left.cache(), right.cache()
 
 
-def test_hottest_keys_are_bounded_and_above_the_minimum(sides):
+def test_hot_keys_get_parts_by_their_size(sides):
     left, _ = sides
-    assert hottest_keys(left, ["k"], most=5, min_rows=500) == [(7,)]
-    assert len(hottest_keys(left, ["k"], most=3, min_rows=1)) == 3
+    assert rows(hot_keys(left, ["k"], rows_per_task=300, most=10)) == [(7, 4)]
+    assert hot_keys(left, ["k"], rows_per_task=10**6, most=10) is None
+    assert hot_keys(left, ["k"], rows_per_task=1, most=3).count() == 3
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("min_rows", [1, 500, 10**6])
-def test_same_rows_as_the_plain_join(sides, no_broadcast, how, min_rows):
+@pytest.mark.parametrize("rows_per_task, most", [(10, 100), (10, 2), (300, 100), (10**6, 100)])
+def test_same_rows_as_the_plain_join(sides, no_broadcast, how, rows_per_task, most):
     left, right = sides
-    got = skew_join(left, right, ["k"], how, salts=8, min_rows=min_rows)
+    got = skew_join(left, right, ["k"], how, rows_per_task=rows_per_task, most=most)
     assert got.columns == ["k", "row", "r"]
     assert rows(got) == rows(left.join(right, ["k"], how))
 
 
+def test_hot_keys_may_be_looked_for_elsewhere(sides, no_broadcast):
+    left, right = sides
+    got = skew_join(left, right, ["k"], hot_in=right, rows_per_task=1)
+    assert rows(got) == rows(left.join(right, ["k"]))
+
+
 def test_composite_keys(spark, no_broadcast):
     left = spark.range(200).selectExpr("id % 2 AS a", "IF(id % 4 = 0, 'x', 'y') AS b", "id AS row")
     right = spark.createDataFrame([(0, "x", 1), (1, "y", 2), (0, "y", 3)], "a bigint, b string, r int")
-    got = skew_join(left, right, ["a", "b"], salts=4, min_rows=10)
+    got = skew_join(left, right, ["a", "b"], rows_per_task=10)
     assert rows(got) == rows(left.join(right, ["a", "b"]))
 
 
-def test_a_hot_key_is_spread_over_tasks(spark, sides, no_broadcast):
-    left, right = sides
+def most_rows_in_a_task(df):
+    per_task = df.groupBy(F.spark_partition_id()).count()
+    return per_task.agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("key, how", [("7", "inner"), ("cast(NULL AS bigint)", "left")])
+def test_a_hot_key_is_spread_over_tasks(spark, no_broadcast, key, how):
+    left = spark.range(4000).selectExpr(f"IF(id % 3 = 0, {key}, id) AS k", "id AS row")
+    right = spark.range(4000).selectExpr("id AS k", "id AS r")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = skew_join(left, right, ["k"], salts=32, min_rows=500).filter("k = 7")
-        tasks = spread.select(F.spark_partition_id().alias("p")).distinct().count()
-        plain = left.join(right, ["k"]).filter("k = 7")
-        one = plain.select(F.spark_partition_id().alias("p")).distinct().count()
+        spread = most_rows_in_a_task(skew_join(left, right, ["k"], how, rows_per_task=50))
+        plain = most_rows_in_a_task(left.join(right, ["k"], how))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert one == 1 and tasks > 4
+    assert plain > 1333 and spread < 800
 
 
 def test_small_sides_are_left_to_catalyst(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
-    joined = skew_join(left, left.withColumn("r", F.lit(1)), ["k"], min_rows=1)
+    joined = skew_join(left, left.withColumn("r", F.lit(1)), ["k"], rows_per_task=1)
     assert "BroadcastHashJoin" in plan(joined) and "_salt" not in plan(joined)
 
 
