@@ -33,6 +33,7 @@ from shoreline.llm.common import in_batches, written
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CACHED_WORDS = 1 << 20
+PIECES_PER_BLOCK = 2000
 
 
 @cache
@@ -218,14 +219,18 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, length: int = 10
     """Pack ``doc_id, text`` into sequences of at most ``length`` ids; one row per piece."""
     cut = written(pieces(docs, vocabulary, length, end_id), "pieces")
     order = ["doc_id", "start", "ids_crc32", "doc_tokens"]
-    rows = cut.count()
-    blocks = max(1, -(-rows // 100_000))
-    dealt = cut.withColumn("block", F.pmod(F.xxhash64(*order), F.lit(blocks)))
+    sizes = written(cut.groupBy("length").agg(F.count("*").alias("all")), "lengths")
+    table = slots(shortest_pack_first({r["length"]: r["all"] for r in sizes.collect()}, length))
+    # at most ``length`` rows; a frequent length gets more blocks
+    blocks = F.ceil(F.col("all") / PIECES_PER_BLOCK)
+    dealt = (
+        cut.join(F.broadcast(sizes), "length")
+        .withColumn("block", F.pmod(F.xxhash64(*order), blocks))
+        .select(*order, "length", "block")
+    )
     counts = dealt.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counts = written(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "counts")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = slots(shortest_pack_first(histogram, length))
 
     inside = Window.partitionBy("length", "block").orderBy(*order)
     numbered = (

@@ -6,18 +6,56 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoreline.llm import packing
-from shoreline.llm.common import read
+from shoreline.llm import langid, licences, linequality, mixing, packing, toxicity
+from shoreline.llm.common import fold, read, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linequality.judge(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.annotated(read(spark, sf_dir, "documents")).select(
+        *mixing.MARGINS, "tokens", "draw", F.struct("row.doc_id", "row.source", "row.lang").alias("row")
+    )
+    kept = mixing.mix(spark, written(rows, "annotated"))
+    return kept.select("row.*", "topic", "tokens", F.round("probability", 6).alias("probability"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
+    "op5_licence_scan": op5_licence_scan,
+    "op6_line_quality": op6_line_quality,
     "op8_packing": op8_packing,
+    "op9_mixing": op9_mixing,
+}
+SQL: dict[str, str] = {
+    "op5_licence_scan": licences.sql(),
+    "op9_mixing": mixing.sql(),
 }
-SQL: dict[str, str] = {}
