@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import langid, licences, linequality, mixing, packing, toxicity
+from shoreline.llm import langid, licences, linededup, linequality, mixing, neardup, packing, toxicity
 from shoreline.llm.common import fold, read, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(spark, read(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.dedup(spark, read(spark, sf_dir, "documents"))
+    return rows.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
 
@@ -50,6 +59,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_line_dedup": op4_line_dedup,
     "op5_licence_scan": op5_licence_scan,
     "op6_line_quality": op6_line_quality,
     "op8_packing": op8_packing,
