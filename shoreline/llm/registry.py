@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import langid, licences, linededup, linequality, mixing, neardup, packing, toxicity
+from shoreline.llm import ann, langid, licences, linededup, linequality, mixing, neardup, packing, pagetext, toxicity
 from shoreline.llm.common import fold, read, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,10 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linequality.judge(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -56,6 +60,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.*", "topic", "tokens", F.round("probability", 6).alias("probability"))
 
 
+def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -63,8 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_licence_scan": op5_licence_scan,
     "op6_line_quality": op6_line_quality,
+    "op7_page_text": op7_page_text,
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
+    "op10_graph_search": op10_graph_search,
 }
 SQL: dict[str, str] = {
     "op5_licence_scan": licences.sql(),
