@@ -25,7 +25,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def in_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
     """``mapInArrow`` with batches of few rows, since one text may be very long.
 

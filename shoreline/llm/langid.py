@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +201,20 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), work, SCHEMA)
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows that are not rejected, with all their columns."""
+    names, idf, centroids, language_of, limits = (
+        model.languages, model.idf, model.centroids, model.language_of, model.limits,
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = label(batch, "text", names, idf, centroids, language_of, limits)
+            yield batch.filter(pc.invert(found.column("rejected")))
+
+    return in_batches(docs, work, docs.schema)
+
+
 def label(batch, column, names, idf, centroids, language_of, limits) -> pa.RecordBatch:
     texts = [t or "" for t in batch.column(column).to_pylist()]
     languages, scores, rejected = [], [], []

@@ -275,8 +275,13 @@ def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents with all their columns; those that lost all their lines go."""
+    """The documents with all their columns; those that lost all their lines go. ``n_chars``, where
+    there is one, counts what is left."""
     rows = dedup(spark, docs)
     left = F.trim(F.translate("text", "\n\t\r", "   ")) != ""
     kept = rows.where((F.col("n_removed") == 0) | left)
-    return kept.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    now = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        now["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(counted)
+    return kept.select(*(now.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

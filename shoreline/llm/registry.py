@@ -1,9 +1,13 @@
-"""The training-data queries over the given tables, with production parameters."""
+"""The training-data queries over the given tables, with production parameters.
+
+``pipeline`` has no SQL: its first and middle stages are beyond it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_graph_search": op10_graph_search,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op5_licence_scan": licences.sql(),
