@@ -1,22 +1,29 @@
 """Classes of linked nodes from buckets of candidates, without a group ever meeting in one task.
 
-All pairs of a bucket are decided, though few are compared. In each round some members of every
-bucket stand for it, and all others of a different class are compared with them. Whoever is linked
-joins their class, and members of one class are compared no more, so a bucket of ten thousand
-copies is settled by ten thousand comparisons. A member that has stood for its bucket leaves it, as
-it has been compared with everyone. The number of those who stand grows eightfold each round.
-Buckets with one class left are done.
+All pairs of a bucket are decided, though few are compared:
+
+1. Every member is compared with the least one of its bucket.
+2. In a few rounds, members of buckets with several classes left are dealt at random to parts of
+   about ``PART``, and compared with one member of their part. Each round compares as often as
+   there are members, and whoever is linked to anyone of a class joins it.
+3. What is left outside a bucket's largest class is compared with all members of other classes,
+   except where a bound shows that the two cannot be linked.
+
+So a bucket of ten thousand copies is settled by some ten thousand comparisons, not their square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.llm.common import written
 
+PART = 8
+ROUNDS = 3
+
 
 def connected(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node in ``a, b`` edges; the root is the least node of its component.
@@ -55,40 +62,42 @@ def connected(edges: DataFrame) -> DataFrame:
     return left.select(F.col("a").alias("node"), F.col("b").alias("root")) if roots is None else roots
 
 
-def classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], stand: int = 1) -> DataFrame:
+def classes(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    facts: Callable[[DataFrame], DataFrame] | None = None,
+    possible: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """``node, root`` of the nodes that are linked to another.
 
     ``members`` holds ``bucket, node``; ``verify`` takes pairs ``a, b`` (a < b) and returns those
     that are links. Every pair of nodes in a common bucket that is a link ends up in one class.
+
+    ``facts`` may give a ``fact`` for ``node``s, and ``possible`` say from two facts whether their
+    nodes can be linked; it is true whenever they are. It has to hold for a node and itself, or the
+    node is not compared at all.
     """
     shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = written(shared.where("least < most").select("bucket"), "buckets")
     held = written(members.join(shared, "bucket"), "members")
     links = tested = roots = None
-    while True:
+
+    def classed() -> DataFrame:
+        """The members of buckets that still hold several classes."""
         if roots is None:
-            held = held.select("bucket", "node", F.col("node").alias("class"))
+            now = held.select("bucket", "node", F.col("node").alias("class"))
         else:
-            held = held.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("class"))
-        held = written(held, "members")
-        mixed = held.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
-        mixed = written(mixed.where("least < most").select("bucket", "least"), "buckets")
-        if mixed.isEmpty():
-            break
-        held = held.join(mixed, "bucket")
-        others_first = Window.partitionBy("bucket").orderBy(F.col("class") == F.col("least") if roots else F.lit(0), "node")
-        standing = (
-            held.withColumn("place", F.row_number().over(others_first))
-            .where(F.col("place") <= stand)
-            .select("bucket", F.col("node").alias("rep"), F.col("class").alias("rep_class"))
-        )
-        standing = written(standing, "standing")
-        pairs = (
-            held.join(standing, "bucket")
-            .where("class <> rep_class")
-            .select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b"))
-            .distinct()
+            now = held.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("class"))
+        now = written(now, "members")
+        mixed = now.groupBy("bucket").agg(
+            F.count("*").alias("n"), F.min("class").alias("least"), F.max("class").alias("most")
         )
+        mixed = written(mixed.where("least < most").select("bucket", "n"), "buckets")
+        return written(now.join(mixed, "bucket"), "members")
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal links, tested, roots
+        pairs = pairs.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -96,11 +105,37 @@ def classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], stand:
         found = written(verify(pairs), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            roots = connected(links)
-        # those who stood have been compared with all others of their bucket
-        stood = standing.select("bucket", F.col("rep").alias("node"))
-        held = held.join(stood, ["bucket", "node"], "left_anti").select("bucket", "node")
-        stand *= 8
+            roots = written(connected(links), "roots")
+
+    for number in range(ROUNDS):
+        held = classed()
+        if held.isEmpty():
+            break
+        # the least node stands for the bucket at first, later an arbitrary one for each part
+        part = F.pmod(F.xxhash64("node", F.lit(number)), F.ceil(F.col("n") / PART)) if number else F.lit(0)
+        order = F.xxhash64("node", F.lit(-number)) if number else F.col("node")
+        dealt = held.select("bucket", part.cast("long").alias("part"), order.alias("place"), "node", "class")
+        standing = dealt.groupBy("bucket", "part").agg(F.min(F.struct("place", "node", "class")).alias("least"))
+        standing = standing.select("bucket", "part", F.col("least.node").alias("rep"), F.col("least.class").alias("rep_class"))
+        pairs = dealt.join(written(standing, "standing"), ["bucket", "part"])
+        compare(pairs.where("class <> rep_class"))
+    else:
+        held = classed()
+        if facts is not None:
+            known = written(facts(held.select("node").distinct()), "facts")
+            held = held.join(known, "node", "left")
+            held = held.where(F.coalesce(possible(F.col("fact"), F.col("fact")), F.lit(True)))
+        else:
+            held = held.withColumn("fact", F.lit(0))
+        held = written(held, "members")
+        sizes = held.groupBy("bucket", "class").count()
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class")).alias("largest"))
+        rest = held.join(written(largest, "largest"), "bucket").where(F.col("class") != F.col("largest.class"))
+        rest = rest.select("bucket", F.col("node").alias("rep"), F.col("class").alias("rep_class"), F.col("fact").alias("rep_fact"))
+        pairs = held.join(written(rest, "rest"), "bucket").where("class <> rep_class")
+        if facts is not None:
+            pairs = pairs.where(F.coalesce(possible(F.col("fact"), F.col("rep_fact")), F.lit(True)))
+        compare(pairs)
     if roots is None:
         return held.select("node", F.col("node").alias("root")).limit(0)
     return roots

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.llm import linking, text
@@ -188,6 +188,47 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return in_batches(pairs.select("a", "b", "text_a", "text_b"), work, "a long, b long").distinct()
 
 
+def rarities(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, fact``: the weight of a node's shingles, and of those that other nodes have, too.
+
+    Nodes with several texts have no fact, so nothing is concluded about them.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sources = batch.column("text").to_pylist()
+            for start, stop in text.chunks(sources):
+                found, owner, _, _ = shingles(sources[start:stop])
+                order = np.lexsort((found, owner))
+                found, owner = found[order], owner[order]
+                new = np.ones(len(found), bool)
+                new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+                first = np.flatnonzero(new)
+                weight = np.diff(np.append(first, len(found)))
+                rows = pa.array(owner[first] + start)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(rows), pa.array(found[first].view(np.int64)), pa.array(weight)],
+                    names=["node", "shingle", "weight"],
+                )
+
+    mine = texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id").select(F.col("doc_id").alias("node"), "text")
+    mine = written(mine, "mine")
+    several = mine.groupBy("node").count().where("count > 1").select("node")
+    held = written(in_batches(mine.join(several, "node", "left_anti"), work, "node long, shingle long, weight long"), "shingles")
+    total = held.groupBy("node").agg(F.sum("weight").alias("total"))
+    alone = held.groupBy("shingle").agg(F.count("*").alias("n"), F.max("node").alias("node"), F.max("weight").alias("weight"))
+    own = alone.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
+    shared = F.col("total") - F.coalesce("own", F.lit(0))
+    return total.join(own, "node", "left").select("node", F.struct("total", shared.alias("shared")).alias("fact"))
+
+
+def possible(a: Column, b: Column) -> Column:
+    """Whether two nodes can be similar enough, given how much of each any other node has: they
+    share at most the smaller of these weights, and together they have all the rest."""
+    most = F.least(a["shared"], b["shared"])
+    return most >= (a["total"] + b["total"] - most) * SIMILARITY - 1e-6
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, kept`` for every document: the class is named by its least id, and the
     document of that id stands for it."""
@@ -205,7 +246,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # candidates are few where little is copied; their ids are broadcast only up to a fixed size
     few = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     texts = written(docs.where("text IS NOT NULL").join(few, "doc_id", "left_semi"), "texts")
-    roots = written(linking.classes(members, lambda pairs: verified(pairs, texts)), "roots")
+    roots = linking.classes(
+        members, lambda pairs: verified(pairs, texts), lambda nodes: rarities(nodes, texts), possible
+    )
 
     placed = rows.select("doc_id", "high", "low").join(nodes.select("high", "low", "node"), ["high", "low"], "left")
     placed = placed.select("doc_id", F.coalesce("node", "doc_id").alias("node"))
