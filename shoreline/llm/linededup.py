@@ -182,34 +182,31 @@ def near(a: Column, b: Column) -> Column:
     return (apart <= limit) & decided
 
 
+def close(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
+
+
 def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``node, root`` of lines with a near line. ``docs`` and ``lines`` are prepared and written."""
+    """``node, root`` of lines with a near line. ``docs`` and ``lines`` are prepared and written.
+
+    The SimHashes travel with the bucket's members, so only pairs that are close enough leave the
+    joins; only for those the wordings are fetched, from one document each.
+    """
     nodes = written(
         lines.groupBy("node").agg(F.first("simhash").alias("simhash"), F.min("doc_id").alias("doc_id")), "nodes"
     )
-    members = nodes.select("node", F.explode(F.array(*block_keys(F.col("simhash")))).alias("bucket"))
+    keys = F.explode(F.array(*block_keys(F.col("simhash"))))
+    members = nodes.select("node", F.col("simhash").alias("fact"), keys.alias("bucket"))
 
-    def both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    def alike(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        known = written(wordings(docs, nodes.join(asked, "node")), "wordings")
         for side in ("a", "b"):
-            named = table.select(F.col("node").alias(side), F.col(column).alias(f"{side}_value"))
+            named = known.select(F.col("node").alias(side), F.col("wording").alias(f"{side}_wording"))
             pairs = pairs.join(named, side)
-        return pairs
-
-    def close(pairs: DataFrame) -> DataFrame:
-        apart = F.bit_count(F.col("a_value").bitwiseXOR(F.col("b_value")))
-        return both(pairs, nodes, "simhash").where(apart <= DISTANCE).select("a", "b")
-
-    roots = written(linking.classes(members, close), "close")
-    if roots.isEmpty():
-        return roots
-    candidates = written(nodes.join(roots.select("node"), "node"), "candidates")
-    known = written(wordings(docs, candidates), "wordings")
-    members = candidates.select("node", F.explode(F.array(*block_keys(F.col("simhash")))).alias("bucket"))
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        return both(close(pairs), known, "wording").where(near(F.col("a_value"), F.col("b_value"))).select("a", "b")
+        return pairs.where(near(F.col("a_wording"), F.col("b_wording"))).select("a", "b")
 
-    return linking.classes(members, alike)
+    return linking.classes(members, alike, close)
 
 
 def removals(docs: DataFrame) -> DataFrame:

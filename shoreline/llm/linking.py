@@ -2,12 +2,12 @@
 
 All pairs of a bucket are decided, though few are compared:
 
-1. Every member is compared with the least one of its bucket.
-2. In a few rounds, members of buckets with several classes left are dealt at random to parts of
-   about ``PART``, and compared with one member of their part. Each round compares as often as
+1. In buckets of up to ``PART`` members all are compared; in larger ones each with the least one.
+2. In a few rounds, members of large buckets with several classes left are dealt at random to parts
+   of about ``PART``, and compared with one member of their part. Each round compares as often as
    there are members, and whoever is linked to anyone of a class joins it.
-3. What is left outside a bucket's largest class is compared with all members of other classes,
-   except where a bound shows that the two cannot be linked.
+3. What is left outside a large bucket's largest class is compared with all members of other
+   classes, except where a bound shows that the two cannot be linked.
 
 So a bucket of ten thousand copies is settled by some ten thousand comparisons, not their square.
 """
@@ -36,7 +36,7 @@ def connected(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))
-        up = written(up.select("node", F.least("node", "up").alias("up")), "pointers")
+        up = up.select("node", F.least("node", "up").alias("up"))
         while True:
             over = up.select(F.col("node").alias("up"), F.col("up").alias("next"))
             jumped = written(
@@ -50,9 +50,7 @@ def connected(edges: DataFrame) -> DataFrame:
             roots = up.select("node", F.col("up").alias("root"))
         else:
             on = up.withColumnsRenamed({"node": "root", "up": "end"})
-            roots = written(
-                roots.join(on, "root", "left").select("node", F.coalesce("end", "root").alias("root")), "roots"
-            )
+            roots = roots.join(on, "root", "left").select("node", F.coalesce("end", "root").alias("root"))
         ends = [up.select(F.col("node").alias(c), F.col("up").alias(f"end_{c}")) for c in ("a", "b")]
         left = written(
             left.join(ends[0], "a").join(ends[1], "b").where("end_a <> end_b")
@@ -65,77 +63,91 @@ def connected(edges: DataFrame) -> DataFrame:
 def classes(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Column, Column], Column],
     facts: Callable[[DataFrame], DataFrame] | None = None,
-    possible: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """``node, root`` of the nodes that are linked to another.
 
     ``members`` holds ``bucket, node``; ``verify`` takes pairs ``a, b`` (a < b) and returns those
     that are links. Every pair of nodes in a common bucket that is a link ends up in one class.
 
-    ``facts`` may give a ``fact`` for ``node``s, and ``possible`` say from two facts whether their
-    nodes can be linked; it is true whenever they are. It has to hold for a node and itself, or the
-    node is not compared at all.
+    ``possible`` says from two nodes' ``fact`` whether they can be linked; it is true of all links.
+    The facts are a column of ``members``, or else ``facts`` finds them for the nodes that are left
+    for the last step. There, a node that cannot be linked even to its like is not compared at all.
     """
-    shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = written(shared.where("least < most").select("bucket"), "buckets")
-    held = written(members.join(shared, "bucket"), "members")
+    given = facts is None
+    columns = ["bucket", "node", *(["fact"] if given else [])]
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    shared = written(shared.where("n > 1"), "buckets")
+    held = written(members.join(shared, "bucket").select(*columns, "n"), "members")
     links = tested = roots = None
 
-    def classed() -> DataFrame:
-        """The members of buckets that still hold several classes."""
-        if roots is None:
-            now = held.select("bucket", "node", F.col("node").alias("class"))
-        else:
-            now = held.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("class"))
-        now = written(now, "members")
-        mixed = now.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("class").alias("least"), F.max("class").alias("most")
-        )
-        mixed = written(mixed.where("least < most").select("bucket", "n"), "buckets")
-        return written(now.join(mixed, "bucket"), "members")
+    def can(a: str, b: str) -> Column:
+        return F.coalesce(possible(F.col(a), F.col(b)), F.lit(True))
+
+    def ends(rows: DataFrame, prefix: str, *more: str) -> DataFrame:
+        """The rows as the other side of pairs."""
+        fact = [F.col("fact").alias(f"{prefix}_fact")] if "fact" in rows.columns else []
+        return rows.select("bucket", *more, F.col("node").alias(prefix), *fact)
 
     def compare(pairs: DataFrame) -> None:
+        """Take in the links among pairs ``node, rep``."""
         nonlocal links, tested, roots
         pairs = pairs.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            return
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = written(verify(pairs), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = written(connected(links), "roots")
 
-    for number in range(ROUNDS):
-        held = classed()
-        if held.isEmpty():
+    small = held.where(F.col("n") <= PART)
+    among = small.join(ends(small, "rep"), "bucket").where("node < rep")
+    large = held.where(F.col("n") > PART).drop("n")
+    least = large.groupBy("bucket").agg(F.min(F.struct(*columns[1:])).alias("least"))
+    least = written(least.select("bucket", "least.*"), "standing")
+    star = large.join(ends(least, "rep"), "bucket").where("node <> rep")
+    if given:
+        among, star = among.where(can("fact", "rep_fact")), star.where(can("fact", "rep_fact"))
+    compare(among.select("node", "rep").unionByName(star.select("node", "rep")))
+
+    held = large
+    for number in range(1, ROUNDS + 1):
+        if roots is None:
+            now = held.withColumn("class", F.col("node"))
+        else:
+            now = held.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+        mixed = now.groupBy("bucket").agg(
+            F.count("*").alias("n"), F.min("class").alias("least"), F.max("class").alias("most")
+        )
+        mixed = written(mixed.where("least < most").select("bucket", "n"), "buckets")
+        if mixed.isEmpty():
             break
-        # the least node stands for the bucket at first, later an arbitrary one for each part
-        part = F.pmod(F.xxhash64("node", F.lit(number)), F.ceil(F.col("n") / PART)) if number else F.lit(0)
-        order = F.xxhash64("node", F.lit(-number)) if number else F.col("node")
-        dealt = held.select("bucket", part.cast("long").alias("part"), order.alias("place"), "node", "class")
-        standing = dealt.groupBy("bucket", "part").agg(F.min(F.struct("place", "node", "class")).alias("least"))
-        standing = standing.select("bucket", "part", F.col("least.node").alias("rep"), F.col("least.class").alias("rep_class"))
-        pairs = dealt.join(written(standing, "standing"), ["bucket", "part"])
-        compare(pairs.where("class <> rep_class"))
-    else:
-        held = classed()
-        if facts is not None:
-            known = written(facts(held.select("node").distinct()), "facts")
-            held = held.join(known, "node", "left")
-            held = held.where(F.coalesce(possible(F.col("fact"), F.col("fact")), F.lit(True)))
+        now = written(now.join(mixed, "bucket").select(*columns, "class", "n"), "members")
+        held = now.select(*columns)
+        if number < ROUNDS:
+            part = F.pmod(F.xxhash64("node", F.lit(number)), F.ceil(F.col("n") / PART)).cast("long")
+            dealt = now.withColumn("part", part).drop("n")
+            order = F.xxhash64("node", F.lit(-number)).alias("place")
+            chosen = dealt.groupBy("bucket", "part").agg(F.min(F.struct(order, "class", *columns[1:])).alias("least"))
+            chosen = chosen.select("bucket", "part", "least.*").withColumnRenamed("class", "rep_class")
+            pairs = dealt.join(written(ends(chosen, "rep", "part", "rep_class"), "standing"), ["bucket", "part"])
         else:
-            held = held.withColumn("fact", F.lit(0))
-        held = written(held, "members")
-        sizes = held.groupBy("bucket", "class").count()
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class")).alias("largest"))
-        rest = held.join(written(largest, "largest"), "bucket").where(F.col("class") != F.col("largest.class"))
-        rest = rest.select("bucket", F.col("node").alias("rep"), F.col("class").alias("rep_class"), F.col("fact").alias("rep_fact"))
-        pairs = held.join(written(rest, "rest"), "bucket").where("class <> rep_class")
-        if facts is not None:
-            pairs = pairs.where(F.coalesce(possible(F.col("fact"), F.col("rep_fact")), F.lit(True)))
-        compare(pairs)
+            now = now.drop("n")
+            if not given:
+                now = now.join(written(facts(now.select("node").distinct()), "facts"), "node", "left")
+                now = written(now.where(can("fact", "fact")), "members")
+            sizes = now.groupBy("bucket", "class").count()
+            largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class")).alias("largest"))
+            rest = now.join(written(largest, "largest"), "bucket").where(F.col("class") != F.col("largest.class"))
+            rest = written(ends(rest.withColumnRenamed("class", "rep_class"), "rep", "rep_class"), "rest")
+            pairs = now.join(rest, "bucket")
+        pairs = pairs.where("class <> rep_class")
+        compare(pairs.where(can("fact", "rep_fact")) if "fact" in pairs.columns else pairs)
     if roots is None:
-        return held.select("node", F.col("node").alias("root")).limit(0)
+        return least.select("node", F.col("node").alias("root")).limit(0)
     return roots

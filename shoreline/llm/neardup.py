@@ -247,7 +247,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     few = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     texts = written(docs.where("text IS NOT NULL").join(few, "doc_id", "left_semi"), "texts")
     roots = linking.classes(
-        members, lambda pairs: verified(pairs, texts), lambda nodes: rarities(nodes, texts), possible
+        members, lambda pairs: verified(pairs, texts), possible, lambda nodes: rarities(nodes, texts)
     )
 
     placed = rows.select("doc_id", "high", "low").join(nodes.select("high", "low", "node"), ["high", "low"], "left")
