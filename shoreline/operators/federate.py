@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoreline.functions.timestamps import bound
+from shoreline.session import shared_folder
 
 
 def recent(
@@ -38,21 +39,17 @@ def lookup(
     where: Column,
     key: str = "customer_id",
     columns: Sequence[str] | None = None,
-    small: int = 1000,
 ) -> DataFrame:
     """The live rows matching ``where``, left-joined to history on ``key``.
 
-    A lookup usually selects a handful of rows. Up to ``small`` of them are fetched from the
-    source once, and their keys become a filter on the history scan, which then skips row groups
-    instead of being shuffled whole. If more rows match, the plain distributed join runs.
+    The source is asked once: the matched rows are stored in the shared folder, so the join sees
+    one state of them and Catalyst knows their size. Their keys thin out the history scan first,
+    which for a handful of rows is a broadcast, and for many a shuffle; the plan is the same.
     """
-    matched = live.filter(where)
-    fetched = matched.limit(small + 1).toArrow()
-    if fetched.num_rows <= small:
-        keys = set(fetched[key].to_pylist()) - {None}
-        history = history.filter(F.col(key).isin(sorted(keys)))
-        local = live.sparkSession.createDataFrame(fetched, matched.schema)
-        joined = local.join(history, key, "left")
-    else:
-        joined = with_history(matched, history, key)
+    spark = live.sparkSession
+    path = shared_folder(spark, "lookup")
+    live.filter(where).write.parquet(path)
+    matched = spark.read.schema(live.schema).parquet(path)
+    known = history.join(matched.select(key).distinct(), key, "left_semi")
+    joined = matched.join(known, key, "left")
     return joined.select(*columns) if columns else joined

@@ -6,13 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 REPORT_COLUMNS = ("table_name", "rule", "column_name", "observed", "passed")
 
 
 class QualityGateError(ValueError):
-    """Some rule failed; the message lists every failed rule of every table."""
+    """Some rule failed. ``failures`` holds the report rows of all failed rules."""
+
+    def __init__(self, failures: Sequence[Row]):
+        self.failures = list(failures)
+        super().__init__(
+            "; ".join(
+                f"{r.table_name}.{r.column_name or '*'} breaks {r.rule} with {r.observed}" for r in self.failures
+            )
+        )
 
 
 @dataclass(frozen=True)
@@ -21,11 +29,6 @@ class Rule:
 
     column: str | None = None
 
-    @property
-    def label(self) -> str:
-        name = type(self).__name__
-        return f"{name}({self.column})" if self.column else name
-
     def measure(self, df: DataFrame) -> Column:
         raise NotImplementedError
 
@@ -140,60 +143,52 @@ def gate(
 
     What reaches the driver is one row per declared rule.
     """
-    rows = [tuple(r) for r in report(tables, rulesets).select(*REPORT_COLUMNS).collect()]
-    failed: dict[str, list[str]] = {}
-    for table, rule, column, _, passed in rows:
-        if not passed:
-            failed.setdefault(table, []).append(f"{rule}({column})" if column else rule)
-    if failed:
-        lines = "\n".join(f"  {table}: {', '.join(rules)}" for table, rules in failed.items())
-        raise QualityGateError(f"quality rules failed:\n{lines}")
-    return rows
+    rows = report(tables, rulesets).select(*REPORT_COLUMNS).collect()
+    failures = [r for r in rows if not r.passed]
+    if failures:
+        raise QualityGateError(failures)
+    return [tuple(r) for r in rows]
 
 
-def _columns(rule: type[Rule], names: str) -> list[Rule]:
-    return [rule(name) for name in names.split()]
+def _columns(rule: type[Rule], *names: str) -> list[Rule]:
+    return [rule(name) for name in names]
 
 
 # The rules that guard the star schema.
 DIMENSION_RULES: dict[str, list[Rule]] = {
     "dim_user": [
-        *_columns(ColumnExists, "user_id user_name"),
-        *_columns(NotNull, "user_id user_name"),
+        *_columns(ColumnExists, "user_id", "user_name"),
+        *_columns(NotNull, "user_id", "user_name"),
         UniqueProportion("user_id"),
         RowCount(),
-        *_columns(OfType, "user_id user_name"),
+        *_columns(OfType, "user_id", "user_name"),
     ],
     "dim_product": [
-        *_columns(
-            ColumnExists, "product_id product_name category about_product img_link product_link"
-        ),
-        *_columns(NotNull, "product_id product_name category img_link product_link"),
+        *_columns(ColumnExists, "product_id", "product_name", "category", "about_product", "img_link", "product_link"),
+        *_columns(NotNull, "product_id", "product_name", "category", "img_link", "product_link"),
         UniqueProportion("product_id"),
         RowCount(),
-        *_columns(
-            OfType, "product_id product_name category about_product img_link product_link"
-        ),
+        *_columns(OfType, "product_id", "product_name", "category", "about_product", "img_link", "product_link"),
     ],
     "dim_rating": [
-        *_columns(ColumnExists, "user_id product_id rating rating_count"),
-        *_columns(NotNull, "user_id product_id"),
-        *_columns(OfType, "user_id product_id"),
+        *_columns(ColumnExists, "user_id", "product_id", "rating", "rating_count"),
+        *_columns(NotNull, "user_id", "product_id"),
+        *_columns(OfType, "user_id", "product_id"),
         RowCount(),
     ],
 }
 FACT_RULES: dict[str, list[Rule]] = {
     "fact_product_rating": [
-        *_columns(ColumnExists, "product_id product_name avg_rating"),
-        *_columns(NotNull, "product_id product_name avg_rating"),
-        *_columns(OfType, "product_id product_name"),
+        *_columns(ColumnExists, "product_id", "product_name", "avg_rating"),
+        *_columns(NotNull, "product_id", "product_name", "avg_rating"),
+        *_columns(OfType, "product_id", "product_name"),
         RowCount(),
         InRange("avg_rating", low=0, high=5),
     ],
     "fact_sales_category": [
-        *_columns(ColumnExists, "user_id category sales_amount"),
-        *_columns(NotNull, "user_id category sales_amount"),
-        *_columns(OfType, "user_id category"),
+        *_columns(ColumnExists, "user_id", "category", "sales_amount"),
+        *_columns(NotNull, "user_id", "category", "sales_amount"),
+        *_columns(OfType, "user_id", "category"),
         RowCount(),
     ],
 }

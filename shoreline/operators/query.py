@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: the default row cap.
 MAX_ROWS = 1000
-_CALLS_INTO_JVM = re.compile(r"\b(try_)?(java_method|reflect)\s*\(", re.IGNORECASE)
+CALLS_INTO_JVM = frozenset({"reflect", "try_reflect", "java_method"})
 
 
 class QueryInputError(ValueError):
@@ -34,11 +34,47 @@ def _check(sql: str | None, max_rows: int) -> str:
         raise QueryInputError("a SQL text is required")
     if max_rows < 1:
         raise QueryInputError("max_rows must be at least 1")
-    if _CALLS_INTO_JVM.search(sql):
-        raise QueryInputError("functions that call into the JVM are not allowed")
     return sql.strip().rstrip(";")
 
 
+def _each(sequence) -> Iterator:
+    found = sequence.iterator()
+    while found.hasNext():
+        yield found.next()
+
+
+def _nodes(root) -> Iterator:
+    """All plans and expressions of a parsed statement, also inside subqueries and WITH."""
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        waiting += _each(node.children())
+        kind = node.getClass().getName()
+        if ".plans.logical." in kind or kind.endswith("UnresolvedRelation"):
+            waiting += _each(node.expressions())
+            waiting += _each(node.innerChildren())
+        elif kind.endswith(("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")):
+            waiting.append(node.plan())
+
+
+def _refuse_unsafe(spark: SparkSession, text: str) -> None:
+    """Look at the parsed statement, not its text: quoting and comments cannot hide a call."""
+    try:
+        parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(f"SELECT * FROM (\n{text}\n)")
+    except Exception as error:
+        raise QueryFailed(str(error)) from error
+    for node in _nodes(parsed):
+        kind = node.getClass().getSimpleName()
+        if kind == "UnresolvedFunction":
+            if list(_each(node.nameParts()))[-1].lower() in CALLS_INTO_JVM:
+                raise QueryInputError("functions that call into the JVM are not allowed")
+        elif kind == "UnresolvedRelation":
+            names = list(_each(node.multipartIdentifier()))
+            if len(names) == 2 and not spark.catalog.databaseExists(names[0]):
+                raise QueryInputError(f"{'.'.join(names)} is not a table; files cannot be queried by path")
+
+
 def capped(spark: SparkSession, sql: str | None, max_rows: int = MAX_ROWS) -> DataFrame:
     """The query as a DataFrame of at most ``max_rows`` rows.
 
@@ -46,6 +82,7 @@ def capped(spark: SparkSession, sql: str | None, max_rows: int = MAX_ROWS) -> Da
     That makes it read-only; it is not a sandbox.
     """
     text = _check(sql, max_rows)
+    _refuse_unsafe(spark, text)
     try:
         return spark.sql(f"SELECT * FROM (\n{text}\n)").limit(max_rows)
     except PySparkException as error:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoreline.functions.timestamps import bound, hour
-from shoreline.operators.skew import skew_join
 
 MONEY = "decimal(38,2)"
 
@@ -30,7 +29,7 @@ def rating_by_category(fact_rating: DataFrame, products: DataFrame, top: int = 1
     )
     listed = products.select("product_id", "category")
     return (
-        skew_join(listed, per_product, ["product_id"])
+        listed.join(per_product, "product_id")
         .groupBy("category")
         .agg(F.try_divide(F.sum("total"), F.sum("n")).alias("avg_rating"))
         .orderBy(F.desc("avg_rating"), "category")
@@ -60,7 +59,7 @@ def sales_rating_by_category(
     )
     listed = products.select("product_id", "category")
     per_category = (
-        skew_join(listed, rated, ["product_id"], "left")
+        listed.join(rated, "product_id", "left")
         .groupBy("category")
         .agg(
             F.sum(F.coalesce("rating_rows", F.lit(1))).alias("joined_rows"),
@@ -89,7 +88,7 @@ def rating_by_product(fact_rating: DataFrame, products: DataFrame) -> DataFrame:
     alone, so a rating shared by many products does not land in one task."""
     listed = products.select("product_id", "product_name")
     rated = fact_rating.select("product_id", "avg_rating")
-    joined = skew_join(listed, rated, ["product_id"])
+    joined = listed.join(rated, "product_id")
     return joined.orderBy(F.desc("avg_rating"), "product_id", "product_name")
 
 
@@ -99,8 +98,10 @@ def category_sales_listing(
     null_sales: int = 10,
     top: int = 10,
     true_top_n: bool = False,
+    names: bool = False,
 ) -> DataFrame:
-    """Sales per (category, product name), by category name and then sales.
+    """Sales per (category, product name), by category name and then sales; ``names`` shows the
+    product names, which the report only groups by.
 
     The join on category pairs every sales row with every product of the category; here the
     category's sum is taken first and multiplied by how often the name occurs. The sort by
@@ -110,15 +111,16 @@ def category_sales_listing(
     sales = fact_sales.groupBy("category").agg(
         F.sum(_sales_or_default(null_sales)).cast(MONEY).alias("sales")
     )
-    names = products.groupBy("category", "product_name").agg(F.count(F.lit(1)).alias("times"))
-    listing = skew_join(names, sales, ["category"], hot_in=products).select(
+    listed = products.groupBy("category", "product_name").agg(F.count(F.lit(1)).alias("times"))
+    listing = listed.join(sales, "category").select(
         "category",
         "product_name",
         (F.col("times").cast("decimal(18,0)") * F.col("sales")).cast(MONEY).alias("total_sales"),
     )
     by_sales = F.desc("total_sales")
     order = [by_sales, "category"] if true_top_n else ["category", by_sales]
-    return listing.orderBy(*order, "product_name").limit(top)
+    first = listing.orderBy(*order, "product_name").limit(top)
+    return first if names else first.drop("product_name")
 
 
 def total_sales(fact_sales: DataFrame, null_sales: int = 10) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shoreline.functions import cleaning
-from shoreline.operators.skew import skew_join
 
 MONEY = "decimal(38,2)"
 
@@ -51,7 +50,7 @@ def fact_product_rating(
     staged = stg.select("product_id").distinct()
     names = products.select("product_id", "product_name").distinct()
     rated = averages.join(staged, "product_id", "left_semi")
-    return skew_join(names, rated, ["product_id"], hot_in=products).select(
+    return names.join(rated, "product_id").select(
         "product_id", "product_name", "avg_rating"
     )
 
@@ -94,7 +93,7 @@ def fact_sales_category(
         return (F.col(amount) * F.col(repeats).cast("decimal(18,0)")).cast(MONEY)
 
     by_category = (
-        skew_join(per_pair, categories, ["product_id"], hot_in=stg)
+        per_pair.join(categories, "product_id")
         .groupBy("user_id", "category")
         .agg(F.sum(times("amount", "repeats")).cast(MONEY).alias("amount"))
     )

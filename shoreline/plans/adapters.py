@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoreline.functions.timestamps import bound
 from shoreline.operators import cdc
-from shoreline.operators.skew import skew_join
 
 MONEY = "decimal(12,2)"
 
@@ -47,14 +46,11 @@ def sales(lineitem: DataFrame, part: DataFrame, order: DataFrame, customer: Data
         "l_extendedprice",
         "l_discount",
     )
-    buyers = skew_join(
-        order.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderpriority"),
-        customer.select("c_custkey", "c_name"),
-        ["c_custkey"],
+    buyers = order.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderpriority").join(
+        customer.select("c_custkey", "c_name"), "c_custkey"
     )
     parts = part.select("p_partkey", "p_name", "p_type", "p_brand")
-    described = skew_join(lines, parts, ["p_partkey"])
-    joined = skew_join(described, buyers, ["o_orderkey"], hot_in=lines)
+    joined = lines.join(parts, "p_partkey").join(buyers, "o_orderkey")
     product, user = F.col("p_partkey").cast("string"), F.col("c_custkey").cast("string")
     return joined.select(
         F.concat(F.lit("P"), product).alias("product_id"),
@@ -141,8 +137,9 @@ def _image(event_type: Column) -> Column:
     )
 
 
-def envelope(events: DataFrame) -> DataFrame:
+def envelope(events: DataFrame, offset: Column | None = None) -> DataFrame:
     """Events as change envelopes, one per event; works on a stream as well."""
+    arrival = [] if offset is None else [offset.cast("bigint").alias("offset")]
     return events.select(
         F.when(
             _operation() != "c",
@@ -151,6 +148,7 @@ def envelope(events: DataFrame) -> DataFrame:
         F.when(_operation() != "d", _image(F.col("event_type"))).alias("after"),
         _operation().alias("op"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        *arrival,
     )
 
 

@@ -224,16 +224,26 @@ def _row_counts(names: str) -> str:
 # Outputs that are exact decimals; shown as doubles on both sides.
 DECIMAL_OUTPUTS = {
     "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
-    " mv_incremental mv_state_merge mv_stream mv_signed_changes",
+    " mv_incremental mv_state_merge mv_stream mv_signed_changes mv_out_of_order",
     "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load"
     " land_gzip",
     "rating": "dim_rating",
-    "sales_amount": "fact_sales_category",
+    "sales_amount": "fact_sales_category pipeline_star_sales",
     "total_sales": "dash_sales_rating dash_category_listing dash_category_top dash_total_sales",
 }
 
 # One text per registered query ----------------------------------------------------------------
 
+_BY_OFFSET = """
+SELECT 'E' || (event_id // 4) AS event_id, event_type, 'u' AS op, 0::BIGINT AS ts_ms, event_id AS "offset"
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id DESC) AS n FROM events)
+WHERE n = 1 AND event_id % 4 <> 0 AND NOT (event_id % 4 = 3 AND user_id % 2 = 0)
+UNION ALL
+SELECT 'E' || (event_id // 4), event_type, 'c', 0::BIGINT, event_id
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id DESC) AS n FROM events)
+WHERE n = 1 AND event_id % 4 = 0"""
+
+
 def _lost_values() -> str:
     columns = (
         "product_id product_name category discounted_price actual_price discount_percentage rating"
@@ -274,6 +284,21 @@ SELECT * REPLACE (
 SELECT COUNT(*) AS rows, COUNT(DISTINCT (product_id, user_id)) AS distinct_keys,
        COUNT(*) - COUNT(DISTINCT (product_id, user_id)) AS duplicates FROM raw""",
     "stg_upsert": f"{_UPSERTED} SELECT * FROM upserted",
+    "stg_upsert_repeated_target": """
+SELECT l_orderkey AS order_id, coalesce(value, l_quantity) AS valor
+FROM lineitem LEFT JOIN events ON event_id = l_orderkey
+UNION ALL
+SELECT event_id, value FROM events WHERE event_id NOT IN (SELECT l_orderkey FROM lineitem)""",
+    "pipeline_star_sales": f"WITH {BY_PRODUCT} SELECT * FROM fact_sales_category",
+    "cdc_equal_versions": _BY_OFFSET,
+    "replica_equal_versions": _BY_OFFSET,
+    "cdc_frame_strip": "SELECT event_id, event_type AS body FROM events",
+    "cdc_two_consumers": f"""WITH {CHANGES}
+SELECT event_id, op, ts_ms, consumer FROM flat, (VALUES (0), (1)) AS c(consumer)""",
+    "mv_out_of_order": HOURLY_ALL,
+    "mv_refresh_history": """
+SELECT 'Success' AS status, kind AS refresh_type, true AS ended FROM (VALUES ('Manual'), ('Auto')) AS k(kind)""",
+    "replica_full_load_orders": "SELECT * FROM orders",
     "stg_sales": f"WITH {_staged('product_id, user_id')} SELECT * FROM stg",
     "dim_product": f"WITH {BY_PAIR} SELECT * FROM dim_product",
     "dim_user": f"WITH {BY_PAIR} SELECT * FROM dim_user",
@@ -301,15 +326,17 @@ SELECT product_id, dim_product.product_name, round(avg_rating, 6) AS avg_rating
 FROM fact_product_rating JOIN dim_product USING (product_id)
 ORDER BY 3 DESC""",
     "dash_category_listing": f"""WITH {BY_PAIR}
-SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
-FROM fact_sales_category JOIN dim_product USING (category)
-GROUP BY ALL
-ORDER BY category, total_sales DESC, product_name LIMIT 10""",
+SELECT category, total_sales FROM (
+  SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
+  FROM fact_sales_category JOIN dim_product USING (category)
+  GROUP BY ALL
+  ORDER BY category, total_sales DESC, product_name LIMIT 10)""",
     "dash_category_top": f"""WITH {BY_PAIR}
-SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
-FROM fact_sales_category JOIN dim_product USING (category)
-GROUP BY ALL
-ORDER BY total_sales DESC, category, product_name LIMIT 10""",
+SELECT category, total_sales FROM (
+  SELECT category, product_name, SUM(coalesce(sales_amount, 10)) AS total_sales
+  FROM fact_sales_category JOIN dim_product USING (category)
+  GROUP BY ALL
+  ORDER BY total_sales DESC, category, product_name LIMIT 10)""",
     "dash_total_sales": f"""WITH {BY_PAIR}
 SELECT SUM(coalesce(sales_amount, 10)) AS total_sales FROM fact_sales_category""",
     "dash_sales_count": f"WITH {BY_PAIR} SELECT COUNT(*) AS total_sales FROM fact_sales_category",

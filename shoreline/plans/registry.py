@@ -34,6 +34,7 @@ TEXT_NORMALIZERS = {
 }
 SINCE = "2024-01-15 00:00:00"
 NOW = "2024-01-15 12:00:00"
+STREAM_FILES = 4
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -92,6 +93,7 @@ def landed_changes(spark: SparkSession, sf_dir: str) -> str:
 
     def make() -> str:
         changed = adapters.envelope(adapters.table(spark, sf_dir, "events"))
+        changed = changed.repartition(STREAM_FILES)
         return landing.land(changed, shared_folder(spark, "captured"), "public", "web_events")
 
     return _once(spark, sf_dir, "web_events", make)
@@ -106,12 +108,21 @@ def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.read_file_stream(spark, landed_changes(spark, sf_dir), cdc.ENVELOPE)
+    path = landed_changes(spark, sf_dir)
+    return changes.read_file_stream(spark, path, cdc.ENVELOPE, max_files_per_trigger=2)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = adapters.table(spark, sf_dir, "events").schema
-    return changes.read_file_stream(spark, f"{sf_dir}/events.parquet", schema)
+    """The events as a folder of files that is read a few files at a time."""
+    events = adapters.table(spark, sf_dir, "events")
+
+    def make() -> str:
+        path = shared_folder(spark, "events")
+        events.repartition(STREAM_FILES).write.parquet(path)
+        return path
+
+    path = _once(spark, sf_dir, "events", make)
+    return changes.read_file_stream(spark, path, events.schema, max_files_per_trigger=2)
 
 
 # Hourly revenue -------------------------------------------------------------------------------
@@ -177,8 +188,21 @@ def stg_duplicates(spark, sf_dir):
 def stg_upsert(spark, sf_dir):
     """Orders first, then events under the same contract: some keys replaced, some added."""
     name = f"{fresh_namespace(spark, 'stg')}.vendas"
-    tables.upsert(spark, _orders(spark, sf_dir), name, ["order_id"], buckets=8)
-    tables.upsert(spark, _event_orders(spark, sf_dir), name, ["order_id"], buckets=8)
+    tables.upsert(spark, _orders(spark, sf_dir), name, ["order_id"])
+    tables.upsert(spark, _event_orders(spark, sf_dir), name, ["order_id"])
+    return tables.read_table(spark, name)
+
+
+@registered
+def stg_upsert_repeated_target(spark, sf_dir):
+    """Line items per order as the target, whose key repeats; every match is updated."""
+    lines = adapters.table(spark, sf_dir, "lineitem")
+    named = lines.select(F.col("l_orderkey").alias("order_id"), F.col("l_quantity").alias("valor"))
+    name = f"{fresh_namespace(spark, 'stg')}.linhas"
+    tables.overwrite_table(spark, named, name)
+    events = adapters.table(spark, sf_dir, "events")
+    source = events.select(F.col("event_id").alias("order_id"), F.col("value").alias("valor"))
+    tables.upsert(spark, source, name, ["order_id"])
     return tables.read_table(spark, name)
 
 
@@ -251,6 +275,16 @@ def pipeline_star(spark, sf_dir):
     return result
 
 
+@registered
+def pipeline_star_sales(spark, sf_dir):
+    """The last table of the whole job graph, staged by product."""
+    namespace = fresh_namespace(spark, "pipeline")
+    made = pipeline.run_star_schema(
+        spark, landed_sales(spark, sf_dir), namespace, ["product_id"], SALE_ORDER
+    )
+    return made["fact_sales_category"]
+
+
 # Dashboards -----------------------------------------------------------------------------------
 
 
@@ -357,13 +391,51 @@ def cdc_stream_state(spark, sf_dir):
     stream = cdc.project_after(_envelope_stream(spark, sf_dir))
     name = f"{fresh_namespace(spark, 'state')}.web_events"
     state = Mirror(
-        spark, name, stream.schema, ["event_id"], ["_ts_ms"], "_op", deletes="ignore", buckets=8
+        spark, name, stream.schema, ["event_id"], ["_ts_ms"], "_op", deletes="ignore", buckets=None
     )
     checkpoint = shared_folder(spark, "state_checkpoint")
     state.stream(stream, checkpoint, {"availableNow": True}).awaitTermination()
     return state.read()
 
 
+def _offset_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The life of each key within one millisecond; only the offset tells its changes apart."""
+    events = adapters.table(spark, sf_dir, "events")
+    return cdc.flatten_envelope(
+        adapters.envelope(events, F.col("event_id")).withColumns(
+            {"ts_ms": F.lit(0).cast("bigint"), "partition": F.lit(0)}
+        )
+    ).select("event_id", "event_type", "op", "ts_ms", "offset")
+
+
+@registered
+def cdc_equal_versions(spark, sf_dir):
+    """Newest change per key when nothing but the offset tells the changes apart."""
+    return cdc.state_from_log(_offset_changes(spark, sf_dir), ["event_id"])
+
+
+@registered
+def cdc_frame_strip(spark, sf_dir):
+    """Registry-framed messages without their frame."""
+    events = adapters.table(spark, sf_dir, "events")
+    body = F.col("event_type").cast("binary")
+    framed = events.select("event_id", F.concat(F.unhex(F.lit("0000000007")), body).alias("value"))
+    return framed.select("event_id", cdc.strip_confluent_header(F.col("value")).cast("string").alias("body"))
+
+
+@registered
+def cdc_two_consumers(spark, sf_dir):
+    """Two queries with their own checkpoints both get every change: keys and how many copies."""
+    folder = shared_folder(spark, "consumers")
+    for i in range(2):
+        log = cdc.flatten_envelope(_envelope_stream(spark, sf_dir)).select("event_id", "op", "ts_ms")
+        sinks.append_log(
+            log, f"{folder}/checkpoint{i}", f"{folder}/log{i}", trigger={"availableNow": True}
+        ).awaitTermination()
+    both = [spark.read.parquet(f"{folder}/log{i}").withColumn("consumer", F.lit(i)) for i in range(2)]
+    return both[0].unionByName(both[1])
+
+
 # Materialized view ----------------------------------------------------------------------------
 
 
@@ -409,6 +481,21 @@ def mv_stream(spark, sf_dir):
     return view.read()
 
 
+@registered
+def mv_out_of_order(spark, sf_dir):
+    """Batches 0, 5, a compaction, then 2, 1, 3 and 4: none is lost or counted twice."""
+    rows = _event_orders(spark, sf_dir)
+    view = revenue_view(spark, f"{fresh_namespace(spark, 'mv')}.receita_por_hora", rows)
+    part = F.col("order_id") % 6
+    for batch in (0, 5):
+        view.apply_delta(rows.filter(part == batch), batch)
+    view.compact()
+    for batch in (2, 1, 3, 4, 5):
+        view.apply_delta(rows.filter(part == batch), batch)
+    view.compact()
+    return view.read()
+
+
 @registered
 def mv_signed_changes(spark, sf_dir):
     """Changes per country kept from envelopes in three batches, updates and deletes included."""
@@ -438,7 +525,8 @@ def mv_refresh_history(spark, sf_dir):
     view.reset()
     again = shared_folder(spark, "mv_checkpoint")
     view.auto_refresh(source, again, {"availableNow": True}).awaitTermination()
-    return view.refresh_history()
+    ended = (F.col("endtime") >= F.col("starttime")).alias("ended")
+    return view.refresh_history().select("status", "refresh_type", ended).distinct()
 
 
 # Replication ----------------------------------------------------------------------------------
@@ -450,7 +538,7 @@ def _flat_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mirror(spark: SparkSession, schema, deletes: str = "apply") -> Mirror:
     name = f"{fresh_namespace(spark, 'mirror')}.web_events"
-    return Mirror(spark, name, schema, ["event_id"], deletes=deletes, buckets=8)
+    return Mirror(spark, name, schema, ["event_id"], deletes=deletes, buckets=None)
 
 
 def _mirrored(spark: SparkSession, sf_dir: str, deletes: str = "apply") -> Mirror:
@@ -482,6 +570,18 @@ def replica_mirror_stream(spark, sf_dir):
     return mirror.read()
 
 
+@registered
+def replica_equal_versions(spark, sf_dir):
+    """The same as a mirror that gets the later changes first."""
+    rows = _offset_changes(spark, sf_dir)
+    mirror = _mirror(spark, rows.schema)
+    early = F.col("offset") % 4 < 2
+    mirror.apply(rows.filter(~early), 0)
+    mirror.compact()
+    mirror.apply(rows.filter(early), 1)
+    return mirror.read()
+
+
 def _copy_and_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A full copy of orders, and the events as later changes of the same table."""
     copy = cdc.snapshot_as_changes(_orders(spark, sf_dir), 0)
@@ -505,7 +605,7 @@ def replica_initial_load(spark, sf_dir):
     """The same kept as a mirror: the copy becomes its base, the changes its first batch."""
     copy, later = _copy_and_changes(spark, sf_dir)
     name = f"{fresh_namespace(spark, 'mirror')}.vendas"
-    mirror = Mirror(spark, name, copy.schema, ["order_id"], buckets=8)
+    mirror = Mirror(spark, name, copy.schema, ["order_id"], buckets=None)
     mirror.load(copy)
     mirror.apply(later, 0)
     return mirror.read()
@@ -535,6 +635,15 @@ def replica_full_load(spark, sf_dir):
     return result
 
 
+@registered
+def replica_full_load_orders(spark, sf_dir):
+    """One of the landed tables, row by row."""
+    landed = landing.full_load(
+        lambda name: adapters.table(spark, sf_dir, "orders"), ["source.public.orders"], shared_folder(spark, "landing")
+    )
+    return landing.read_landing(spark, landed["source.public.orders"])
+
+
 @registered
 def freshness_lag(spark, sf_dir):
     source = _event_orders(spark, sf_dir)
@@ -589,13 +698,14 @@ def share_proof(spark, sf_dir):
 
 @registered
 def bounded_query(spark, sf_dir):
-    adapters.table(spark, sf_dir, "orders").createOrReplaceTempView("bounded_orders")
+    view = f"bounded_orders_{uuid.uuid4().hex[:8]}"
+    adapters.table(spark, sf_dir, "orders").createOrReplaceTempView(view)
     return query.capped(
         spark,
-        """
+        f"""
         WITH per_customer AS (
           SELECT o_custkey, COUNT(*) AS pedidos, MAX(o_orderdate) AS ultimo
-          FROM bounded_orders GROUP BY o_custkey)
+          FROM {view} GROUP BY o_custkey)
         SELECT o_custkey, pedidos, ultimo FROM per_customer ORDER BY pedidos DESC, o_custkey
         """,
         max_rows=100,

@@ -55,6 +55,20 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The bytes that a plan reads: the sizes of its leaves, whatever it then does with them.
+
+    Leaves whose size Spark does not know, such as rows handed over by the driver, count as none.
+    """
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        size = int(leaves.next().stats().sizeInBytes())
+        total += size if size < unknown else 0
+    return total
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate. An upper-leaning guess: joins multiply their inputs."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from shoreline.session import file_system
+
 # A new consumer reads the topic from its start and outlives expired offsets.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+# Bounds a micro-batch of a landed folder.
+FILES_PER_TRIGGER = 1000
 
 
 def read_change_stream(
@@ -24,15 +30,17 @@ def read_file_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """New Parquet files under ``path`` as a stream; a single file works too.
+    """New Parquet files under ``path`` as a stream, so many of them per micro-batch.
 
-    The last letter is written as a one-letter glob because the file source takes a glob of files
-    but not the bare name of one.
+    The file source takes a folder or a glob of files but not the bare name of one, so a single
+    file is given as a glob that matches nothing else; letters a glob would read are escaped.
     """
     path = path.rstrip("/")
+    fs, place = file_system(spark, path)
+    if fs.isFile(place):
+        head, _, name = path.rpartition("/")
+        path = f"{head}/{re.sub(r'([][{}*?\\,])', r'\\\1', name[:-1])}[{name[-1]}]"
     reader = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)

@@ -5,22 +5,32 @@ merges rows itself, and is written with Spark's own commands for that. A two-par
 Parquet table of the session catalog, which cannot do either: each write makes a new table
 ``t__v<N>`` and then points the view ``t`` at it. Readers see the old version or the new one,
 never a mixture, and a write that dies half-way leaves the view alone. One writer per table.
+
+A table made by ``upsert`` is stored in folders by a hash of its keys. A later upsert writes anew
+only the folders that its keys fall in; the new version shares all others with the old one.
+Replaced versions stay for ``RETAIN_SECONDS``, for readers that began on them.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from shoreline.session import fits_broadcast
+from shoreline.session import input_bytes, file_system
 
 CURRENT = "shoreline.version"
-# The current version and the one before, for readers that started on it.
-KEEP_VERSIONS = 2
+# The keys, and for each hash folder where its files are.
+KEYS, PARTS = "shoreline.keys", "shoreline.parts"
+PART = "__part"
+PART_BYTES = 256 << 20
+# A long job reads a replaced version for at most this long.
+RETAIN_SECONDS = 7 * 24 * 3600
 
 
 class SchemaMismatchError(ValueError):
@@ -68,7 +78,7 @@ def table_property(spark: SparkSession, name: str, key: str) -> str | None:
 
 def is_version(table: str) -> bool:
     """True for the physical table of some version, as opposed to the name users read."""
-    return re.search(r"__v\d{8}_[0-9a-f]{8}$", table) is not None
+    return re.search(r"__v\d{8}_[0-9a-f]{16}$", table) is not None
 
 
 def is_internal(table: str) -> bool:
@@ -82,6 +92,49 @@ def _versions(spark: SparkSession, name: str) -> list[str]:
     return sorted(f"{namespace}.{r['tableName']}" for r in found if is_version(r["tableName"]))
 
 
+def _new_version(spark: SparkSession, name: str) -> str:
+    """The next physical table's name: its number, when it was begun, and a random end that lets a
+    retry ignore the folder of an attempt that died."""
+    older = _versions(spark, name)
+    number = int(older[-1].rpartition("__v")[2].split("_")[0]) + 1 if older else 1
+    return f"{name}__v{number:08d}_{int(time.time()):08x}{uuid.uuid4().hex[:8]}"
+
+
+def _point(spark: SparkSession, name: str, physical: str, columns: Sequence[str], properties: dict[str, str]) -> None:
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in {**properties, CURRENT: physical}.items())
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({pairs}) AS SELECT {listed} FROM {physical}")
+    vacuum(spark, name)
+
+
+def vacuum(spark: SparkSession, name: str, retain_seconds: int = RETAIN_SECONDS) -> list[str]:
+    """Drop versions that were replaced longer ago than that; returns them.
+
+    A version is replaced when the next one is made. Folders go when no version left uses them.
+    """
+    versions, current = _versions(spark, name), current_version(spark, name)
+    made = [int(v[-16:-8], 16) for v in versions]
+    stale = [
+        v
+        for v, replaced in zip(versions, made[1:])
+        if v != current and replaced <= time.time() - retain_seconds
+    ]
+    for physical in stale:
+        spark.sql(f"DROP TABLE IF EXISTS {physical}")
+    root = _parts_root(spark, name)
+    fs, path = file_system(spark, root)
+    if stale and fs.exists(path):
+        used = {place for v in _versions(spark, name) for place in _places(spark, v).values()}
+        for status in fs.listStatus(path):
+            version = status.getPath().getName()
+            if f"{_split(name)[0]}.{version}" not in stale:
+                continue
+            for part in fs.listStatus(status.getPath()):
+                if f"{version}/{part.getPath().getName()}" not in used:
+                    fs.delete(part.getPath(), True)
+    return stale
+
+
 def _write_version(
     df: DataFrame,
     name: str,
@@ -91,10 +144,7 @@ def _write_version(
     properties: dict[str, str],
 ) -> str:
     spark = df.sparkSession
-    older = _versions(spark, name)
-    number = int(older[-1].rpartition("__v")[2].split("_")[0]) + 1 if older else 1
-    # The random end lets a retry ignore the folder of an attempt that died.
-    physical = f"{name}__v{number:08d}_{uuid.uuid4().hex[:8]}"
+    physical = _new_version(spark, name)
     if cluster_by:
         # One task per bucket, hence one sorted file per bucket.
         df = df.repartition(buckets, *cluster_by)
@@ -107,10 +157,52 @@ def _write_version(
     if cluster_by:
         writer = writer.bucketBy(buckets, *cluster_by).sortBy(*cluster_by)
     writer.saveAsTable(physical)
-    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in {**properties, CURRENT: physical}.items())
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({pairs}) AS SELECT * FROM {physical}")
-    for stale in [*older, physical][:-KEEP_VERSIONS]:
-        spark.sql(f"DROP TABLE IF EXISTS {stale}")
+    _point(spark, name, physical, spark.table(physical).columns, properties)
+    return physical
+
+
+def buckets_for(size: int, bucket_bytes: int = PART_BYTES) -> int:
+    """How many buckets or hash folders so many bytes are worth."""
+    return max(1, -(-size // bucket_bytes))
+
+
+def _parts_root(spark: SparkSession, name: str) -> str:
+    namespace, table = _split(name)
+    return f"{spark.catalog.getDatabase(namespace).locationUri.rstrip('/')}/{table}__parts"
+
+
+def _places(spark: SparkSession, physical: str) -> dict[str, str]:
+    """The folder of each hash part of a version, below the table's folder of parts."""
+    return json.loads(_view_property(spark, physical, PARTS) or "{}")
+
+
+def _part_of(keys: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def _write_parts(
+    df: DataFrame, name: str, keys: Sequence[str], parts: int, kept: dict[str, str]
+) -> str:
+    """A new version from these rows' folders and the kept ones, which are not touched."""
+    spark = df.sparkSession
+    physical, root = _new_version(spark, name), _parts_root(spark, name)
+    version = _split(physical)[1]
+    stored = df.withColumn(PART, _part_of(keys, parts))
+    stored.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{root}/{version}")
+    fs, path = file_system(spark, f"{root}/{version}")
+    made = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    places = {**kept, **{n.partition("=")[2]: f"{version}/{n}" for n in made if n.startswith(PART)}}
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    spark.sql(
+        f"CREATE TABLE {physical} ({columns}, {PART} int) USING parquet "
+        f"OPTIONS (path '{root}/{version}') PARTITIONED BY ({PART}) "
+        f"TBLPROPERTIES ('{PARTS}' = '{json.dumps(places)}')"
+    )
+    if places:
+        added = " ".join(f"PARTITION ({PART}={p}) LOCATION '{root}/{place}'" for p, place in places.items())
+        spark.sql(f"ALTER TABLE {physical} ADD IF NOT EXISTS {added}")
+    properties = {KEYS: json.dumps([*keys, parts])}
+    _point(spark, name, physical, df.columns, properties)
     return physical
 
 
@@ -132,17 +224,35 @@ def assert_schema_matches(
     spark: SparkSession, name: str, df: DataFrame, check_types: bool = False
 ) -> None:
     """Fail before writing when the ordered column names (and types, if asked) differ."""
-
-    def shape(schema: T.StructType) -> list[str]:
-        return [
-            f"{f.name} {f.dataType.simpleString()}" if check_types else f.name for f in schema
-        ]
-
-    existing, incoming = shape(spark.table(name).schema), shape(df.schema)
-    if existing != incoming:
-        raise SchemaMismatchError(
-            f"schema of {name} differs.\n  existing table: {existing}\n  incoming data: {incoming}"
-        )
+    stored = {f.name: (i, f.dataType) for i, f in enumerate(spark.table(name).schema)}
+    given = {f.name: (i, f.dataType) for i, f in enumerate(df.schema)}
+    faults = [f"column {c} is missing" for c in stored if c not in given]
+    faults += [f"column {c} is not in the table" for c in given if c not in stored]
+    if not faults:
+        for column, (place, kind) in stored.items():
+            at, other = given[column]
+            if at != place:
+                faults.append(f"column {column} is number {at + 1} instead of {place + 1}")
+            if check_types and other != kind:
+                faults.append(f"column {column} is {other.simpleString()} instead of {kind.simpleString()}")
+    if faults:
+        raise SchemaMismatchError(f"{name}: {'; '.join(faults)}")
+
+
+def as_stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """The rows in the table's types. A value that its type cannot hold fails the write."""
+    schema = spark.table(name).schema
+
+    def cast(field: T.StructField) -> Column:
+        value, given = F.col(f"`{field.name}`"), df.schema[field.name].dataType
+        if given == field.dataType:
+            return value
+        held = value.try_cast(field.dataType)
+        lost = value.isNotNull() & ~held.try_cast(given).eqNullSafe(value)
+        text = F.concat(F.lit(f"{name}.{field.name} is {field.dataType.simpleString()} and cannot hold "), value.cast("string"))
+        return F.when(lost, F.raise_error(text).cast(field.dataType)).otherwise(held).alias(field.name)
+
+    return df.select(*[cast(f) for f in schema])
 
 
 def overwrite_table(
@@ -168,6 +278,7 @@ def overwrite_table(
         return name
     if table_exists(spark, name):
         assert_schema_matches(spark, name, df)
+        df = as_stored(spark, name, df)
     return _write_version(df, name, partition_by, cluster_by, buckets, properties or {})
 
 
@@ -180,6 +291,8 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP VIEW IF EXISTS {name}")
     for physical in older:
         spark.sql(f"DROP TABLE IF EXISTS {physical}")
+    fs, path = file_system(spark, _parts_root(spark, name))
+    fs.delete(path, True)
 
 
 def bulk_load(spark: SparkSession, path: str, name: str) -> None:
@@ -189,6 +302,12 @@ def bulk_load(spark: SparkSession, path: str, name: str) -> None:
     if has_row_level_writes(name):
         incoming.writeTo(name).append()
         return
+    layout = table_property(spark, name, KEYS)
+    if layout:
+        *keys, parts = json.loads(layout)
+        both = spark.table(name).unionByName(as_stored(spark, name, incoming))
+        _write_parts(both, name, keys, parts, {})
+        return
     incoming.write.insertInto(current_version(spark, name))
 
 
@@ -218,21 +337,18 @@ def _checked_source(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFra
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with ``source`` rows replacing those of equal key and added where new.
+    """``target`` with every row whose key is in ``source`` updated, and the other source rows added.
 
-    ``source`` holds a key once. A small one, by Catalyst's size check, is broadcast against the
-    target, which then is neither shuffled nor sorted. Otherwise one full outer join reads each
-    side once. NULL target keys match nothing and stay.
+    ``source`` holds a key once. Target rows that repeat a key are all updated; NULL target keys
+    match nothing and stay. Whether a join is broadcast or shuffled is Catalyst's choice and does
+    not change the result; either way its hot keys can be split.
     """
     keys = list(keys)
-    if fits_broadcast(source):
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        return kept.select(*target.columns).unionByName(source)
-    new = source.select(F.struct(*source.columns).alias("new"), *keys)
-    old = target.select(F.struct(*target.columns).alias("old"), *keys)
-    same = reduce(Column.__and__, [old[k] == new[k] for k in keys])
-    both = old.join(new, same, "full_outer")
-    return both.select(F.coalesce("new", "old").alias("row")).select("row.*")
+    new = source.select(*keys, F.struct(*source.columns).alias("new"))
+    old = target.select(*keys, F.struct(*target.columns).alias("old"))
+    updated = old.join(new, keys, "left").select(F.coalesce("new", "old").alias("row")).select("row.*")
+    added = source.join(target.select(*keys), keys, "left_anti").select(*target.columns)
+    return updated.unionByName(added)
 
 
 def upsert(
@@ -243,16 +359,19 @@ def upsert(
     *,
     unique: bool = False,
     buckets: int = 0,
+    parts: int = 0,
 ) -> str:
     """Update the rows whose key exists, insert the others; nothing is deleted.
 
     ``unique`` promises that the keys of ``df`` do not repeat (it was deduplicated on them) and
-    saves the check. ``buckets`` stores the table clustered by its keys, so the next upsert
-    shuffles only its source.
+    saves the check. The table is kept in ``parts`` folders by a hash of the keys (as many as its
+    first rows' bytes are worth, if not given), and only folders that the source's keys fall in
+    are read and written. ``buckets`` stores it instead clustered by its keys: later joins on them
+    shuffle only their other side, but every upsert writes the table anew.
     """
     ensure_namespace(spark, _split(name)[0])
-    source = _checked_source(df, keys, unique)
     if has_row_level_writes(name):
+        source = _checked_source(df, keys, unique)
         ensure_table(spark, name, df.schema)
         assert_schema_matches(spark, name, df)
         on = reduce(
@@ -261,7 +380,27 @@ def upsert(
         merge = source.alias("source").mergeInto(name, on)
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return name
-    if table_exists(spark, name):
-        assert_schema_matches(spark, name, df)
-        source = merge_rows(spark.table(name), source, keys)
-    return _write_version(source, name, (), tuple(keys) if buckets else (), buckets, {})
+    if not table_exists(spark, name):
+        source = _checked_source(df, keys, unique)
+        if buckets:
+            return _write_version(source, name, (), tuple(keys), buckets, {})
+        return _write_parts(source, name, keys, parts or buckets_for(input_bytes(df)), {})
+    assert_schema_matches(spark, name, df)
+    source = _checked_source(as_stored(spark, name, df), keys, unique)
+    if buckets:
+        merged = merge_rows(spark.table(name), source, keys)
+        return _write_version(merged, name, (), tuple(keys), buckets, {})
+    layout = json.loads(table_property(spark, name, KEYS) or "[]")
+    target = spark.table(name)
+    worth = buckets_for(input_bytes(target))
+    if layout[:-1] != list(keys) or worth > 2 * layout[-1]:
+        # not stored by these keys so far, or grown out of its folders: from now on it is
+        merged = merge_rows(target, source, keys)
+        return _write_parts(merged, name, keys, parts or worth, {})
+    stored, physical = layout[-1], current_version(spark, name)
+    part = _part_of(keys, stored)
+    touched = sorted(r[0] for r in source.select(part).distinct().collect())
+    places = _places(spark, physical)
+    target = spark.table(physical).where(F.col(PART).isin(touched)).drop(PART)
+    kept = {p: place for p, place in places.items() if int(p) not in touched}
+    return _write_parts(merge_rows(target, source, keys), name, keys, stored, kept)

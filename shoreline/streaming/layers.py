@@ -2,8 +2,12 @@
 
 A batch adds a folder of already reduced rows and touches nothing else, so a micro-batch costs
 what it brings in, not what the table holds. Readers merge base and folders; ``compact`` folds the
-folders into a new base from time to time. A batch that is replayed after a crash finds its
-folder complete and is skipped. One writer per table.
+folders into a new base from time to time. One writer per table.
+
+A batch counts once its commit file is there, which is written after its rows, whatever the file
+committer leaves behind. A batch that is replayed after a crash finds its commit and is skipped.
+Only batches without a gap before them are folded, so one that arrives late is never taken for a
+replay.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from shoreline.session import estimated_bytes, file_system
+from shoreline.session import file_system, input_bytes
 from shoreline.sources import tables
 
 THROUGH = "shoreline.through"
@@ -25,7 +29,7 @@ class LayeredTable:
         name: str,
         schema: T.StructType,
         cluster_by: Sequence[str] = (),
-        buckets: int = 0,
+        buckets: int | None = 0,
     ):
         if tables.has_row_level_writes(name):
             raise ValueError(f"{name}: a format with row-level writes merges batches itself")
@@ -43,9 +47,12 @@ class LayeredTable:
         found = tables.table_property(self.spark, self.base_name, THROUGH)
         return -1 if found is None else int(found)
 
-    def _is_complete(self, batch: int) -> bool:
-        fs, marker = file_system(self.spark, f"{self.folder}/batch={batch}/_SUCCESS")
-        return fs.exists(marker)
+    def _commits(self) -> set[int]:
+        """Batches whose rows are all there, by one listing."""
+        fs, root = file_system(self.spark, f"{self.folder}/_commits")
+        if not fs.exists(root):
+            return set()
+        return {int(status.getPath().getName()) for status in fs.listStatus(root)}
 
     def _batches(self) -> list[int]:
         fs, root = file_system(self.spark, self.folder)
@@ -57,14 +64,16 @@ class LayeredTable:
     def pending(self) -> list[int]:
         """Complete batches that are not in the base yet."""
         through = self.through()
-        return [b for b in self._batches() if b > through and self._is_complete(b)]
+        return sorted(b for b in self._commits() if b > through)
 
     def append(self, rows: DataFrame, batch: int) -> bool:
         """Write a batch's rows unless that batch is already there."""
-        if batch <= self.through() or self._is_complete(batch):
+        if batch <= self.through() or batch in self._commits():
             return False
         columns = rows.select(*self.schema.names)
         columns.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
+        fs, marker = file_system(self.spark, f"{self.folder}/_commits/{batch}")
+        fs.create(marker, True).close()
         return True
 
     def check_checkpoint(self, checkpoint: str) -> None:
@@ -106,14 +115,19 @@ class LayeredTable:
     def rows(self) -> DataFrame:
         return self.merged(self.base(), self.layers(self.pending()))
 
-    def replace_base(self, rows: DataFrame, through: int) -> None:
-        """Make these rows the base and, in the same step, that batch the last one in it."""
+    def replace_base(self, rows: DataFrame, through: int, size: int) -> None:
+        """Make these rows the base and, in the same step, that batch the last one in it.
+
+        ``size`` is what the rows were made from, in bytes; unless a number of buckets was set,
+        it says how many the base gets.
+        """
+        buckets = tables.buckets_for(size) if self.buckets is None else self.buckets
         tables.overwrite_table(
             self.spark,
             rows.select(*self.schema.names),
             self.base_name,
-            cluster_by=self.cluster_by if self.buckets else (),
-            buckets=self.buckets,
+            cluster_by=self.cluster_by if buckets else (),
+            buckets=buckets,
             properties={THROUGH: str(through)},
         )
 
@@ -128,22 +142,29 @@ class LayeredTable:
             return 0
         base = self.base()
         if base is not None and len(pending) < 20 * every:
-            if estimated_bytes(self.layers(pending)) * 10 < estimated_bytes(base):
+            if input_bytes(self.layers(pending)) * 10 < input_bytes(base):
                 return 0
         return self.compact()
 
     def compact(self) -> int:
-        """Fold the complete batches into a new base; returns how many there were.
+        """Fold the batches that follow the base without a gap into a new base; returns how many.
 
         The folders folded now stay until the next compaction, for readers already using them.
         """
-        pending = self.pending()
-        if not pending:
-            return 0
         before = self.through()
-        self.replace_base(self.merged(self.base(), self.layers(pending)), pending[-1])
+        waiting = self.pending()
+        run = [b for i, b in enumerate(waiting) if b == before + 1 + i]
+        if not run:
+            return 0
+        base, layers = self.base(), self.layers(run)
+        size = input_bytes(layers) + (0 if base is None else input_bytes(base))
+        self.replace_base(self.merged(base, layers), run[-1], size)
         for batch in self._batches():
             if batch <= before:
                 fs, path = file_system(self.spark, f"{self.folder}/batch={batch}")
                 fs.delete(path, True)
-        return len(pending)
+        for batch in self._commits():
+            if batch <= before:
+                fs, path = file_system(self.spark, f"{self.folder}/_commits/{batch}")
+                fs.delete(path, False)
+        return len(run)

@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shoreline.operators.cdc import latest_by_version
+from shoreline.operators.cdc import latest_by_version, version_order
+from shoreline.session import input_bytes
 from shoreline.streaming.layers import LayeredTable
 
 
 class Mirror(LayeredTable):
-    """Newest row per key, whatever order the changes arrive in.
+    """Newest row per key, whatever order the changes arrive in (``cdc.version_order``).
 
     Deleted keys stay stored with their version and are only hidden on read; otherwise an older
     update arriving late would bring the row back. ``deletes="ignore"`` drops delete events
@@ -29,7 +30,7 @@ class Mirror(LayeredTable):
         version: Sequence[str] = ("ts_ms",),
         op_col: str = "op",
         deletes: str = "apply",
-        buckets: int = 0,
+        buckets: int | None = 0,
     ):
         if deletes not in ("apply", "ignore"):
             raise ValueError("deletes is 'apply' or 'ignore'")
@@ -41,19 +42,20 @@ class Mirror(LayeredTable):
         """Start from a full copy of the source, as change rows, written straight to the base."""
         if self.base() is not None or self.pending():
             raise ValueError(f"{self.name} already holds rows")
-        rows = latest_by_version(snapshot.dropna(subset=self.keys), self.keys, self.version)
-        self.replace_base(rows, through=-1)
+        rows = latest_by_version(snapshot.dropna(subset=self.keys), self.keys, self.version, self.op_col)
+        self.replace_base(rows, through=-1, size=input_bytes(snapshot))
 
     def apply(self, changes: DataFrame, batch: int) -> bool:
         """Add one batch of flat change rows, reduced to the newest per key."""
         keyed = changes.dropna(subset=self.keys)
         if self.deletes == "ignore":
             keyed = keyed.filter(~F.col(self.op_col).eqNullSafe("d"))
-        return self.append(latest_by_version(keyed, self.keys, self.version), batch)
+        return self.append(latest_by_version(keyed, self.keys, self.version, self.op_col), batch)
 
     def _ranked(self, df: DataFrame, name: str) -> DataFrame:
-        rest = [c for c in self.schema.names if c not in self.version]
-        return df.select(F.struct(*self.version, *rest).alias(name), *self.keys)
+        order = version_order(self.schema.names, self.version, self.op_col)
+        rest = [c for c in self.schema.names if c not in self.version and c != "offset"]
+        return df.select(F.struct(*order, *rest).alias(name), *self.keys)
 
     def merged(self, base: DataFrame | None, layers: DataFrame | None) -> DataFrame:
         """One row per key from both sides.
@@ -63,7 +65,7 @@ class Mirror(LayeredTable):
         """
         if layers is None:
             return self.empty() if base is None else base
-        newest = latest_by_version(layers, self.keys, self.version)
+        newest = latest_by_version(layers, self.keys, self.version, self.op_col)
         if base is None:
             return newest
         old, new = self._ranked(base, "old"), self._ranked(newest, "new")

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shoreline.plans import oracle, registry
 from tools.check_oracle import normal
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.SQL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are absent")
 
@@ -23,8 +24,8 @@ def duck():
 
 
 def test_every_sql_has_its_query():
-    assert set(SQL) <= set(entry.queries())
-    assert set(entry.queries()) - set(SQL) == {"mv_refresh_history"}
+    assert set(SQL) == set(registry.QUERIES)
+    assert set(SQL) <= set(entry.oracle_sql()) and set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
@@ -39,6 +40,10 @@ def test_query_equals_its_sql(spark, duck, name):
     assert normal(got) == normal(want)
 
 
-def test_refresh_history_has_both_kinds(spark):
-    found = entry.queries()["mv_refresh_history"](spark, SF_DIR).toPandas()
-    assert sorted(found["refresh_type"]) == ["Auto", "Manual"]
+def test_streams_take_several_bounded_batches(spark):
+    """A landed folder is read a few files at a time."""
+    stream = registry._event_stream(spark, SF_DIR)
+    seen = []
+    query = stream.writeStream.foreachBatch(lambda batch, number: seen.append(number))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) > 1

@@ -1,73 +1,54 @@
+"""Hot join keys are split by adaptive execution, by the blocks that the map tasks wrote for them."""
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
-from shoreline.operators.skew import hot_keys, skew_join
-
-
-@pytest.fixture(scope="module")
-def sides(spark):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"),
-        F.col("id").alias("row"),
-    )
-    right = spark.range(60).selectExpr("id % 45 AS k", "id AS r")
-    return left.cache(), right.cache()
-
-
-def test_hot_keys_get_parts_by_their_size(sides):
-    left, _ = sides
-    assert rows(hot_keys(left, ["k"], rows_per_task=300, most=10)) == [(7, 4)]
-    assert hot_keys(left, ["k"], rows_per_task=10**6, most=10) is None
-    assert hot_keys(left, ["k"], rows_per_task=1, most=3).count() == 3
+SMALL = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100b",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100b",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("rows_per_task, most", [(10, 100), (10, 2), (300, 100), (10**6, 100)])
-def test_same_rows_as_the_plain_join(sides, no_broadcast, how, rows_per_task, most):
-    left, right = sides
-    got = skew_join(left, right, ["k"], how, rows_per_task=rows_per_task, most=most)
-    assert got.columns == ["k", "row", "r"]
-    assert rows(got) == rows(left.join(right, ["k"], how))
-
-
-def test_hot_keys_may_be_looked_for_elsewhere(sides, no_broadcast):
-    left, right = sides
-    got = skew_join(left, right, ["k"], hot_in=right, rows_per_task=1)
-    assert rows(got) == rows(left.join(right, ["k"]))
-
-
-def test_composite_keys(spark, no_broadcast):
-    left = spark.range(200).selectExpr("id % 2 AS a", "IF(id % 4 = 0, 'x', 'y') AS b", "id AS row")
-    right = spark.createDataFrame([(0, "x", 1), (1, "y", 2), (0, "y", 3)], "a bigint, b string, r int")
-    got = skew_join(left, right, ["a", "b"], rows_per_task=10)
-    assert rows(got) == rows(left.join(right, ["a", "b"]))
+@pytest.fixture
+def small_partitions(spark, no_broadcast):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def most_rows_in_a_task(df):
-    per_task = df.groupBy(F.spark_partition_id()).count()
-    return per_task.agg(F.max("count")).first()[0]
+    # the payload is looked at, or Spark would not even shuffle it
+    counted = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("v"))
+    return counted.agg(F.max("n")).first()[0]
 
 
 @pytest.mark.parametrize("key, how", [("7", "inner"), ("cast(NULL AS bigint)", "left")])
-def test_a_hot_key_is_spread_over_tasks(spark, no_broadcast, key, how):
-    left = spark.range(4000).selectExpr(f"IF(id % 3 = 0, {key}, id) AS k", "id AS row")
-    right = spark.range(4000).selectExpr("id AS k", "id AS r")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_a_hot_key_is_spread_over_tasks(spark, small_partitions, key, how):
+    left = spark.range(8000, numPartitions=16).selectExpr(f"IF(id % 3 = 0, {key}, id) AS k", "md5(string(id)) AS v")
+    right = spark.range(8000).selectExpr("id AS k", "id AS r")
+    joined = left.join(right, "k", how)
+    assert most_rows_in_a_task(joined) < 2000
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        spread = most_rows_in_a_task(skew_join(left, right, ["k"], how, rows_per_task=50))
-        plain = most_rows_in_a_task(left.join(right, ["k"], how))
+        assert most_rows_in_a_task(left.join(right, "k", how)) > 2666
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plain > 1333 and spread < 800
-
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
 
-def test_small_sides_are_left_to_catalyst(spark):
-    left = spark.range(100).withColumnRenamed("id", "k")
-    joined = skew_join(left, left.withColumn("r", F.lit(1)), ["k"], rows_per_task=1)
-    assert "BroadcastHashJoin" in plan(joined) and "_salt" not in plan(joined)
 
+def test_building_a_plan_runs_no_job(spark, no_broadcast, tmp_path):
+    from shoreline.plans import adapters
 
-def test_other_join_types_are_refused(sides):
-    with pytest.raises(ValueError):
-        skew_join(*sides, ["k"], "full")
+    order = spark.range(5).selectExpr("id AS o_orderkey", "id AS o_custkey", "'x' AS o_orderpriority")
+    customer = spark.range(5).selectExpr("id AS c_custkey", "'n' AS c_name")
+    part = spark.range(5).selectExpr("id AS p_partkey", "'p' AS p_name", "'t' AS p_type", "'b' AS p_brand")
+    line = spark.range(5).selectExpr("id AS l_orderkey", "id AS l_partkey", "1 AS l_linenumber", "1.0 AS l_quantity", "1.0 AS l_extendedprice", "0.1 AS l_discount")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    sales = adapters.sales(line, part, order, customer)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert sales.count() == 5

@@ -148,10 +148,12 @@ def test_listing_orders_by_category_first_unless_asked_for_the_top(spark, star_t
                  FROM fact_sales s JOIN dim_product p ON s.category = p.category
                  GROUP BY p.category, p.product_name"""
     args = (star_tables["fact_sales"], star_tables["dim_product"])
-    by_name = [tuple(r) for r in reports.category_sales_listing(*args, top=4).collect()]
+    by_name = [tuple(r) for r in reports.category_sales_listing(*args, top=4, names=True).collect()]
     want = spark.sql(f"{literal} ORDER BY category, total_sales DESC, product_name LIMIT 4")
     assert by_name == [tuple(r) for r in want.collect()]
-    best = [tuple(r) for r in reports.category_sales_listing(*args, top=4, true_top_n=True).collect()]
+    shown = reports.category_sales_listing(*args, top=4)
+    assert [tuple(r) for r in shown.collect()] == [(c, t) for c, _, t in by_name]
+    best = [tuple(r) for r in reports.category_sales_listing(*args, top=4, true_top_n=True, names=True).collect()]
     want = spark.sql(f"{literal} ORDER BY total_sales DESC, category, product_name LIMIT 4")
     assert best == [tuple(r) for r in want.collect()]
 

@@ -123,6 +123,49 @@ def test_a_replayed_batch_changes_nothing(spark, namespace):
     assert rows(mirror.read()) == [("a", 1, "c", 1)]
 
 
+def test_a_batch_that_skips_numbers_waits_for_them(spark, namespace):
+    """Nothing after a gap is folded, so the missing batch is not taken for a replay."""
+    schema = spark.createDataFrame([], LOG).schema
+    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
+    one = lambda k, ts: spark.createDataFrame([(k, 1, "c", ts)], LOG)
+    assert mirror.apply(one("a", 1), 0) and mirror.apply(one("f", 6), 5)
+    assert mirror.compact() == 1 and mirror.through() == 0
+    assert mirror.apply(one("c", 3), 2) and mirror.compact() == 0
+    assert mirror.apply(one("b", 2), 1) and mirror.compact() == 2 and mirror.through() == 2
+    assert not mirror.apply(one("x", 9), 1) and not mirror.apply(one("x", 9), 5)
+    assert [r.k for r in mirror.read().orderBy("k").collect()] == ["a", "b", "c", "f"]
+
+
+def test_commits_do_not_depend_on_the_committers_marker(spark, namespace):
+    schema = spark.createDataFrame([], LOG).schema
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
+        assert mirror.apply(spark.createDataFrame([("a", 1, "c", 1)], LOG), 0)
+        assert mirror.read().count() == 1
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_equal_versions_are_settled_by_arrival_or_for_the_delete(spark, namespace):
+    fields = "k string, v string, op string, ts_ms bigint, offset bigint"
+    changes_ = [("a", "zeta", "u", 1, 1), ("a", "alpha", "u", 1, 2), ("b", "x", "u", 1, 3), ("b", "x", "d", 1, 4), ("c", "x", "d", 1, 5), ("c", "y", "c", 1, 6)]
+    log = spark.createDataFrame(changes_, fields)
+    assert [(r.k, r.v) for r in cdc.state_from_log(log, ["k"]).orderBy("k").collect()] == [("a", "alpha"), ("c", "y")]
+    mirror = Mirror(spark, f"{namespace}.m", log.schema, ["k"])
+    for batch, rows_ in enumerate([changes_[1::2], changes_[::2]]):
+        mirror.apply(spark.createDataFrame(rows_, fields), batch)
+        mirror.compact()
+    assert [(r.k, r.v) for r in mirror.read().orderBy("k").collect()] == [("a", "alpha"), ("c", "y")]
+    bare = spark.createDataFrame([("b", 9, "u", 1), ("b", 1, "d", 1)], LOG)
+    assert cdc.state_from_log(bare, ["k"]).count() == 0
+    late = Mirror(spark, f"{namespace}.n", bare.schema, ["k"])
+    late.apply(bare.where("op = 'u'"), 0)
+    late.apply(bare.where("op = 'd'"), 1)
+    assert late.read().count() == 0
+
+
 def test_a_late_update_does_not_bring_a_deleted_row_back(spark, namespace):
     schema = spark.createDataFrame([], LOG).schema
     mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
