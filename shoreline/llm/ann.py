@@ -7,7 +7,7 @@ relaxed pruning keeps a proposal only if no kept neighbour is ``RELAX`` times ne
 point is. Kept edges are also entered in reverse, and lists that grow too long are pruned again.
 
 Search: every block of queries meets every shard of its dimension once. A beam of ``BEAM`` points
-walks the graph; all points of the final beam are scored exactly, in double precision on the
+walks the graph from ``ENTRIES`` points that lie far apart; all points of the final beam are scored exactly, in double precision on the
 original vectors, and the best of all shards are ranked.
 
 Equal vectors are one point that carries its least ids, as many as a result can show. Vectors that
@@ -29,7 +29,8 @@ SHARD = 8192
 DEGREE = 40
 BUILD_BEAM = 80
 BEAM = 128
-RELAX = 1.2
+RELAX = 1.5
+ENTRIES = 64
 BLOCK = 512
 QUERIES = 1024
 EXPAND = 4
@@ -123,8 +124,19 @@ def prune(points: np.ndarray, own: np.ndarray, ids: np.ndarray, degree: int, rel
     return out
 
 
-def build(points: np.ndarray, seed: int = 11) -> tuple[np.ndarray, int]:
-    """Neighbour lists of all points, and the point where searches start."""
+def entries(points: np.ndarray, first: int) -> np.ndarray:
+    """Points to begin searches at: each next one is the farthest from those before, so that a
+    dense cluster is not all that a search gets to see."""
+    chosen = [first]
+    far = ((points - points[first]) ** 2).sum(1)
+    while len(chosen) < min(ENTRIES, len(points)):
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((points - points[chosen[-1]]) ** 2).sum(1))
+    return np.unique(chosen)
+
+
+def build(points: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbour lists of all points, and the points where searches start."""
     n = len(points)
     points = points.astype(np.float32)
     squares = (points**2).sum(1)
@@ -140,7 +152,7 @@ def build(points: np.ndarray, seed: int = 11) -> tuple[np.ndarray, int]:
             kept = prune(points, own, np.concatenate([near, edges[own]], axis=1) if relax > 1 else near, degree, relax)
             edges[own] = kept
             _reverse(points, edges, own, kept, degree, relax)
-    return edges.astype(np.int32), medoid
+    return edges.astype(np.int32), entries(points, medoid)
 
 
 def _reverse(points: np.ndarray, edges: np.ndarray, own: np.ndarray, kept: np.ndarray, degree: int, relax: float) -> None:
@@ -221,7 +233,7 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
                 "dim": [whole.shape[1]],
                 "shard": [int(shard["shard"].iloc[0])],
                 "longest": [float(shard["longest"].iloc[0])],
-                "start": [start],
+                "start": [start.tolist()],
                 "whole": [whole.tobytes()],
                 "edges": [edges.tobytes()],
                 "ids": [np.concatenate(ids).astype(np.int64).tobytes()],
@@ -229,7 +241,7 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
             }
         )
 
-    graph = "dim int, shard long, longest double, start int, whole binary, edges binary, ids binary, counts binary"
+    graph = "dim int, shard long, longest double, start array<int>, whole binary, edges binary, ids binary, counts binary"
     shards = written(dealt.groupBy("dim", "shard").applyInPandas(index, graph), "graphs")
 
     asked = good.where(F.col("vec_id") % every == 0)
@@ -250,7 +262,7 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
         extra = np.sqrt(np.maximum(row["longest"] - (whole**2).sum(1), 0))
         points = np.concatenate([whole, extra[:, None]], axis=1).astype(np.float32)
         squares = (points**2).sum(1)
-        start = np.arange(len(whole)) if len(whole) <= BEAM else np.array([row["start"]])
+        start = np.arange(len(whole)) if len(whole) <= BEAM else np.array(row["start"])
         out = []
         queries = row["queries"]
         for begin in range(0, len(queries), BLOCK // 2):

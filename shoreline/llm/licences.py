@@ -5,8 +5,8 @@ licence rules are matched against the sequence of identifiers; the first rule of
 matches names the licence. All of it happens inside one row, so there is no shuffle.
 
 Sentences are found twice: within single lines, since notices often stand on a line of their own
-without a full stop before them, and across line breaks, since long licences are wrapped. Both
-sequences are matched.
+without a full stop before them, and across line breaks but not blank lines, since long licences
+are wrapped. Both sequences are matched.
 
 A sentence is normalised by lower-casing, by writing years, addresses and holders away and by
 turning all runs of other characters into one blank. Texts without any of the anchor words that
@@ -121,6 +121,7 @@ NORMAL_STEPS = (
     (r"[^a-z0-9]+", " "),
 )
 LINE_ENDS = r"[\n\r]+"
+PARAGRAPH_ENDS = r"[\n\r][ \t]*[\n\r][ \t\n\r]*"
 SENTENCE_ENDS = r"[.;:!?]+(?=[ \n\r\t])|[;:!?]+"
 
 
@@ -151,7 +152,8 @@ def scan(docs: DataFrame) -> DataFrame:
     lowered = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     anchored = reduce(or_, (F.col("lowered").contains(anchor) for anchor in ANCHORS))
     in_lines = identifiers(F.regexp_replace("lowered", LINE_ENDS, " ; "))
-    across = identifiers(F.regexp_replace("lowered", LINE_ENDS, " "))
+    paragraphs = F.regexp_replace("lowered", PARAGRAPH_ENDS, " ; ")
+    across = identifiers(F.regexp_replace(paragraphs, LINE_ENDS, " "))
     nothing = F.array().cast("array<string>")
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered.alias("lowered")).select(
         "doc_id",
@@ -212,7 +214,7 @@ WITH t AS (
 ), f AS (
   SELECT doc_id,
     CASE WHEN regexp_matches(lowered, {anchors}) THEN {named("regexp_replace(lowered, '[\\n\\r]+', ' ; ', 'g')")} ELSE [] END AS in_lines,
-    CASE WHEN regexp_matches(lowered, {anchors}) THEN {named("regexp_replace(lowered, '[\\n\\r]+', ' ', 'g')")} ELSE [] END AS across
+    CASE WHEN regexp_matches(lowered, {anchors}) THEN {named("regexp_replace(regexp_replace(lowered, '[\\n\\r][ \\t]*[\\n\\r][ \\t\\n\\r]*', ' ; ', 'g'), '[\\n\\r]+', ' ', 'g')")} ELSE [] END AS across
   FROM t
 ), q AS (
   SELECT doc_id, list_concat(in_lines, across) AS sentences,

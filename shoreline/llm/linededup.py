@@ -252,6 +252,10 @@ def prepared(docs: DataFrame) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every row as struct ``row`` with ``text`` (what is left of it), ``n_lines`` and ``n_removed``."""
     gone = written(removals(prepared(docs)), "removals")
+    size = gone.agg(F.count("*").alias("n"), F.sum(F.size("lines")).alias("lines")).first()
+    # line numbers of few documents are broadcast, or else the texts meet them by shuffle
+    small = size["n"] <= MOST_BROADCAST // 4 and (size["lines"] or 0) <= MOST_BROADCAST * 2
+    gone = F.broadcast(gone) if small else gone
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),

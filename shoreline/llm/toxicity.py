@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,14 +60,24 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return laid.hashes(laid.starts, laid.ends)
 
 
+@cache
+def sorted_terms() -> np.ndarray:
+    return np.unique(kinds()[0])
+
+
 def marks(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All words of the texts, and the beginnings of longer ones, as (text, hash)."""
+    """All words of the texts, and the beginnings of longer ones, as (text, hash).
+
+    Identity terms stand for themselves alone, so that a swap changes one mark.
+    """
     laid = text.Laid([t.casefold() for t in texts])
     starts, ends = laid.words()
     owner = laid.owner(starts)
-    hashes, owners = [laid.hashes(starts, ends)], [owner]
+    words, terms = laid.hashes(starts, ends), sorted_terms()
+    other = terms[np.minimum(np.searchsorted(terms, words), len(terms) - 1)] != words
+    hashes, owners = [words], [owner]
     for size in BEGINNINGS:
-        longer = ends - starts > size
+        longer = (ends - starts > size) & other
         begin = starts[longer]
         hashes.append(text.mix(laid.hashes(begin, begin + size) + np.uint64(size)))
         owners.append(owner[longer])

@@ -1,0 +1,96 @@
+import numpy as np
+import pytest
+
+from shoreline.llm import ann, registry
+
+VECTORS = "vec_id bigint, embedding array<float>, label int, vector string, dim string"
+
+
+def brute(rows, every=20, top=20):
+    good = {}
+    for i, v, *_ in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            v = tuple(np.float32(v).astype(float))
+            good[i] = min(good.get(i, v), v)
+    out = {}
+    for q, a in good.items():
+        if q % every == 0:
+            others = [(-float(np.dot(a, b)), i) for i, b in good.items() if i != q and len(b) == len(a)]
+            out[q] = sorted(others)[:top]
+    return out
+
+
+def recall(found, wanted):
+    mine = {}
+    for r in found:
+        mine.setdefault(r.query_id, []).append(r)
+    hits = total = 0
+    for q, others in wanted.items():
+        got = sorted(mine.get(q, []), key=lambda r: r["rank"])
+        assert [r["rank"] for r in got] == list(range(1, len(others) + 1))
+        assert [(-r.score, r.vec_id) for r in got] == sorted((-r.score, r.vec_id) for r in got)
+        hits += len({r.vec_id for r in got} & {i for _, i in others})
+        total += len(others)
+    assert set(mine) <= set(wanted)
+    return hits / max(1, total)
+
+
+def made(spark, vectors, start=0):
+    return [(start + i, [float(x) for x in v], 0, "v", "d") for i, v in enumerate(vectors)]
+
+
+@pytest.mark.parametrize("shard", [300, 8192])
+def test_recall_and_scores(spark, monkeypatch, shard):
+    """Scattered points, a dense cluster, and vectors of different lengths."""
+    monkeypatch.setattr(ann, "SHARD", shard)
+    rng = np.random.default_rng(1)
+    dense = rng.normal(size=16) + 0.02 * rng.normal(size=(400, 16))
+    rows = made(spark, np.concatenate([rng.normal(size=(500, 16)) * rng.uniform(0.2, 3, (500, 1)), dense]))
+    frame = spark.createDataFrame(rows, VECTORS)
+    found = ann.nearest(spark, frame).collect()
+    wanted = brute(rows)
+    assert recall(found, wanted) >= 0.95
+    by_id = {i: np.float32(v).astype(float) for i, v, *_ in rows}
+    assert all(abs(r.score - by_id[r.query_id] @ by_id[r.vec_id]) < 1e-12 for r in found)
+
+
+def test_given_vectors(spark):
+    from llm.conftest import SF
+
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    assert recall(registry.op10_graph_search(spark, SF).collect(), brute(rows)) >= 0.9
+
+
+def test_equal_vectors_ties_and_awkward_rows(spark):
+    rows = made(spark, [[1.0, 2.0, 3.0]] * 60) + made(spark, [[0.5, 0.1, 0.0]] * 3, 100)
+    rows += [(200, None, 0, "", ""), (220, [], 0, "", ""), (240, [0.0, 0.0, 0.0], 0, "", ""), (260, [1.0, None, 0.0], 0, "", ""), (280, [1.0, float("nan"), 0.0], 0, "", ""), (300, [float("inf"), 0.0, 0.0], 0, "", ""), (None, [1.0, 2.0, 3.0], 0, "", ""), (320, [1.0, 1.0], None, None, None), (321, [2.0, 1.0], None, None, None)]
+    rows += rows[:5] + [(101, [9.0, 9.0, 9.0], 0, "", "")]
+    found = ann.nearest(spark, spark.createDataFrame(rows, VECTORS)).collect()
+    wanted = brute(rows)
+    assert recall(found, wanted) == 1.0
+    mine = [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 0]
+    assert mine == [i for _, i in wanted[0]] == list(range(1, 21))
+    assert [(r.vec_id, r.score) for r in found if r.query_id == 320] == [(321, 3.0)]
+
+
+def test_pruning_keeps_near_and_diverse_neighbours():
+    points = np.array([[0, 0], [1, 0], [1.05, 0], [0, 2], [5, 5]], np.float32)
+    got = ann.prune(points, np.array([0]), np.array([[1, 2, 3, 4, -1, 0]]), 4, 1.2)
+    assert got.tolist() == [[1, 3, 0, 0]]
+
+
+def test_the_graph_reaches_everything():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(700, 8))
+    edges, start = ann.build(points)
+    again, _ = ann.build(points)
+    assert (edges == again).all() and edges.shape[1] <= ann.DEGREE
+    reached, open_ = {int(start[0])}, [int(start[0])]
+    while open_:
+        open_ = [int(n) for p in open_ for n in edges[p] if int(n) not in reached and not reached.add(int(n))]
+    assert len(reached) > 0.99 * len(points)
+
+
+@pytest.mark.parametrize("rows", [[], [(0, [1.0], 0, "", "")], [(1, [1.0], 0, "", ""), (2, [1.0], 0, "", "")]])
+def test_too_few_vectors(spark, rows):
+    assert ann.nearest(spark, spark.createDataFrame(rows, VECTORS)).count() == 0
