@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shoreline.operators.cdc import snapshot_as_changes
+
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """A landed Parquet folder as it is; ``contracts.conform`` then fixes names and types.
@@ -67,12 +69,19 @@ def full_load(
     folder: str,
     includes: Sequence[str] = (),
     excludes: Sequence[str] = (),
+    committed_ms: int | None = None,
 ) -> dict[str, str]:
     """Land every selected ``…schema.table`` and return its path.
 
-    The loop runs over table names; each table is copied by one distributed write.
+    The loop runs over table names; each table is copied by one distributed write. With
+    ``committed_ms``, the time at which the copy was taken, rows also get the operation ``r`` and
+    that time, so that the copy and the changes after it replay in order as one log.
     """
+
+    def rows(name: str) -> DataFrame:
+        return read(name) if committed_ms is None else snapshot_as_changes(read(name), committed_ms)
+
     return {
-        name: land(read(name), folder, *name.split(".")[-2:])
+        name: land(rows(name), folder, *name.split(".")[-2:])
         for name in select_tables(names, includes, excludes)
     }

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from shoreline.operators import contracts, quality, star
 from shoreline.plans import pipeline
-from shoreline.sources import landing
+from shoreline.sources import landing, tables
 
 
 def raw_reviews(spark, extra=()):
@@ -71,6 +71,16 @@ def test_failed_dimension_gate_stops_before_the_facts(spark, namespace):
     assert not spark.catalog.tableExists(f"{namespace}.fact_sales_category")
 
 
+def test_gates_run_alone_over_stored_tables(spark, namespace):
+    made = pipeline.run_star_schema(spark, raw_reviews(spark), namespace)
+    assert len(pipeline.gate_dims(spark, namespace)) == 36 and len(pipeline.gate_facts(spark, namespace)) == 19
+    broken = made["dim_user"].selectExpr("cast(NULL AS string) AS user_id", "user_name")
+    tables.overwrite_table(spark, broken, f"{namespace}.dim_user")
+    with pytest.raises(quality.QualityGateError, match="dim_user.user_id breaks NotNull"):
+        pipeline.gate_dims(spark, namespace)
+    assert len(pipeline.gate_facts(spark, namespace)) == 19
+
+
 def test_null_key_is_rejected(spark, namespace):
     raw = raw_reviews(spark, extra=[(None, "U00001", 99, 0)])
     with pytest.raises(Exception, match="NULL key in product_id"):

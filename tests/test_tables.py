@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from shoreline.operators import cdc
 from shoreline.sources import landing, share, tables
 
 SCHEMA = "id bigint, part string, v int"
@@ -232,6 +233,14 @@ def test_full_load_lands_gzip_by_schema_and_table(spark, tmp_path):
     assert rows(landing.read_landing(spark, landed["db.public.a"])) == [(1, "db.public.a", 1)]
 
 
+def test_a_full_load_and_its_changes_replay_as_one_log(spark, tmp_path):
+    landed = landing.full_load(lambda name: frame(spark, [(1, "a", 1), (2, "b", 2)]), ["db.public.a"], f"{tmp_path}/raw", committed_ms=100)
+    copy = landing.read_landing(spark, landed["db.public.a"])
+    later = spark.createDataFrame([(1, "a", 9, "u", 150), (2, "b", 2, "d", 160), (2, "b", 7, "u", 50)], copy.schema)
+    state = cdc.state_from_log(copy.unionByName(later), ["id"])
+    assert rows(state) == [(1, "a", 9, "u", 150)]
+
+
 class Recorder:
     """Stands in for Spark's merge and write builders and notes what is called."""
 
