@@ -23,8 +23,8 @@ def small_partitions(spark, no_broadcast):
 
 def most_rows_in_a_task(df):
     # the payload is looked at, or Spark would not even shuffle it
-    counted = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("v"))
-    return counted.agg(F.max("n")).first()[0]
+    counted = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("v").alias("v"))
+    return counted.agg(F.max("n"), F.max("v")).first()[0]
 
 
 @pytest.mark.parametrize("key, how", [("7", "inner"), ("cast(NULL AS bigint)", "left")])
