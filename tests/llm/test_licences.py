@@ -26,7 +26,7 @@ TEXTS = [
     "no licence at all", "Some text\nReleased under the MIT License.\nmore", "Text. Licensed under CC BY-NC 4.0. More",
     MIT, BSD2, BSD2 + "\nNeither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "This work is licensed under the GNU General Public License, version 3.", "x. Licensed under the Apache License, Version 2.0.\nReleased under the MIT Licence.",
-    MIT.replace("The above", "The  old"), "(c) All rights reserved.", "Redistributions of source code must retain nothing.", None, "", "\n\r\n",
+    MIT.replace("The above", "The  old"), "(c) 2020 X. All rights reserved.", "Redistributions of source code must retain nothing.", None, "", "\n\r\n",
 ]
 
 
