@@ -176,16 +176,17 @@ def fit(docs: DataFrame, learn_from=None, per_language: int = 400, most: int = 8
 
 
 def _limits(near: np.ndarray, bands: np.ndarray, slack: float = 6.0) -> np.ndarray:
-    """Least cosine of each band: its mean less ``slack`` deviations, and never more than that of a
-    longer band. Bands without learning texts take the limit of the next longer one, if any."""
-    limits = np.full(64, np.inf)
-    for b in np.unique(bands):
+    """Least cosine of each band of lengths: ``slack`` deviations below its mean, and well below any
+    of its learning texts, so that no text like them is turned away. Bands with few learning texts
+    take the limit of the next shorter one (0 if there is none); none has more than a longer one."""
+    limits = np.zeros(64)
+    for b in range(64):
         mine = near[bands == b]
         if len(mine) >= 10:
-            limits[b] = max(0.0, mine.mean() - slack * max(mine.std(), 0.01))
-    known = limits[np.isfinite(limits)]
-    limits = np.minimum.accumulate(limits[::-1])[::-1]
-    return np.where(np.isfinite(limits), limits, known[-1] if len(known) else 0.0)
+            limits[b] = max(0.0, min(mine.mean() - slack * max(mine.std(), 0.01), 0.8 * mine.min()))
+        elif b:
+            limits[b] = limits[b - 1]
+    return np.minimum.accumulate(limits[::-1])[::-1]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
