@@ -101,5 +101,5 @@ def _lines(docs):
 
 
 def test_the_brute_force_versions_agree(documents):
-    rows = [(1, "the first of two lines that are nearly equal here\nown line of one"), (2, "the first of two lines that are nearly equal there")]
+    rows = [(1, "the first of two lines that are nearly equal here\nown line of one"), (2, "The first of TWO lines, that are nearly equal here.")]
     assert deduplicated_lines(rows)[2, rows[1][1]] == ""
