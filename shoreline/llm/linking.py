@@ -143,9 +143,16 @@ def classes(
                 now = written(now.where(can("fact", "fact")), "members")
             sizes = now.groupBy("bucket", "class").count()
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class")).alias("largest"))
-            rest = now.join(written(largest, "largest"), "bucket").where(F.col("class") != F.col("largest.class"))
-            rest = written(ends(rest.withColumnRenamed("class", "rep_class"), "rep", "rep_class"), "rest")
-            pairs = now.join(rest, "bucket")
+            # a node is in as many buckets as it was given; two nodes meet in the least they share
+            lists = now.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+            now = now.join(written(largest, "largest"), "bucket").join(written(lists, "lists"), "node")
+            now = written(now.withColumn("outside", F.col("class") != F.col("largest.class")).drop("largest"), "members")
+            rest = now.where("outside").withColumnsRenamed({"class": "rep_class", "buckets": "rep_buckets"})
+            pairs = now.join(written(ends(rest, "rep", "rep_class", "rep_buckets"), "rest"), "bucket")
+            pairs = pairs.where("class <> rep_class AND (NOT outside OR node < rep)").where(can("fact", "rep_fact"))
+            pairs = pairs.where(F.col("bucket") == F.array_min(F.array_intersect("buckets", "rep_buckets")))
+            compare(pairs)
+            break
         pairs = pairs.where("class <> rep_class")
         compare(pairs.where(can("fact", "rep_fact")) if "fact" in pairs.columns else pairs)
     if roots is None:
