@@ -20,7 +20,6 @@ documents without an id are returned unchanged, as nothing names their lines.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -167,19 +166,62 @@ def block_keys(simhash: Column) -> list[Column]:
     ]
 
 
+BANDS = (4, 32, 256)
+
+
 def near(a: Column, b: Column) -> Column:
-    """Whether the edit distance is at most a fifth of the longer text's length. Narrow bands are
-    tried first, as the cost of a comparison grows with the band."""
+    """Whether the edit distance is at most a fifth of the longer text's length; NULL where the bands
+    that are tried do not decide it. Narrow bands come first, as the cost grows with the band."""
     limit = F.floor(F.greatest(F.length(a), F.length(b)) * (1 - SIMILARITY) + 1e-9)
     apart = F.abs(F.length(a) - F.length(b))
-    tries = [F.levenshtein(a, b, band).between(0, F.least(limit, F.lit(band))) for band in (4, 32, 256, 2048, 16384)]
-    wide = F.levenshtein(a, b) <= limit
-    decided = reduce(
-        lambda rest, step: F.when(step[1], True).when(limit <= step[0], False).otherwise(rest),
-        reversed(list(zip((4, 32, 256, 2048, 16384), tries, strict=True))),
-        wide,
-    )
-    return (apart <= limit) & decided
+    decided = F.lit(None).cast("boolean")
+    for band in reversed(BANDS):
+        found = F.levenshtein(a, b, band)
+        within = found.between(0, F.least(limit, F.lit(band)))
+        decided = F.when(within, True).when(limit <= band, False).otherwise(decided)
+    return F.when(apart > limit, False).otherwise(decided)
+
+
+def distance(a: str, b: str) -> int:
+    """Edit distance, a whole column of the table at a time: the bits of two long numbers say where
+    neighbouring cells of the column go up and down."""
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    a, b = a[start:], b[start:]
+    if not a or not b:
+        return len(a) + len(b)
+    where: dict[str, bytearray] = {}
+    for i, letter in enumerate(a):
+        bits = where.setdefault(letter, bytearray(len(a) // 8 + 1))
+        bits[i >> 3] |= 1 << (i & 7)
+    masks = {letter: int.from_bytes(bits, "little") for letter, bits in where.items()}
+    every, last = (1 << len(a)) - 1, len(a) - 1
+    up, down, score = every, 0, len(a)
+    for letter in b:
+        same = masks.get(letter, 0)
+        level = (((same & up) + up) ^ up) | same
+        rises, falls = (down | ~(level | up)) & every, up & level
+        score += (rises >> last & 1) - (falls >> last & 1)
+        rises, falls, same = rises << 1 | 1, falls << 1, same | down
+        up, down = (falls | ~(same | rises)) & every, rises & same & every
+    return score
+
+
+def near_pairs(pairs: DataFrame) -> DataFrame:
+    """The ``a, b`` whose wordings are near. Long lines with many changes, which a band decides only
+    at the square of their length, are left to ``distance``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("a_wording").to_pylist(), batch.column("b_wording").to_pylist(), strict=True)
+            fits = [distance(a, b) <= int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9) for a, b in both]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    pairs = written(pairs.select("a", "b", "a_wording", "b_wording"), "worded")
+    judged = near(F.col("a_wording"), F.col("b_wording"))
+    long = in_batches(pairs.where(judged.isNull()).repartition("a", "b"), work, "a long, b long")
+    return pairs.where(judged).select("a", "b").unionByName(long)
 
 
 def close(a: Column, b: Column) -> Column:
@@ -204,7 +246,7 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             named = known.select(F.col("node").alias(side), F.col("wording").alias(f"{side}_wording"))
             pairs = pairs.join(named, side)
-        return pairs.where(near(F.col("a_wording"), F.col("b_wording"))).select("a", "b")
+        return near_pairs(pairs)
 
     return linking.classes(members, alike, close)
 

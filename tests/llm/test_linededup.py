@@ -92,18 +92,22 @@ def test_simhash_does_not_depend_on_neighbours_or_length():
     assert among[1] == among[2] == alone[0]
 
 
-def test_wide_and_narrow_bands_agree(spark):
+def test_bands_and_bits_agree_with_the_table(spark):
     rng = random.Random(4)
     pairs = []
-    for n in (25, 60, 400):
+    for n in (25, 60, 400, 2500):
         a = "".join(rng.choice("abcdef ") for _ in range(n))
         for edits in (0, 1, n // 6, n // 5, n // 4):
             b = list(a)
             for _ in range(edits):
                 b[rng.randrange(len(b))] = rng.choice("xyz")
-            pairs.append((a, "".join(b) + "q" * rng.randint(0, 2)))
-    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", linededup.near(F.col("a"), F.col("b")).alias("near")).collect()
-    assert all(r.near == (distance(r.a, r.b) <= int(0.2 * max(len(r.a), len(r.b)) + 1e-9)) for r in got)
+            pairs.append((2 * len(pairs), 2 * len(pairs) + 1, a, "".join(b) + "q" * rng.randint(0, 2)))
+    table = {(a, b): distance(a, b) for *_, a, b in pairs}
+    assert all(linededup.distance(a, b) == linededup.distance(b, a) == d for (a, b), d in table.items())
+    assert [linededup.distance(*p) for p in (("", ""), ("a", ""), ("ab", "ab"), ("kitten", "sitting"), ("日本", "日x本"))] == [0, 1, 0, 3, 1]
+    got = linededup.near_pairs(spark.createDataFrame(pairs, "a bigint, b bigint, a_wording string, b_wording string"))
+    wanted = {(i, j) for i, j, a, b in pairs if table[a, b] <= int(0.2 * max(len(a), len(b)) + 1e-9)}
+    assert {tuple(r) for r in got.collect()} == wanted and 0 < len(wanted) < len(pairs)
 
 
 def test_awkward_rows(spark, awkward):
