@@ -167,16 +167,19 @@ def block_keys(simhash: Column) -> list[Column]:
 
 
 BANDS = (4, 32, 256)
+# A band is tried on texts of up to so many cells; beyond that ``distance`` is faster.
+CELLS = 600_000
 
 
 def near(a: Column, b: Column) -> Column:
     """Whether the edit distance is at most a fifth of the longer text's length; NULL where the bands
     that are tried do not decide it. Narrow bands come first, as the cost grows with the band."""
-    limit = F.floor(F.greatest(F.length(a), F.length(b)) * (1 - SIMILARITY) + 1e-9)
+    longest = F.greatest(F.length(a), F.length(b))
+    limit = F.floor(longest * (1 - SIMILARITY) + 1e-9)
     apart = F.abs(F.length(a) - F.length(b))
     decided = F.lit(None).cast("boolean")
     for band in reversed(BANDS):
-        found = F.levenshtein(a, b, band)
+        found = F.when(longest <= CELLS // band, F.levenshtein(a, b, band))
         within = found.between(0, F.least(limit, F.lit(band)))
         decided = F.when(within, True).when(limit <= band, False).otherwise(decided)
     return F.when(apart > limit, False).otherwise(decided)
@@ -218,10 +221,10 @@ def near_pairs(pairs: DataFrame) -> DataFrame:
             fits = [distance(a, b) <= int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9) for a, b in both]
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    pairs = written(pairs.select("a", "b", "a_wording", "b_wording"), "worded")
-    judged = near(F.col("a_wording"), F.col("b_wording"))
-    long = in_batches(pairs.where(judged.isNull()).repartition("a", "b"), work, "a long, b long")
-    return pairs.where(judged).select("a", "b").unionByName(long)
+    judged = near(F.col("a_wording"), F.col("b_wording")).alias("near")
+    pairs = written(pairs.select("a", "b", "a_wording", "b_wording", judged), "worded")
+    long = in_batches(pairs.where("near IS NULL").repartition("a", "b"), work, "a long, b long")
+    return pairs.where("near").select("a", "b").unionByName(long)
 
 
 def close(a: Column, b: Column) -> Column:
