@@ -65,6 +65,7 @@ def classes(
     verify: Callable[[DataFrame], DataFrame],
     possible: Callable[[Column, Column], Column],
     facts: Callable[[DataFrame], DataFrame] | None = None,
+    linkable: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``node, root`` of the nodes that are linked to another.
 
@@ -73,7 +74,8 @@ def classes(
 
     ``possible`` says from two nodes' ``fact`` whether they can be linked; it is true of all links.
     The facts are a column of ``members``, or else ``facts`` finds them for the nodes that are left
-    for the last step. There, a node that cannot be linked even to its like is not compared at all.
+    for the last step. There, a node is not compared at all if ``linkable`` denies from its fact alone
+    that it can be linked to any node, whatever that node's fact.
     """
     given = facts is None
     columns = ["bucket", "node", *(["fact"] if given else [])]
@@ -140,7 +142,9 @@ def classes(
             now = now.drop("n")
             if not given:
                 now = now.join(written(facts(now.select("node").distinct()), "facts"), "node", "left")
-                now = written(now.where(can("fact", "fact")), "members")
+                if linkable is not None:
+                    now = now.where(F.coalesce(linkable(F.col("fact")), F.lit(True)))
+                now = written(now, "members")
             sizes = now.groupBy("bucket", "class").count()
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class")).alias("largest"))
             # a node is in as many buckets as it was given; two nodes meet in the least they share

@@ -229,6 +229,12 @@ def possible(a: Column, b: Column) -> Column:
     return most >= (a["total"] + b["total"] - most) * SIMILARITY - 1e-6
 
 
+def linkable(a: Column) -> Column:
+    """Whether a node can be similar enough to any other: a partner that has nothing of its own still
+    shares no more than ``shared``, out of at least the node's whole weight."""
+    return a["shared"] >= a["total"] * SIMILARITY - 1e-6
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, kept`` for every document: the class is named by its least id, and the
     document of that id stands for it."""
@@ -247,7 +253,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     few = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     texts = written(docs.where("text IS NOT NULL").join(few, "doc_id", "left_semi"), "texts")
     roots = linking.classes(
-        members, lambda pairs: verified(pairs, texts), possible, lambda nodes: rarities(nodes, texts)
+        members, lambda pairs: verified(pairs, texts), possible, lambda nodes: rarities(nodes, texts), linkable
     )
 
     placed = rows.select("doc_id", "high", "low").join(nodes.select("high", "low", "node"), ["high", "low"], "left")

@@ -119,3 +119,13 @@ def test_one_id_with_two_texts_joins_their_classes(spark, documents):
 def test_empty_table(spark, documents):
     docs = documents((1, "x")).limit(0)
     assert neardup.near_duplicates(spark, docs).count() == 0 and neardup.deduplicated(spark, docs).count() == 0
+
+
+def test_a_text_is_linked_to_all_copies_that_add_a_passage_of_their_own(spark, documents):
+    """Every copy is linked to the base only, which is the least neither by id nor by chance."""
+    base = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(base + [f"own{i}x{j}" for j in range(50)])) for i in range(200)]
+    rows.append((500, " ".join(base)))
+    assert similarity(rows[0][1], rows[1][1]) < 0.8 <= similarity(rows[0][1], rows[-1][1])
+    got = neardup.near_duplicates(spark, documents(*rows))
+    assert {r.doc_id: r.class_id for r in got.collect()} == dict.fromkeys([i for i, _ in rows], 0)
