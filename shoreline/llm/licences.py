@@ -8,8 +8,10 @@ Sentences are found twice: within single lines, since notices often stand on a l
 without a full stop before them, and across line breaks but not blank lines, since long licences
 are wrapped. Both sequences are matched.
 
-A sentence is normalised by lower-casing, by writing years, addresses and holders away and by
-turning all runs of other characters into one blank. Texts without any of the anchor words that
+A sentence is normalised by lower-casing, by writing addresses away, by turning all runs of other
+characters into one blank, by putting fixed words for the names of holders within a notice, and by
+writing away a copyright notice (years and holder) that runs on into a known beginning. Notices with
+colons or semicolons are known by the parts that these cut them into. Texts without any of the anchor words that
 every known sentence contains are not split at all, which skips nothing.
 
 NULL and empty texts have no sentences and no licence. Repeated rows and NULL ids are scanned row
@@ -46,15 +48,23 @@ SENTENCES = {
     "gpl3_licensed": "licensed under the gnu general public license version 3",
     "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl3_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl_terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "gpl2_later": "either version 2 of the license or at your option any later version",
+    "gpl3_later": "either version 3 of the license or at your option any later version",
+    "gpl2_terms_later": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl3_terms_later": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "lgpl_licensed": "licensed under the gnu lesser general public license version 3",
     "agpl_licensed": "licensed under the gnu affero general public license version 3",
     "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl_useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl_implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "mpl2_form": "this source code form is subject to the terms of the mozilla public license v",
     "mpl2_licensed": "licensed under the mozilla public license version 2 0",
     "bsd_redistribute": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd_source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd_binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd_endorse_nor": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd3_licensed": "licensed under the bsd 3 clause license",
     "bsd2_licensed": "licensed under the bsd 2 clause license",
     "cc_by_nc_name": "licensed under cc by nc 4 0",
@@ -79,10 +89,18 @@ RULES = (
     ("GPL-3.0", "copyleft", ("gpl3_licensed",)),
     ("GPL-3.0-or-later", "copyleft", ("gpl3_free", "gpl_hope")),
     ("GPL-3.0-or-later", "copyleft", ("gpl3_free",)),
+    ("GPL-3.0-or-later", "copyleft", ("gpl3_terms_later", "gpl_useful", "gpl_implied")),
+    ("GPL-3.0-or-later", "copyleft", ("gpl3_terms_later",)),
+    ("GPL-3.0-or-later", "copyleft", ("gpl_terms", "gpl3_later", "gpl_useful", "gpl_implied")),
+    ("GPL-3.0-or-later", "copyleft", ("gpl_terms", "gpl3_later")),
     ("GPL-2.0", "copyleft", ("gpl2_name",)),
     ("GPL-2.0", "copyleft", ("gpl2_licensed",)),
     ("GPL-2.0-or-later", "copyleft", ("gpl_free", "gpl_hope")),
     ("GPL-2.0-or-later", "copyleft", ("gpl_free",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2_terms_later", "gpl_useful", "gpl_implied")),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2_terms_later",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl_terms", "gpl2_later", "gpl_useful", "gpl_implied")),
+    ("GPL-2.0-or-later", "copyleft", ("gpl_terms", "gpl2_later")),
     ("MPL-2.0", "copyleft", ("mpl2_form",)),
     ("MPL-2.0", "copyleft", ("mpl2_licensed",)),
     ("CC-BY-NC-SA-4.0", "noncommercial", ("cc_by_nc_sa_name",)),
@@ -99,6 +117,7 @@ RULES = (
     ("Apache-2.0", "permissive", ("apache2_name",)),
     ("Apache-2.0", "permissive", ("apache2_released",)),
     ("BSD-3-Clause", "permissive", ("bsd_redistribute", "bsd_source", "bsd_binary", "bsd_endorse")),
+    ("BSD-3-Clause", "permissive", ("bsd_redistribute", "bsd_source", "bsd_binary", "bsd_endorse_nor")),
     ("BSD-3-Clause", "permissive", ("bsd3_licensed",)),
     ("BSD-2-Clause", "permissive", ("bsd_redistribute", "bsd_source", "bsd_binary")),
     ("BSD-2-Clause", "permissive", ("bsd2_licensed",)),
@@ -119,6 +138,13 @@ NORMAL_STEPS = (
     (r"<[^<>\n]{1,200}>|https?://[^ \n]{1,200}", " "),
     (r"licence", "license"),
     (r"[^a-z0-9]+", " "),
+    (r"^ ?neither the name of (.* )?nor the names of (its |the |their )?contributors ", "neither the name of the copyright holder nor the names of its contributors "),
+    (r"^ ?nor the names of (its |the |their )?contributors ", "nor the names of its contributors "),
+    (r"^.* ha(s|ve) waived all copyright and related or neighboring rights to .*$", SENTENCES["cc0_waive"]),
+    *(
+        (rf"^ ?((copyright|c) (.* )?)?[0-9]{{4}} (.* )?{start}", start)
+        for start in ("permission is hereby granted", "permission to use copy", "redistribution and use in", "licensed under the", "released under the", "all rights reserved")
+    ),
 )
 LINE_ENDS = r"[\n\r]+"
 PARAGRAPH_ENDS = r"[\n\r][ \t]*[\n\r][ \t\n\r]*"

@@ -82,3 +82,65 @@ def test_awkward_rows_and_no_python(spark, awkward):
     assert scanned.count() == awkward.count() and licences.scan(awkward.limit(0)).count() == 0
     plan = scanned._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+GPL3 = """Copyright (C) 2020 Someone
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = """# Copyright (C) 2020 Someone
+#
+# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version 2 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details."""
+BSD3 = """Copyright (c) 2019-2021, {0}
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of {0} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+NOTICES = [
+    (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"), (GPL3.replace("version 3", "version 2"), "GPL-2.0-or-later"), (GPL2.replace("version 2", "version 3"), "GPL-3.0-or-later"),
+    (BSD3.format("Acme Corporation"), "BSD-3-Clause"), (BSD3.format("Acme, Inc."), "BSD-3-Clause"), (BSD3.format("the <organization>"), "BSD-3-Clause"), (BSD3.format("the copyright holder"), "BSD-3-Clause"),
+    (MIT.replace("Someone\n\n", "Someone\n"), "MIT"), ("To the extent possible under law, Jane B. Doe has waived all copyright and related or neighboring rights to Project X.", "CC0-1.0"),
+    ("Copyright 2020 Acme, all rights reserved", "Proprietary"), ("Neither the name of the game nor the names of its players matter to a license.", None),
+]
+
+
+def test_standard_notices_as_they_are(spark, documents):
+    texts = [text for text, _ in NOTICES]
+    got = {r.doc_id: r for r in licences.scan(documents(*enumerate(texts))).collect()}
+    assert [got[i].license for i in range(len(texts))] == [licence for _, licence in NOTICES]
+    assert {i: tuple(r)[1:] for i, r in got.items()} == {i: brute(t) for i, t in enumerate(texts)}
+    assert got[0].sentences.endswith("gpl3_terms_later,gpl_useful,gpl_implied")
+    assert got[1].sentences.endswith("gpl_terms,gpl2_later,gpl_useful,gpl_implied")
+
+
+def test_sql_names_the_standard_notices_alike():
+    duckdb = pytest.importorskip("duckdb")
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", [[i, t] for i, (t, _) in enumerate(NOTICES)])
+        got = {r[0]: r[1:] for r in db.execute(licences.sql()).fetchall()}
+    assert got == {i: brute(t) for i, (t, _) in enumerate(NOTICES)}
