@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by inner product: a robust-pruned directed graph per shard.
 
-Build: distinct vectors are dealt to shards of about ``SHARD`` by a hash, so shards are bounded and
-alike. One more coordinate makes the largest inner product the least distance. In each shard,
+Build: distinct vectors are dealt to shards of about ``SHARD`` by the range of their norm (each spans
+``2**RANGE``) and a hash, so shards are bounded and no long vector sets the scale for short ones. In a
+shard, vectors are divided by its longest norm, and one more coordinate makes the largest inner
+product the least distance. In each shard,
 points are taken in blocks: a greedy beam search over the graph so far proposes neighbours, and
 relaxed pruning keeps a proposal only if no kept neighbour is ``RELAX`` times nearer to it than the
 point is. Kept edges are also entered in reverse, and lists that grow too long are pruned again.
@@ -31,6 +33,7 @@ BUILD_BEAM = 80
 BEAM = 128
 RELAX = 1.5
 ENTRIES = 64
+RANGE = 6
 BLOCK = 512
 QUERIES = 1024
 EXPAND = 4
@@ -187,6 +190,22 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
+def norm_range(vector: Column) -> Column:
+    """Number of the range of norms; a norm of 1 lies in the middle of range 0. Divided by the largest
+    component first, no square overflows or vanishes."""
+    most = F.array_max(F.transform(vector, F.abs))
+    square = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
+    return F.floor((F.log2(most) + F.log2(square) / 2) / RANGE + 0.5).cast("int")
+
+
+def scaled(whole: np.ndarray) -> np.ndarray:
+    """The vectors over their longest norm, each padded to length 1."""
+    unit = whole / np.abs(whole).max()
+    square = (unit**2).sum(1)
+    extra = np.sqrt(np.maximum(square.max() - square, 0))
+    return np.concatenate([unit, extra[:, None]], axis=1) / np.sqrt(square.max())
+
+
 def vectors(rows: DataFrame) -> DataFrame:
     """``vec_id, vector`` of the rows that take part."""
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
@@ -211,28 +230,24 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
         .groupBy("dim", "high", "low")
         .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector"))
     )
-    points = written(points, "points")
-    sizes = points.groupBy("dim").agg(
-        F.count("*").alias("n"),
-        F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("longest"),
-    )
+    points = written(points.withColumn("range", norm_range(F.col("vector"))), "points")
+    sizes = points.groupBy("dim", "range").agg(F.count("*").alias("n"))
     sizes = written(sizes.withColumn("shards", F.ceil(F.col("n") / SHARD)), "sizes")
-    dealt = points.join(sizes, "dim").select(
-        "dim", F.pmod(F.col("high"), F.col("shards")).alias("shard"), "longest", "ids", "vector"
+    dealt = points.join(sizes, ["dim", "range"]).select(
+        "dim", "range", F.pmod(F.col("high"), F.col("shards")).alias("shard"), "ids", "vector"
     )
 
     def index(shard: pd.DataFrame) -> pd.DataFrame:
         # the order decides the graph: sorted, so that a lost task builds the same one again
         shard = shard.assign(first=shard["ids"].str[0]).sort_values("first")
         whole = np.stack(shard["vector"].to_numpy()).astype(np.float64)
-        extra = np.sqrt(np.maximum(shard["longest"].iloc[0] - (whole**2).sum(1), 0))
-        edges, start = build(np.concatenate([whole, extra[:, None]], axis=1))
+        edges, start = build(scaled(whole))
         ids = shard["ids"].to_list()
         return pd.DataFrame(
             {
                 "dim": [whole.shape[1]],
                 "shard": [int(shard["shard"].iloc[0])],
-                "longest": [float(shard["longest"].iloc[0])],
+                "range": [int(shard["range"].iloc[0])],
                 "start": [start.tolist()],
                 "whole": [whole.tobytes()],
                 "edges": [edges.tobytes()],
@@ -241,8 +256,8 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
             }
         )
 
-    graph = "dim int, shard long, longest double, start array<int>, whole binary, edges binary, ids binary, counts binary"
-    shards = written(dealt.groupBy("dim", "shard").applyInPandas(index, graph), "graphs")
+    graph = "dim int, shard long, range int, start array<int>, whole binary, edges binary, ids binary, counts binary"
+    shards = written(dealt.groupBy("dim", "range", "shard").applyInPandas(index, graph), "graphs")
 
     asked = good.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // QUERIES))
@@ -259,9 +274,8 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
         counts = np.frombuffer(row["counts"], np.int32)
         ids = np.frombuffer(row["ids"], np.int64)
         first = np.cumsum(counts) - counts
-        extra = np.sqrt(np.maximum(row["longest"] - (whole**2).sum(1), 0))
-        points = np.concatenate([whole, extra[:, None]], axis=1).astype(np.float32)
-        squares = (points**2).sum(1)
+        points = scaled(whole).astype(np.float32)
+        squares = np.zeros(len(points), np.float32)  # all are equal: only the products count
         start = np.arange(len(whole)) if len(whole) <= BEAM else np.array(row["start"])
         out = []
         queries = row["queries"]
@@ -269,7 +283,9 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
             some = queries[begin : begin + BLOCK // 2]
             exact = np.array([list(q["vector"]) for q in some], np.float64)
             asked_ids = np.array([q["vec_id"] for q in some], np.int64)
-            padded = np.concatenate([exact, np.zeros((len(some), 1))], axis=1).astype(np.float32)
+            unit = exact / np.abs(exact).max(1, keepdims=True)
+            unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+            padded = np.concatenate([unit, np.zeros((len(some), 1))], axis=1).astype(np.float32)
             near, _ = beam_search(points, squares, edges, start, padded, max(BEAM, top + 1))
             scores = np.einsum("bkd,bd->bk", whole[np.maximum(near, 0)], exact)
             for q, (found, score) in enumerate(zip(near, scores, strict=True)):
@@ -284,6 +300,6 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 20, top: int = 20
                 out.append(pd.DataFrame({"query_id": asked_ids[q], "vec_id": each[best], "score": value[best]}))
         return pd.concat(out, ignore_index=True)
 
-    found = meets.groupBy("dim", "shard", "block").applyInPandas(search, "query_id long, vec_id long, score double")
+    found = meets.groupBy("dim", "range", "shard", "block").applyInPandas(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

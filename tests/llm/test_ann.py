@@ -94,3 +94,14 @@ def test_the_graph_reaches_everything():
 @pytest.mark.parametrize("rows", [[], [(0, [1.0], 0, "", "")], [(1, [1.0], 0, "", ""), (2, [1.0], 0, "", "")]])
 def test_too_few_vectors(spark, rows):
     assert ann.nearest(spark, spark.createDataFrame(rows, VECTORS)).count() == 0
+
+
+@pytest.mark.parametrize("long", [[1e4], [1e4, 3e7, 2e25, 1e-12]])
+def test_few_very_long_or_short_vectors_do_not_hide_the_others(spark, long):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(2000 + len(long), 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit[2000:] *= np.array(long)[:, None]
+    rows = made(spark, unit)
+    found = ann.nearest(spark, spark.createDataFrame(rows, VECTORS)).collect()
+    assert recall(found, brute(rows)) >= 0.95
