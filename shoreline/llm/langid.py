@@ -7,7 +7,8 @@ to length 1. Document frequencies come from all rows to learn from; the centroid
 
 A text belongs to the language of its nearest centroid. It is rejected when it is farther from it
 than learning texts of similar length are: each band of lengths has its own limit, since short
-texts have few n-grams and lie far from everything.
+texts have few n-grams and lie far from everything. What short texts are like is learned from
+windows cut out of the learning texts, as few of these may be short themselves.
 
 NULL texts and texts without a letter are ``und`` with score 0, and rejected. Ties go to the first
 language in alphabetical order. NULL ids are never learned from. If there is nothing to learn from,
@@ -16,6 +17,7 @@ every text is ``und``. Repeated rows are predicted one by one, other columns are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,7 @@ from shoreline.llm.common import fold, in_batches, kept_share
 BITS = 12
 DIMENSIONS = 1 << BITS
 TEXTS = 256
+SPANS = (2, 3, 5, 8, 12, 18, 27, 40, 60, 90, 130, 190, 280)
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
 
@@ -83,6 +86,14 @@ def runs(texts: list[str]) -> Iterator[tuple[int, int]]:
             yield at, min(at + TEXTS, stop)
 
 
+def windows(whole: str) -> list[str]:
+    """Three pieces of the text, of lengths and from a place that its hash chooses."""
+    number = zlib.crc32(whole.encode("utf-8", "surrogatepass"))
+    spans = [SPANS[(number + 4 * i) % len(SPANS)] for i in range(3)]
+    starts = [(number // len(SPANS)) % max(1, len(whole) - span + 1) for span in spans]
+    return [whole[at : at + span] for at, span in zip(starts, spans, strict=True) if span < len(whole)]
+
+
 def band(found: np.ndarray) -> np.ndarray:
     """Band of lengths: the binary logarithm of the number of n-grams."""
     return np.log2(1 + found.sum(1)).astype(np.int64)
@@ -143,22 +154,31 @@ def fit(docs: DataFrame, learn_from=None, per_language: int = 400, most: int = 8
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-            for start, stop in runs(texts):
-                found = counts(texts[start:stop])
-                packed = []
-                for row in found:
-                    places = np.flatnonzero(row)
-                    packed.append(places.astype("<u2").tobytes() + row[places].astype("<f4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs[start:stop]), pa.array(packed, pa.binary())], names=["lang", "packed"]
-                )
-
-    sample = in_batches(rows.where(kept_share(F.col("text")) < rates), sparse, "lang string, packed binary")
+            cut = [(piece, lang) for whole, lang in zip(texts, langs, strict=True) for piece in windows(whole)]
+            pieces = [piece for piece, _ in cut]
+            for whole, some, names in ((True, texts, langs), (False, pieces, [lang for _, lang in cut])):
+                for start, stop in runs(some):
+                    packed = []
+                    for row in counts(some[start:stop]):
+                        places = np.flatnonzero(row)
+                        packed.append(places.astype("<u2").tobytes() + row[places].astype("<f4").tobytes())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[start:stop]), pa.array(packed, pa.binary()), pa.array([whole] * len(packed))],
+                        names=["lang", "packed", "whole"],
+                    )
+
+    def dense(packed: list[bytes]) -> np.ndarray:
+        found = np.zeros((len(packed), DIMENSIONS), np.float32)
+        for i, row in enumerate(packed):
+            n = len(row) // 6
+            found[i, np.frombuffer(row, "<u2", n)] = np.frombuffer(row, "<f4", n, 2 * n)
+        return found
+
+    sample = in_batches(rows.where(kept_share(F.col("text")) < rates), sparse, "lang string, packed binary, whole boolean")
     sample = sorted(sample.collect(), key=lambda r: (r["lang"], r["packed"]))
-    found = np.zeros((len(sample), DIMENSIONS), np.float32)
-    for i, r in enumerate(sample):
-        n = len(r["packed"]) // 6
-        found[i, np.frombuffer(r["packed"], "<u2", n)] = np.frombuffer(r["packed"], "<f4", n, 2 * n)
+    cut = [bytes(r["packed"]) for r in sample if not r["whole"] and r["packed"]]
+    sample = [r for r in sample if r["whole"]]
+    found = dense([r["packed"] for r in sample])
     number = np.array([languages.index(r["lang"]) for r in sample], np.int64)
     points = vectors(found, idf)
     full = found.any(1)
@@ -172,18 +192,31 @@ def fit(docs: DataFrame, learn_from=None, per_language: int = 400, most: int = 8
         return Model([], idf, np.empty((0, DIMENSIONS), np.float32), np.empty(0, np.int64), np.zeros(64))
     centroids = np.concatenate(centroids)
     near = (points[full] @ centroids.T).max(1)
-    return Model(languages, idf, centroids, np.array(language_of), _limits(near, band(found[full])))
-
-
-def _limits(near: np.ndarray, bands: np.ndarray, slack: float = 6.0) -> np.ndarray:
-    """Least cosine of each band of lengths: ``slack`` deviations below its mean, and well below any
-    of its learning texts, so that no text like them is turned away. Bands with few learning texts
-    take the limit of the next shorter one (0 if there is none); none has more than a longer one."""
+    cut_near, cut_bands = [np.empty(0)], [np.empty(0, np.int64)]
+    for at in range(0, len(cut), TEXTS):
+        pieces = dense(cut[at : at + TEXTS])
+        cut_near.append((vectors(pieces, idf) @ centroids.T).max(1))
+        cut_bands.append(band(pieces))
+    limits = _limits(near, band(found[full]), np.concatenate(cut_near), np.concatenate(cut_bands))
+    return Model(languages, idf, centroids, np.array(language_of), limits)
+
+
+def _limits(
+    near: np.ndarray, bands: np.ndarray, cut_near: np.ndarray, cut_bands: np.ndarray, slack: float = 6.0
+) -> np.ndarray:
+    """Least cosine of each band of lengths: ``slack`` deviations below its mean, or well below nearly
+    all windows of that length where that is more, but always well below any of its learning texts,
+    so that no text like them is turned away. Bands with few learning texts go by their windows, and
+    with few of these, too, take the limit of the next shorter one (0 if there is none); none has more
+    than a longer one."""
     limits = np.zeros(64)
     for b in range(64):
-        mine = near[bands == b]
+        mine, cut = near[bands == b], cut_near[cut_bands == b]
+        least = 0.8 * np.quantile(cut, 0.001) if len(cut) >= 10 else 0.0
         if len(mine) >= 10:
-            limits[b] = max(0.0, min(mine.mean() - slack * max(mine.std(), 0.01), 0.8 * mine.min()))
+            limits[b] = min(max(least, mine.mean() - slack * max(mine.std(), 0.01)), 0.8 * mine.min())
+        elif len(cut) >= 10:
+            limits[b] = least
         elif b:
             limits[b] = limits[b - 1]
     return np.minimum.accumulate(limits[::-1])[::-1]

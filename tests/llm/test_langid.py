@@ -74,3 +74,13 @@ def test_predictions_do_not_see_lang_or_source(spark, documents):
     a = sorted((r.doc_id, r.lang_pred) for r in langid.predict(docs, model).collect())
     b = sorted((r.doc_id - 1000, r.lang_pred) for r in langid.predict(plain, model).collect())
     assert a == b
+
+
+def test_short_texts_of_unknown_scripts_are_rejected_too(spark, documents):
+    """No learning text is short. Short texts of the learned languages stay."""
+    model = langid.fit(corpus(documents, 150), F.lit(True))
+    foreign = ["Привет как дела у тебя", "сегодня мы пойдем гулять в парк", "今天天气很好我们一起去公园散步", "zxqv kjwq xzzk qqvw jxkz"]
+    known = ["the dog and the cat", "der hund und die katze", "le chat et le chien marchaient"]
+    got = {r.doc_id: r for r in langid.predict(documents(*enumerate(foreign + known)), model).collect()}
+    assert [got[i].rejected for i in range(7)] == [True] * 4 + [False] * 3
+    assert [got[i].lang_pred for i in (4, 5, 6)] == ["en", "de", "fr"]
