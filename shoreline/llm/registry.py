@@ -12,7 +12,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import ann, langid, licences, linededup, linequality, mixing, neardup, packing, pagetext, toxicity
+from shoreline.llm import (
+    ann,
+    langid,
+    lexical,
+    licences,
+    linededup,
+    linequality,
+    mixing,
+    neardup,
+    packing,
+    pagetext,
+    sharding,
+    spelling,
+    toxicity,
+)
 from shoreline.llm.common import fold, read, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +82,20 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(spark, read(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, read(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.deal(spark, read(spark, sf_dir, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -79,9 +107,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_graph_search": op10_graph_search,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling": op12_spelling,
+    "op13_sharding": op13_sharding,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op5_licence_scan": licences.sql(),
     "op9_mixing": mixing.sql(),
+    "op11_lexical_search": lexical.sql(),
 }
