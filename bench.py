@@ -74,7 +74,6 @@ def main() -> None:
     events = tables.read_table(spark, f"{namespace}.vendas")
     view = registry.revenue_view(spark, f"{namespace}.receita_por_hora", events)
     view.apply_delta(events, 0)
-    view.compact()
     stored = view.read()
     star = registry.stored_star(spark, sf_dir)
     latency = {

@@ -167,3 +167,27 @@ def state_from_log(
 def snapshot_as_changes(rows: DataFrame, ts_ms: int) -> DataFrame:
     """A full table copy as flat change rows (``op = 'r'``), to be followed by its changes."""
     return rows.withColumns({"op": F.lit("r"), "ts_ms": F.lit(ts_ms).cast("bigint")})
+
+
+def chunk_as_changes(rows: DataFrame, low: Column | int, position: str = "offset") -> DataFrame:
+    """Rows copied from a table that goes on changing, as flat change rows.
+
+    ``low`` is the log's position noted before the copy of these rows began; each chunk of a table
+    may have its own. A row then shows all changes up to there, and perhaps later ones, which the
+    log brings again.
+    """
+    mark = F.lit(low) if isinstance(low, int) else low
+    return rows.withColumns({"op": F.lit("r"), position: mark.cast("bigint")})
+
+
+def state_from_copy(
+    copied: DataFrame, log: DataFrame, keys: Sequence[str], position: str = "offset"
+) -> DataFrame:
+    """Current rows from a table copied in chunks and the log of its changes meanwhile.
+
+    ``copied`` are chunks made by ``chunk_as_changes``, and the log holds everything since the
+    least of their marks. A change up to a row's mark is in that row already and loses to it; a later
+    one replaces it, whether or not the copy had seen it. So the copy needs no lock and no
+    transaction over the whole table, and chunks may be copied in any order, or again.
+    """
+    return state_from_log(copied.unionByName(log), keys, (position,), "op")

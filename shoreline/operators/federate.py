@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shoreline.functions.timestamps import bound
 from shoreline.session import shared_folder
 
+# So many keys are handed to the history's scan as values, which it can skip row groups by.
+POINT_KEYS = 10
+
 
 def recent(
     live: DataFrame, minutes: int = 15, now: Column | None = None, updated: str = "updated_at"
@@ -43,13 +46,19 @@ def lookup(
     """The live rows matching ``where``, left-joined to history on ``key``.
 
     The source is asked once: the matched rows are stored in the shared folder, so the join sees
-    one state of them and Catalyst knows their size. Their keys thin out the history scan first,
-    which for a handful of rows is a broadcast, and for many a shuffle; the plan is the same.
+    one state of them and Catalyst knows their size. Their keys thin out the history scan first: a
+    few as values pushed down to its files, see ``landing.write_for_lookup``; more by a semi join,
+    which Catalyst broadcasts or shuffles by their size.
     """
     spark = live.sparkSession
     path = shared_folder(spark, "lookup")
     live.filter(where).write.parquet(path)
     matched = spark.read.schema(live.schema).parquet(path)
-    known = history.join(matched.select(key).distinct(), key, "left_semi")
+    keys = matched.select(key).where(F.col(key).isNotNull()).distinct()
+    few = [r[0] for r in keys.limit(POINT_KEYS + 1).collect()]
+    if len(few) <= POINT_KEYS:
+        known = history.where(F.col(key).isin(few))
+    else:
+        known = history.join(keys, key, "left_semi")
     joined = matched.join(known, key, "left")
     return joined.select(*columns) if columns else joined

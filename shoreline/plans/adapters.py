@@ -95,14 +95,18 @@ def _event_key() -> Column:
     return F.concat(F.lit("E"), F.expr("event_id div 4").cast("string"))
 
 
-def _operation() -> Column:
+def _operation_of(event: str, user: str) -> Column:
     """Four events in a row are the life of one key: create, two updates, then an update or,
     for every other user, a delete."""
-    step = F.col("event_id") % 4
-    deleted = (step == 3) & (F.col("user_id") % 2 == 0)
+    step = F.col(event) % 4
+    deleted = (step == 3) & (F.col(user) % 2 == 0)
     return F.when(step == 0, "c").when(deleted, "d").otherwise("u")
 
 
+def _operation() -> Column:
+    return _operation_of("event_id", "user_id")
+
+
 def _time_text() -> Column:
     micros = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return (
@@ -152,6 +156,15 @@ def envelope(events: DataFrame, offset: Column | None = None) -> DataFrame:
     )
 
 
+def order_changes(events: DataFrame) -> DataFrame:
+    """Events as changes of the orders table, four to a key, in the order of their ids."""
+    rows = event_orders(events).withColumn("op", F.when(_operation_of("order_id", "customer_id") == "d", "d").otherwise("u"))
+    return rows.select(
+        F.expr("order_id div 4").alias("order_id"), "customer_id", "pedido_em", "valor", "status",
+        "op", F.col("order_id").cast("bigint").alias("offset"),
+    )
+
+
 def customer_history(order: DataFrame) -> DataFrame:
     """What the lake knows of each customer, from the whole orders table."""
     return order.groupBy(F.col("o_custkey").alias("customer_id")).agg(

@@ -163,26 +163,39 @@ history AS (
 
 # Quality report ------------------------------------------------------------------------------
 
-# The rules of the five tables.
-_RULES = {
+# The rules of the five tables, as columns that exist, that are never NULL, that are
+# unique, and that are text.
+_RULES: dict[str, tuple[tuple[str, ...], ...]] = {
     "dim_user": (
-        "user_id user_name",
-        "user_id user_name",
-        "user_id",
-        "user_id user_name",
+        ("user_id", "user_name"),
+        ("user_id", "user_name"),
+        ("user_id",),
+        ("user_id", "user_name"),
     ),
     "dim_product": (
-        "product_id product_name category about_product img_link product_link",
-        "product_id product_name category img_link product_link",
-        "product_id",
-        "product_id product_name category about_product img_link product_link",
+        ("product_id", "product_name", "category", "about_product", "img_link", "product_link"),
+        ("product_id", "product_name", "category", "img_link", "product_link"),
+        ("product_id",),
+        ("product_id", "product_name", "category", "about_product", "img_link", "product_link"),
+    ),
+    "dim_rating": (
+        ("user_id", "product_id", "rating", "rating_count"),
+        ("user_id", "product_id"),
+        (),
+        ("user_id", "product_id"),
+    ),
+    "fact_product_rating": (
+        ("product_id", "product_name", "avg_rating"),
+        ("product_id", "product_name", "avg_rating"),
+        (),
+        ("product_id", "product_name"),
+    ),
+    "fact_sales_category": (
+        ("user_id", "category", "sales_amount"),
+        ("user_id", "category", "sales_amount"),
+        (),
+        ("user_id", "category"),
     ),
-    "dim_rating": ("user_id product_id rating rating_count", "user_id product_id", "",
-                   "user_id product_id"),
-    "fact_product_rating": ("product_id product_name avg_rating",
-                            "product_id product_name avg_rating", "", "product_id product_name"),
-    "fact_sales_category": ("user_id category sales_amount", "user_id category sales_amount", "",
-                            "user_id category"),
 }
 
 
@@ -198,14 +211,14 @@ def _quality_report() -> str:
         )
 
     for table, (exist, filled, unique, text) in _RULES.items():
-        for c in exist.split():
+        for c in exist:
             rule(table, "ColumnExists", c, f"CASE WHEN COUNT({c}) >= 0 THEN 1 END", "= 1")
-        for c in filled.split():
+        for c in filled:
             rule(table, "NotNull", c, f"COUNT(*) - COUNT({c})", "= 0")
-        for c in unique.split():
+        for c in unique:
             rule(table, "UniqueProportion", c,
                  f"COUNT(DISTINCT {c}) / CAST(COUNT({c}) AS DOUBLE)", ">= 0.99")
-        for c in text.split():
+        for c in text:
             rule(table, "OfType", c,
                  f"CASE WHEN typeof(any_value({c})) = 'VARCHAR' THEN 1 ELSE 0 END", "= 1")
         rule(table, "RowCount", "", "COUNT(*)", ">= 1")
@@ -225,7 +238,7 @@ def _row_counts(names: str) -> str:
 DECIMAL_OUTPUTS = {
     "receita": "hourly_revenue hourly_revenue_since hourly_revenue_by_day hourly_revenue_newest"
     " mv_incremental mv_state_merge mv_stream mv_signed_changes mv_out_of_order",
-    "valor": "stg_upsert replica_snapshot replica_initial_load table_overwrite table_bulk_load"
+    "valor": "stg_upsert replica_snapshot replica_initial_load replica_chunked_copy table_overwrite table_bulk_load"
     " land_gzip",
     "rating": "dim_rating",
     "sales_amount": "fact_sales_category pipeline_star_sales",
@@ -394,9 +407,53 @@ GROUP BY o_custkey ORDER BY pedidos DESC, o_custkey LIMIT 100""",
     "table_overwrite": f"WITH {EVENT_ORDERS} SELECT * FROM events_v",
     "table_bulk_load": f"WITH {ORDERS} SELECT * FROM orders_v",
     "land_gzip": f"WITH {EVENT_ORDERS} SELECT * FROM events_v",
+    "pipeline_gated": f"WITH {BY_PRODUCT} SELECT *, true AS blocked FROM (\n" + _row_counts(
+        "dim_product=dim_product dim_user=dim_user dim_rating=dim_rating"
+        " fact_product_rating=fact_product_rating fact_sales_category=fact_sales_category"
+    ) + ")",
+    "pipeline_rows": f"WITH {BY_PRODUCT} SELECT table_name AS step, row_count FROM (\n" + _row_counts(
+        "raw=raw stg_sales=stg dim_product=dim_product dim_user=dim_user dim_rating=dim_rating"
+        " fact_product_rating=fact_product_rating fact_sales_category=fact_sales_category"
+    ) + ")",
+    "dq_gate_failures": f"""WITH {BY_PAIR}
+SELECT 'dim_user' AS table_name, 'NotNull' AS rule, 'user_id' AS column_name,
+       CAST(COUNT(*) AS DOUBLE) AS observed, false AS passed
+FROM dim_user WHERE user_id LIKE '%7'""",
+    "dq_sketched_unique": "\nUNION ALL\n".join(
+        f"SELECT '{shown}' AS column_name, COUNT(*) AS row_count, COUNT({column}) AS non_null,"
+        f" COUNT(DISTINCT {column}) >= 0.99 * COUNT({column}) AS passed FROM events"
+        for shown, column in (("order_id", "event_id"), ("customer_id", "user_id"), ("status", "event_type"))
+    ),
+    "cdc_log_replayed": LOG,
+    "cdc_stream_until_stopped": f"SELECT *, true AS was_active FROM ({LOG})",
+    "replica_chunked_copy": f"""WITH {ORDERS}, {EVENT_ORDERS},
+changed AS (
+  SELECT event_id // 4 AS order_id, user_id AS customer_id, ts AS pedido_em,
+         CAST(value AS DECIMAL(12,2)) AS valor, event_type AS status,
+         event_id % 4 = 3 AND user_id % 2 = 0 AS deleted,
+         row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id DESC) AS n
+  FROM events)
+SELECT * FROM orders_v WHERE order_id NOT IN (SELECT order_id FROM changed)
+UNION ALL
+SELECT order_id, customer_id, pedido_em, valor, status FROM changed WHERE n = 1 AND NOT deleted""",
+    "share_revoked": """
+SELECT 'vendas' AS table_name, false AS visible, CAST(NULL AS BIGINT) AS row_count
+UNION ALL SELECT 'eventos', true, COUNT(*) FROM events""",
+    "table_schema_guard": """
+SELECT fault, row_count FROM (SELECT COUNT(*) AS row_count FROM orders), (VALUES
+  ('column valor is missing'), ('column extra is not in the table'),
+  ('column order_id is number 2 instead of 1; column customer_id is number 1 instead of 2')) AS f(fault)""",
+    "bounded_query_outcomes": """
+SELECT name, outcome, CASE name WHEN 'whole' THEN n WHEN 'cut' THEN 5 END AS row_count,
+       CASE name WHEN 'whole' THEN false WHEN 'cut' THEN true END AS truncated
+FROM (SELECT COUNT(DISTINCT o_orderstatus) AS n FROM orders), (VALUES
+  ('whole', 'rows'), ('cut', 'rows'), ('no such column', 'QueryFailed'), ('drop', 'QueryFailed'),
+  ('computed path', 'QueryInputError'), ('reflection', 'QueryInputError'),
+  ('too slow', 'QueryTimeout')) AS o(name, outcome)""",
 }
 
 SQL["replica_initial_load"] = SQL["replica_snapshot"]
+SQL["federated_lookup_indexed"] = SQL["federated_lookup"]
 
 for _column, _names in DECIMAL_OUTPUTS.items():
     for _name in _names.split():

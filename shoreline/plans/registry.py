@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shoreline.functions import cleaning
 from shoreline.functions.timestamps import bound
-from shoreline.operators import cdc, contracts, federate, quality, query, reports, star
+from shoreline.operators import cdc, contracts, federate, profile, quality, query, reports, star
+from shoreline.operators.counts import Counts
 from shoreline.operators.dedup import duplicate_counts, keep_latest
 from shoreline.plans import adapters, pipeline
 from shoreline.session import shared_folder
@@ -269,10 +271,7 @@ def pipeline_star(spark, sf_dir):
         )
         for name, df in made.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    return reduce(DataFrame.unionByName, counts)
 
 
 @registered
@@ -285,6 +284,40 @@ def pipeline_star_sales(spark, sf_dir):
     return made["fact_sales_category"]
 
 
+@registered
+def pipeline_rows(spark, sf_dir):
+    """The rows that came into and out of the job graph's steps, counted while they were written."""
+    counts = Counts()
+    pipeline.run_star_schema(
+        spark, landed_sales(spark, sf_dir), fresh_namespace(spark, "pipeline"), ["product_id"], SALE_ORDER, counts=counts
+    )
+    return counts.report(spark)
+
+
+@registered
+def pipeline_gated(spark, sf_dir):
+    """What readers see after good rows were published and a later run was blocked by its gate."""
+    namespace = fresh_namespace(spark, "pipeline")
+    run = lambda raw: pipeline.run_star_schema(
+        spark, raw, namespace, ["product_id"], SALE_ORDER, publish="after_gate"
+    )
+    good = _sales(spark, sf_dir)
+    run(good)
+    user = F.when(F.crc32(F.col("product_id").cast("binary")) % 3 > 0, F.col("user_id"))
+    try:
+        run(good.withColumn("user_id", user))
+        blocked = False
+    except quality.QualityGateError:
+        blocked = True
+    seen = [
+        tables.read_table(spark, f"{namespace}.{name}")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count", F.lit(blocked).alias("blocked"))
+        for name in [*quality.DIMENSION_RULES, *quality.FACT_RULES]
+    ]
+    return reduce(DataFrame.unionByName, seen)
+
+
 # Dashboards -----------------------------------------------------------------------------------
 
 
@@ -345,6 +378,34 @@ def dq_report(spark, sf_dir):
     return result.withColumn("observed", F.round("observed", 6))
 
 
+@registered
+def dq_gate_failures(spark, sf_dir):
+    """What a gate says that stops a job: the rules that failed and what they saw."""
+    t = stored_star(spark, sf_dir)
+    some_gone = F.when(~F.col("user_id").endswith("7"), F.col("user_id"))
+    given = {**t, "dim_user": t["dim_user"].withColumn("user_id", some_gone)}
+    rules = {**quality.DIMENSION_RULES, **quality.FACT_RULES}
+    try:
+        quality.gate({name: given[name] for name in rules}, rules)
+        failures = []
+    except quality.QualityGateError as error:
+        failures = [tuple(r) for r in error.failures]
+    columns = "table_name string, rule string, column_name string, observed double, passed boolean"
+    return spark.createDataFrame(failures, columns)
+
+
+@registered
+def dq_sketched_unique(spark, sf_dir):
+    """Uniqueness over a table that grows by days, each profiled once."""
+    path = f"{shared_folder(spark, 'by_day')}/vendas"
+    landing.write_by_day(_event_orders(spark, sf_dir), path, "pedido_em")
+    days = landing.read_landing(spark, path)
+    profiles, columns = shared_folder(spark, "profiles"), ["order_id", "customer_id", "status"]
+    profile.update(spark, days.where(F.col("dia") < SINCE[:10]), profiles, columns, "dia")
+    known = profile.update(spark, days, profiles, columns, "dia")
+    return profile.unique_proportion(known).select("column_name", "row_count", "non_null", "passed")
+
+
 # Change capture -------------------------------------------------------------------------------
 
 
@@ -390,9 +451,7 @@ def cdc_stream_state(spark, sf_dir):
     """The newest row per key kept by a stream that leaves deletes out."""
     stream = cdc.project_after(_envelope_stream(spark, sf_dir))
     name = f"{fresh_namespace(spark, 'state')}.web_events"
-    state = Mirror(
-        spark, name, stream.schema, ["event_id"], ["_ts_ms"], "_op", deletes="ignore", buckets=None
-    )
+    state = Mirror(spark, name, stream.schema, ["event_id"], ["_ts_ms"], "_op", deletes="ignore")
     checkpoint = shared_folder(spark, "state_checkpoint")
     state.stream(stream, checkpoint, {"availableNow": True}).awaitTermination()
     return state.read()
@@ -436,6 +495,36 @@ def cdc_two_consumers(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+@registered
+def cdc_log_replayed(spark, sf_dir):
+    """A log of messages that were all delivered twice, in other batches, and are logged once."""
+    folder = shared_folder(spark, "replayed")
+    events = adapters.table(spark, sf_dir, "events")
+    sent = adapters.envelope(events, F.col("event_id")).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    for _ in range(2):
+        sent.repartition(STREAM_FILES).write.mode("append").parquet(f"{folder}/messages")
+    stream = changes.read_file_stream(spark, f"{folder}/messages", sent.schema, max_files_per_trigger=3)
+    arrived = stream.withColumn("arrived", F.col("_metadata.file_modification_time"))
+    once = sinks.once(arrived, cdc.ARRIVAL, "arrived").drop("arrived")
+    log = cdc.drop_columns(cdc.flatten_envelope(once)).drop(*cdc.ARRIVAL)
+    sinks.append_log(
+        log, f"{folder}/checkpoint", f"{folder}/log", trigger={"availableNow": True}
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/log")
+
+
+@registered
+def cdc_stream_until_stopped(spark, sf_dir):
+    """A log written without a trigger: the query waits for more until it is stopped."""
+    folder = shared_folder(spark, "log")
+    log = cdc.drop_columns(cdc.flatten_envelope(_envelope_stream(spark, sf_dir)))
+    running = sinks.append_log(log, f"{folder}/checkpoint", f"{folder}/log")
+    running.processAllAvailable()
+    was_active = running.isActive
+    running.stop()
+    return spark.read.parquet(f"{folder}/log").withColumn("was_active", F.lit(was_active))
+
+
 # Materialized view ----------------------------------------------------------------------------
 
 
@@ -446,12 +535,11 @@ def revenue_view(spark: SparkSession, name: str, source: DataFrame) -> Aggregate
 
 @registered
 def mv_incremental(spark, sf_dir):
-    """Two batches of events, the second after a compaction, and a replay of the second."""
+    """Two loads of events and a replay of the second."""
     rows = _event_orders(spark, sf_dir)
     view = revenue_view(spark, f"{fresh_namespace(spark, 'mv')}.receita_por_hora", rows)
     early = F.col("pedido_em") < bound(rows, "pedido_em", F.lit(SINCE))
     view.apply_delta(rows.filter(early), 0)
-    view.compact()
     view.apply_delta(rows.filter(~early), 1)
     view.apply_delta(rows.filter(~early), 1)
     return view.read()
@@ -459,7 +547,7 @@ def mv_incremental(spark, sf_dir):
 
 @registered
 def mv_state_merge(spark, sf_dir):
-    """Partial states per hour and event type, merged per hour on read."""
+    """Partial states per hour and event type, merged per hour."""
     rows = _event_orders(spark, sf_dir)
     view = revenue_view(spark, f"{fresh_namespace(spark, 'mv')}.receita_por_hora", rows)
     partial = rows.select("pedido_em", "valor", "status")
@@ -468,7 +556,7 @@ def mv_state_merge(spark, sf_dir):
         F.sum("valor").cast("decimal(38,2)").alias("receita"),
         F.count("valor").alias("receita__values"),
     )
-    view.append(states, 0)
+    view.add(view.merged(states), "0")
     return view.read()
 
 
@@ -483,22 +571,18 @@ def mv_stream(spark, sf_dir):
 
 @registered
 def mv_out_of_order(spark, sf_dir):
-    """Batches 0, 5, a compaction, then 2, 1, 3 and 4: none is lost or counted twice."""
+    """Loads 0, 5, then 2, 1, 3, 4 and 5 again: none is lost or counted twice."""
     rows = _event_orders(spark, sf_dir)
     view = revenue_view(spark, f"{fresh_namespace(spark, 'mv')}.receita_por_hora", rows)
     part = F.col("order_id") % 6
-    for batch in (0, 5):
-        view.apply_delta(rows.filter(part == batch), batch)
-    view.compact()
-    for batch in (2, 1, 3, 4, 5):
-        view.apply_delta(rows.filter(part == batch), batch)
-    view.compact()
+    for load in (0, 5, 2, 1, 3, 4, 5):
+        view.apply_delta(rows.filter(part == load), load)
     return view.read()
 
 
 @registered
 def mv_signed_changes(spark, sf_dir):
-    """Changes per country kept from envelopes in three batches, updates and deletes included."""
+    """Changes per country kept from envelopes in three loads, updates and deletes included."""
     images = cdc.signed_images(_envelope(spark, sf_dir)).select(
         "geo_country", "sign", F.col("click_id").cast("decimal(12,2)").alias("valor"), "event_type"
     )
@@ -509,7 +593,6 @@ def mv_signed_changes(spark, sf_dir):
     )
     removed = F.col("sign") < 0
     view.apply_delta(images.filter(~removed), 0)
-    view.compact()
     view.apply_delta(images.filter(removed & (F.col("event_type") == "was click")), 1)
     view.apply_delta(images.filter(removed & (F.col("event_type") != "was click")), 2)
     return view.read()
@@ -538,16 +621,15 @@ def _flat_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mirror(spark: SparkSession, schema, deletes: str = "apply") -> Mirror:
     name = f"{fresh_namespace(spark, 'mirror')}.web_events"
-    return Mirror(spark, name, schema, ["event_id"], deletes=deletes, buckets=None)
+    return Mirror(spark, name, schema, ["event_id"], deletes=deletes)
 
 
 def _mirrored(spark: SparkSession, sf_dir: str, deletes: str = "apply") -> Mirror:
     """All changes in two batches: updates and deletes first, creates arriving late."""
     rows = _flat_changes(spark, sf_dir)
     mirror = _mirror(spark, rows.schema, deletes)
-    mirror.apply(rows.filter("op <> 'c'"), 0)
-    mirror.compact()
-    mirror.apply(rows.filter("op = 'c'"), 1)
+    mirror.apply(rows.filter("op <> 'c'"))
+    mirror.apply(rows.filter("op = 'c'"))
     return mirror
 
 
@@ -576,9 +658,8 @@ def replica_equal_versions(spark, sf_dir):
     rows = _offset_changes(spark, sf_dir)
     mirror = _mirror(spark, rows.schema)
     early = F.col("offset") % 4 < 2
-    mirror.apply(rows.filter(~early), 0)
-    mirror.compact()
-    mirror.apply(rows.filter(early), 1)
+    mirror.apply(rows.filter(~early))
+    mirror.apply(rows.filter(early))
     return mirror.read()
 
 
@@ -602,15 +683,36 @@ def replica_snapshot(spark, sf_dir):
 
 @registered
 def replica_initial_load(spark, sf_dir):
-    """The same kept as a mirror: the copy becomes its base, the changes its first batch."""
+    """The same kept as a mirror, which is loaded with the copy before the changes."""
     copy, later = _copy_and_changes(spark, sf_dir)
     name = f"{fresh_namespace(spark, 'mirror')}.vendas"
-    mirror = Mirror(spark, name, copy.schema, ["order_id"], buckets=None)
+    mirror = Mirror(spark, name, copy.schema, ["order_id"])
     mirror.load(copy)
-    mirror.apply(later, 0)
+    mirror.apply(later)
     return mirror.read()
 
 
+COPY_CHUNK = 500
+
+
+@registered
+def replica_chunked_copy(spark, sf_dir):
+    """Orders copied in chunks while events change them, and the log of these changes.
+
+    Each row is read at some moment between its chunk's low mark and twice a chunk later, so some
+    changes are in the copy already, some reach it late, and all are in the log.
+    """
+    copy, _ = _copy_and_changes(spark, sf_dir)
+    columns = [c for c in copy.columns if c not in ("op", "ts_ms")]
+    log = adapters.order_changes(adapters.table(spark, sf_dir, "events"))
+    low = F.expr(f"order_id div {COPY_CHUNK}") * (4 * COPY_CHUNK) + COPY_CHUNK
+    read_at = low + F.pmod(F.xxhash64("order_id"), F.lit(2 * COPY_CHUNK))
+    before = cdc.chunk_as_changes(copy.select(*columns), -1)
+    seen = cdc.state_from_log(before.unionByName(log.where(F.col("offset") <= read_at)), ["order_id"], ("offset",))
+    copied = cdc.chunk_as_changes(seen.select(*columns), low)
+    return cdc.state_from_copy(copied, log, ["order_id"]).select(*columns)
+
+
 @registered
 def replica_full_load(spark, sf_dir):
     """Selected tables landed as gzip Parquet and read back; rows per table."""
@@ -629,10 +731,7 @@ def replica_full_load(spark, sf_dir):
         .select(F.lit(name).alias("table_name"), "row_count")
         for name, path in landed.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    return reduce(DataFrame.unionByName, counts)
 
 
 @registered
@@ -668,6 +767,20 @@ def federated_lookup(spark, sf_dir):
     )
 
 
+@registered
+def federated_lookup_indexed(spark, sf_dir):
+    """The lookup over history whose row groups carry Bloom filters of the key."""
+    order = adapters.table(spark, sf_dir, "orders")
+    path = shared_folder(spark, "history")
+    landing.write_for_lookup(adapters.customer_history(order), path, {"customer_id": 1_000_000})
+    return federate.lookup(
+        adapters.live_orders(order),
+        landing.read_landing(spark, path),
+        F.col("order_id") == 902,
+        columns=LOOKUP_COLUMNS,
+    )
+
+
 @registered
 def federated_history(spark, sf_dir):
     live = adapters.live_events(adapters.table(spark, sf_dir, "events"))
@@ -696,6 +809,47 @@ def share_proof(spark, sf_dir):
     )
 
 
+@registered
+def share_revoked(spark, sf_dir):
+    """Of two shared tables the one taken back is gone at once, the other one stays."""
+    producer, consumer = fresh_namespace(spark, "producer"), fresh_namespace(spark, "consumer")
+    tables.overwrite_table(spark, _orders(spark, sf_dir), f"{producer}.vendas")
+    tables.overwrite_table(spark, _event_orders(spark, sf_dir), f"{producer}.eventos")
+    share.publish(spark, producer, consumer)
+    share.revoke(spark, consumer, ["vendas"])
+    seen = []
+    for name in ("vendas", "eventos"):
+        visible = tables.table_exists(spark, f"{consumer}.{name}")
+        rows = tables.read_table(spark, f"{consumer}.{name}") if visible else spark.range(0)
+        count = F.count(F.lit(1)) if visible else F.lit(None).cast("bigint")
+        seen.append(rows.agg(count.alias("row_count")).select(F.lit(name).alias("table_name"), F.lit(visible).alias("visible"), "row_count"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@registered
+def bounded_query_outcomes(spark, sf_dir):
+    """What becomes of statements that are answered, cut, refused, wrong or too slow."""
+    view = f"bounded_orders_{uuid.uuid4().hex[:8]}"
+    adapters.table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    statements = {
+        "whole": f"SELECT o_orderstatus, COUNT(*) AS n FROM {view} GROUP BY o_orderstatus",
+        "cut": f"SELECT * FROM {view}",
+        "no such column": f"SELECT no_such_column FROM {view}",
+        "drop": f"DROP VIEW {view}",
+        "computed path": f"SELECT * FROM IDENTIFIER('parquet.`' || '{sf_dir}/orders.parquet`')",
+        "reflection": f"SELECT reflect('java.lang.Math', 'abs', o_orderkey) FROM {view}",
+        "too slow": f"SELECT SUM(sqrt(id % 7)) FROM range(1000000000000) WHERE id NOT IN (SELECT o_orderkey FROM {view})",
+    }
+    outcomes = []
+    for name, sql in statements.items():
+        try:
+            got = query.bounded_query(spark, sql, max_rows=5 if name == "cut" else 1000, seconds=2 if name == "too slow" else 600)
+            outcomes.append((name, "rows", got.row_count, got.truncated))
+        except (query.QueryInputError, query.QueryFailed) as error:
+            outcomes.append((name, type(error).__name__, None, None))
+    return spark.createDataFrame(outcomes, "name string, outcome string, row_count bigint, truncated boolean")
+
+
 @registered
 def bounded_query(spark, sf_dir):
     view = f"bounded_orders_{uuid.uuid4().hex[:8]}"
@@ -724,6 +878,23 @@ def table_overwrite(spark, sf_dir):
     return tables.read_table(spark, name)
 
 
+@registered
+def table_schema_guard(spark, sf_dir):
+    """What the guard says to rows of another shape, and that the table keeps its rows."""
+    name, orders = f"{fresh_namespace(spark, 'tables')}.vendas", _orders(spark, sf_dir)
+    tables.overwrite_table(spark, orders, name)
+    first, second, *rest = orders.columns
+    others = [orders.drop("valor"), orders.withColumn("extra", F.lit(1)), orders.select(second, first, *rest)]
+    faults = []
+    for other in others:
+        try:
+            tables.overwrite_table(spark, other, name)
+        except tables.SchemaMismatchError as error:
+            faults.append(F.lit(str(error).partition(": ")[2]))
+    stored = tables.read_table(spark, name).agg(F.count(F.lit(1)).alias("row_count"))
+    return stored.select(F.explode(F.array(*faults)).alias("fault"), "row_count")
+
+
 @registered
 def table_bulk_load(spark, sf_dir):
     namespace = fresh_namespace(spark, "tables")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,20 @@ def settings_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds for some statements only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as that system's object."""
     jvm = spark.sparkContext._jvm

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,6 +33,22 @@ def write_by_day(df: DataFrame, path: str, ts_col: str, day_column: str = "dia")
     dated.write.mode("overwrite").partitionBy(day_column).parquet(path)
 
 
+def write_for_lookup(
+    df: DataFrame, path: str, keys: Mapping[str, int], row_group_bytes: int = 32 << 20
+) -> None:
+    """Parquet for lookups of single keys: every row group carries a Bloom filter of each key.
+
+    ``keys`` names the columns and about how many distinct values a row group has of each, which sets
+    the filters' size. A scan for a few values then skips row groups that cannot hold them, also
+    where the rows are in no order and their ranges tell nothing.
+    """
+    writer = df.write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+    for key, distinct in keys.items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", distinct)
+    writer.parquet(path)
+
+
 def landing_path(folder: str, schema: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{schema}/{table}"
 

@@ -1,14 +1,17 @@
 """Catalog tables: create, guard, replace, upsert.
 
 A three-part name (``catalog.namespace.table``) belongs to a catalog whose format replaces and
-merges rows itself, and is written with Spark's own commands for that. A two-part name is a
-Parquet table of the session catalog, which cannot do either: each write makes a new table
-``t__v<N>`` and then points the view ``t`` at it. Readers see the old version or the new one,
-never a mixture, and a write that dies half-way leaves the view alone. One writer per table.
-
-A table made by ``upsert`` is stored in folders by a hash of its keys. A later upsert writes anew
-only the folders that its keys fall in; the new version shares all others with the old one.
-Replaced versions stay for ``RETAIN_SECONDS``, for readers that began on them.
+merges rows itself, and is written with Spark's own commands for that. A two-part name is a view
+over a Parquet table of the session catalog, which can do neither:
+
+- Replacing writes a new table beside the old one and then points the view at it. Readers see the
+  old rows or the new ones, and a write that dies half-way leaves the view alone. The table before
+  the current one stays for readers that began on it; older ones are dropped.
+- A table made by ``upsert`` is partitioned by a hash of its keys. A later upsert stages the new
+  rows of the partitions that its keys fall in and then replaces these partitions by Spark's
+  dynamic partition overwrite. An upsert that dies while replacing is finished by the next write.
+
+One writer per table.
 """
 
 from __future__ import annotations
@@ -17,20 +20,19 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from shoreline.session import input_bytes, file_system
+from shoreline.session import file_system, input_bytes, setting
 
-CURRENT = "shoreline.version"
-# The keys, and for each hash folder where its files are.
-KEYS, PARTS = "shoreline.keys", "shoreline.parts"
+# What a view points at; the keys that a stored table is partitioned by, and into how many parts.
+STORED, KEYS = "shoreline.stored", "shoreline.keys"
 PART = "__part"
 PART_BYTES = 256 << 20
-# A long job reads a replaced version for at most this long.
-RETAIN_SECONDS = 7 * 24 * 3600
+
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 class SchemaMismatchError(ValueError):
@@ -61,90 +63,93 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def _view_property(spark: SparkSession, name: str, key: str) -> str | None:
+def _property(spark: SparkSession, name: str, key: str) -> str | None:
+    if not table_exists(spark, name):
+        return None
     found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     return found.get(key)
 
 
-def current_version(spark: SparkSession, name: str) -> str | None:
-    """The physical table behind a versioned name."""
-    return _view_property(spark, name, CURRENT) if table_exists(spark, name) else None
+def stored_table(spark: SparkSession, name: str) -> str | None:
+    """The Parquet table behind a name."""
+    return _property(spark, name, STORED)
 
 
-def table_property(spark: SparkSession, name: str, key: str) -> str | None:
-    """A property written together with the current version, see ``overwrite_table``."""
-    return _view_property(spark, name, key) if table_exists(spark, name) else None
+def is_internal(table: str) -> bool:
+    """True for a Parquet table behind a name, as opposed to the name users read."""
+    return re.search(r"__[0-9a-f]{16}_[0-9a-f]{8}$", table) is not None
 
 
-def is_version(table: str) -> bool:
-    """True for the physical table of some version, as opposed to the name users read."""
-    return re.search(r"__v\d{8}_[0-9a-f]{16}$", table) is not None
+def _stored_tables(spark: SparkSession, name: str) -> list[str]:
+    namespace, table = _split(name)
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {namespace} LIKE '{table}__*'").collect()]
+    return [f"{namespace}.{t}" for t in found if is_internal(t) and t.rpartition("__")[0] == table.lower()]
 
 
-def is_internal(table: str) -> bool:
-    """True for names users do not read: versions, and the bases of layered tables."""
-    return is_version(table) or table.endswith("__base")
+def _location(spark: SparkSession, physical: str) -> str:
+    namespace, table = _split(physical)
+    return f"{spark.catalog.getDatabase(namespace).locationUri.rstrip('/')}/{table.lower()}"
 
 
-def _versions(spark: SparkSession, name: str) -> list[str]:
-    namespace, table = _split(name)
-    found = spark.sql(f"SHOW TABLES IN {namespace} LIKE '{table}__v*'").collect()
-    return sorted(f"{namespace}.{r['tableName']}" for r in found if is_version(r["tableName"]))
+def _staged(spark: SparkSession, physical: str) -> str:
+    """Where an upsert into this table prepares its rows."""
+    return f"{_location(spark, physical)}__staged"
 
 
-def _new_version(spark: SparkSession, name: str) -> str:
-    """The next physical table's name: its number, when it was begun, and a random end that lets a
-    retry ignore the folder of an attempt that died."""
-    older = _versions(spark, name)
-    number = int(older[-1].rpartition("__v")[2].split("_")[0]) + 1 if older else 1
-    return f"{name}__v{number:08d}_{int(time.time()):08x}{uuid.uuid4().hex[:8]}"
+def _drop_stored(spark: SparkSession, physical: str) -> None:
+    fs, staged = file_system(spark, _staged(spark, physical))
+    fs.delete(staged, True)
+    spark.sql(f"DROP TABLE IF EXISTS {physical}")
 
 
-def _point(spark: SparkSession, name: str, physical: str, columns: Sequence[str], properties: dict[str, str]) -> None:
-    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in {**properties, CURRENT: physical}.items())
-    listed = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({pairs}) AS SELECT {listed} FROM {physical}")
-    vacuum(spark, name)
+def _point(spark: SparkSession, name: str, physical: str) -> str | None:
+    """Make the name show that table; returns what it showed before."""
+    before = stored_table(spark, name)
+    listed = ", ".join(f"`{c}`" for c in spark.table(physical).columns if c != PART)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{STORED}' = '{physical}') AS SELECT {listed} FROM {physical}"
+    )
+    return before
 
 
-def vacuum(spark: SparkSession, name: str, retain_seconds: int = RETAIN_SECONDS) -> list[str]:
-    """Drop versions that were replaced longer ago than that; returns them.
+def publish(spark: SparkSession, written: Mapping[str, str]) -> None:
+    """Make several names show the tables written for them, all or none.
 
-    A version is replaced when the next one is made. Folders go when no version left uses them.
+    Only catalog entries change here. If one of them fails, those already changed are put back.
     """
-    versions, current = _versions(spark, name), current_version(spark, name)
-    made = [int(v[-16:-8], 16) for v in versions]
-    stale = [
-        v
-        for v, replaced in zip(versions, made[1:])
-        if v != current and replaced <= time.time() - retain_seconds
-    ]
-    for physical in stale:
-        spark.sql(f"DROP TABLE IF EXISTS {physical}")
-    root = _parts_root(spark, name)
-    fs, path = file_system(spark, root)
-    if stale and fs.exists(path):
-        used = {place for v in _versions(spark, name) for place in _places(spark, v).values()}
-        for status in fs.listStatus(path):
-            version = status.getPath().getName()
-            if f"{_split(name)[0]}.{version}" not in stale:
-                continue
-            for part in fs.listStatus(status.getPath()):
-                if f"{version}/{part.getPath().getName()}" not in used:
-                    fs.delete(part.getPath(), True)
-    return stale
-
-
-def _write_version(
+    before: dict[str, str | None] = {}
+    try:
+        for name, physical in written.items():
+            before[name] = _point(spark, name, physical)
+    except Exception:
+        for name, physical in before.items():
+            if physical is None:
+                spark.sql(f"DROP VIEW IF EXISTS {name}")
+            else:
+                _point(spark, name, physical)
+        raise
+    for name, physical in written.items():
+        for old in _stored_tables(spark, name):
+            if old not in (physical.lower(), (before[name] or "").lower()):
+                _drop_stored(spark, old)
+
+
+def discard(spark: SparkSession, written: Mapping[str, str]) -> None:
+    """Drop tables that were written but are not to be published."""
+    for physical in written.values():
+        _drop_stored(spark, physical)
+
+
+def write_stored(
     df: DataFrame,
     name: str,
-    partition_by: Sequence[str],
-    cluster_by: Sequence[str],
-    buckets: int,
-    properties: dict[str, str],
+    *,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> str:
-    spark = df.sparkSession
-    physical = _new_version(spark, name)
+    """Write rows to a new table for this name, which readers see once it is ``publish``-ed."""
+    physical = f"{name}__{time.time_ns():016x}_{uuid.uuid4().hex[:8]}"
     if cluster_by:
         # One task per bucket, hence one sorted file per bucket.
         df = df.repartition(buckets, *cluster_by)
@@ -157,52 +162,37 @@ def _write_version(
     if cluster_by:
         writer = writer.bucketBy(buckets, *cluster_by).sortBy(*cluster_by)
     writer.saveAsTable(physical)
-    _point(spark, name, physical, spark.table(physical).columns, properties)
     return physical
 
 
-def buckets_for(size: int, bucket_bytes: int = PART_BYTES) -> int:
-    """How many buckets or hash folders so many bytes are worth."""
-    return max(1, -(-size // bucket_bytes))
+def _replace(df: DataFrame, name: str, **layout) -> str:
+    physical = write_stored(df, name, **layout)
+    publish(df.sparkSession, {name: physical})
+    return physical
 
 
-def _parts_root(spark: SparkSession, name: str) -> str:
-    namespace, table = _split(name)
-    return f"{spark.catalog.getDatabase(namespace).locationUri.rstrip('/')}/{table}__parts"
+def buckets_for(size: int, bucket_bytes: int = PART_BYTES) -> int:
+    """How many buckets or partitions so many bytes are worth."""
+    return max(1, -(-size // bucket_bytes))
 
 
-def _places(spark: SparkSession, physical: str) -> dict[str, str]:
-    """The folder of each hash part of a version, below the table's folder of parts."""
-    return json.loads(_view_property(spark, physical, PARTS) or "{}")
+def stored_bytes(spark: SparkSession, physical: str) -> int:
+    """The bytes of a table's files."""
+    fs, path = file_system(spark, _location(spark, physical))
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
 
 def _part_of(keys: Sequence[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
 
-def _write_parts(
-    df: DataFrame, name: str, keys: Sequence[str], parts: int, kept: dict[str, str]
-) -> str:
-    """A new version from these rows' folders and the kept ones, which are not touched."""
+def _write_parts(df: DataFrame, name: str, keys: Sequence[str], parts: int) -> str:
+    """Write the whole table anew, partitioned by a hash of its keys."""
     spark = df.sparkSession
-    physical, root = _new_version(spark, name), _parts_root(spark, name)
-    version = _split(physical)[1]
-    stored = df.withColumn(PART, _part_of(keys, parts))
-    stored.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{root}/{version}")
-    fs, path = file_system(spark, f"{root}/{version}")
-    made = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    places = {**kept, **{n.partition("=")[2]: f"{version}/{n}" for n in made if n.startswith(PART)}}
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    spark.sql(
-        f"CREATE TABLE {physical} ({columns}, {PART} int) USING parquet "
-        f"OPTIONS (path '{root}/{version}') PARTITIONED BY ({PART}) "
-        f"TBLPROPERTIES ('{PARTS}' = '{json.dumps(places)}')"
-    )
-    if places:
-        added = " ".join(f"PARTITION ({PART}={p}) LOCATION '{root}/{place}'" for p, place in places.items())
-        spark.sql(f"ALTER TABLE {physical} ADD IF NOT EXISTS {added}")
-    properties = {KEYS: json.dumps([*keys, parts])}
-    _point(spark, name, physical, df.columns, properties)
+    physical = write_stored(df.withColumn(PART, _part_of(keys, parts)), name, partition_by=[PART])
+    layout = json.dumps([*keys, parts])
+    spark.sql(f"ALTER TABLE {physical} SET TBLPROPERTIES ('{KEYS}' = '{layout}')")
+    publish(spark, {name: physical})
     return physical
 
 
@@ -217,7 +207,7 @@ def ensure_table(
         parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}){parts}")
         return
-    _write_version(spark.createDataFrame([], schema), name, partition_by, (), 0, {})
+    _replace(spark.createDataFrame([], schema), name, partition_by=partition_by)
 
 
 def assert_schema_matches(
@@ -245,7 +235,7 @@ def as_stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
     def cast(field: T.StructField) -> Column:
         value, given = F.col(f"`{field.name}`"), df.schema[field.name].dataType
-        if given == field.dataType:
+        if given.simpleString() == field.dataType.simpleString():  # whether parts may be NULL aside
             return value
         held = value.try_cast(field.dataType)
         lost = value.isNotNull() & ~held.try_cast(given).eqNullSafe(value)
@@ -263,15 +253,18 @@ def overwrite_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     buckets: int = 0,
-    properties: dict[str, str] | None = None,
+    published: bool = True,
 ) -> str:
-    """Replace the whole table at once; returns the physical table now behind the name.
+    """Replace the whole table at once; returns the Parquet table now behind the name.
 
     ``cluster_by`` with ``buckets`` stores the rows hashed and sorted by those columns, so that
-    later joins on them need no shuffle of this table.
+    later joins on them need no shuffle of this table. Unless ``published``, readers of the name
+    go on seeing the old rows until the returned table is handed to ``publish``.
     """
     ensure_namespace(spark, _split(name)[0])
     if has_row_level_writes(name):
+        if not published:
+            raise ValueError(f"{name}: stage the rows under another name")
         ensure_table(spark, name, df.schema, partition_by)
         assert_schema_matches(spark, name, df)
         df.writeTo(name).overwrite(F.lit(True))
@@ -279,20 +272,18 @@ def overwrite_table(
     if table_exists(spark, name):
         assert_schema_matches(spark, name, df)
         df = as_stored(spark, name, df)
-    return _write_version(df, name, partition_by, cluster_by, buckets, properties or {})
+    write = _replace if published else write_stored
+    return write(df, name, partition_by=partition_by, cluster_by=cluster_by, buckets=buckets)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Remove a table, its name and all its versions."""
+    """Remove a table, its name and all that is stored for it."""
     if has_row_level_writes(name):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         return
-    older = _versions(spark, name)
     spark.sql(f"DROP VIEW IF EXISTS {name}")
-    for physical in older:
-        spark.sql(f"DROP TABLE IF EXISTS {physical}")
-    fs, path = file_system(spark, _parts_root(spark, name))
-    fs.delete(path, True)
+    for physical in _stored_tables(spark, name):
+        _drop_stored(spark, physical)
 
 
 def bulk_load(spark: SparkSession, path: str, name: str) -> None:
@@ -302,13 +293,13 @@ def bulk_load(spark: SparkSession, path: str, name: str) -> None:
     if has_row_level_writes(name):
         incoming.writeTo(name).append()
         return
-    layout = table_property(spark, name, KEYS)
+    finish(spark, name)
+    physical = stored_table(spark, name)
+    layout = _property(spark, physical, KEYS)
     if layout:
         *keys, parts = json.loads(layout)
-        both = spark.table(name).unionByName(as_stored(spark, name, incoming))
-        _write_parts(both, name, keys, parts, {})
-        return
-    incoming.write.insertInto(current_version(spark, name))
+        incoming = as_stored(spark, name, incoming).withColumn(PART, _part_of(keys, parts)).hint("rebalance", PART)
+    incoming.write.insertInto(physical)
 
 
 def _checked_source(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
@@ -351,6 +342,61 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return updated.unionByName(added)
 
 
+def finish(spark: SparkSession, name: str) -> None:
+    """Complete an upsert that died after its rows were staged, and clear what one left behind."""
+    physical = stored_table(spark, name)
+    if physical is None:
+        return
+    fs, staged = file_system(spark, _staged(spark, physical))
+    if not fs.exists(staged):
+        return
+    _, ready = file_system(spark, f"{_staged(spark, physical)}/ready")
+    if fs.exists(ready):
+        stored = spark.table(physical)
+        rows = spark.read.schema(stored.schema).parquet(f"{_staged(spark, physical)}/rows")
+        # the partitions that the rows have, and no others
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.select(*stored.columns).write.insertInto(physical, overwrite=True)
+    fs.delete(staged, True)
+
+
+def _stage(spark: SparkSession, rows: DataFrame, physical: str) -> DataFrame:
+    """The rows, written first, so that their plan runs once however often they are then used."""
+    path = f"{_staged(spark, physical)}/source"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def fold(
+    spark: SparkSession, rows: DataFrame, name: str, keys: Sequence[str], merge: Merge, parts: int = 0
+) -> str:
+    """Combine rows with the stored ones of equal keys by ``merge(stored, rows)``.
+
+    ``merge`` gets all stored rows of the partitions that the keys fall in, and returns what these
+    partitions are to hold. The others are neither read nor written. A table that has grown to
+    twice its partitions' worth is dealt anew.
+    """
+    ensure_namespace(spark, _split(name)[0])
+    if not table_exists(spark, name):
+        return _write_parts(rows, name, keys, parts or buckets_for(input_bytes(rows)))
+    finish(spark, name)
+    target, physical = spark.table(name), stored_table(spark, name)
+    source = _stage(spark, as_stored(spark, name, rows), physical)
+    layout = json.loads(_property(spark, physical, KEYS) or "[]")
+    worth = buckets_for(stored_bytes(spark, physical))
+    if layout[:-1] != list(keys) or worth > 2 * layout[-1]:
+        return _write_parts(merge(target, source), name, keys, max(parts, worth))
+    staged, part = _staged(spark, physical), _part_of(keys, layout[-1])
+    touched = sorted(r[0] for r in source.select(part).distinct().collect())
+    held = spark.table(physical).where(F.col(PART).isin(touched)).select(*target.columns)
+    merged = merge(held, source).withColumn(PART, part)
+    merged.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(f"{staged}/rows")
+    fs, ready = file_system(spark, f"{staged}/ready")
+    fs.create(ready, True).close()
+    finish(spark, name)
+    return physical
+
+
 def upsert(
     spark: SparkSession,
     df: DataFrame,
@@ -364,14 +410,14 @@ def upsert(
     """Update the rows whose key exists, insert the others; nothing is deleted.
 
     ``unique`` promises that the keys of ``df`` do not repeat (it was deduplicated on them) and
-    saves the check. The table is kept in ``parts`` folders by a hash of the keys (as many as its
-    first rows' bytes are worth, if not given), and only folders that the source's keys fall in
+    saves the check. The table is partitioned into ``parts`` by a hash of the keys (as many as its
+    first rows' bytes are worth, if not given), and only partitions that the source's keys fall in
     are read and written. ``buckets`` stores it instead clustered by its keys: later joins on them
     shuffle only their other side, but every upsert writes the table anew.
     """
     ensure_namespace(spark, _split(name)[0])
+    source = _checked_source(df, keys, unique)
     if has_row_level_writes(name):
-        source = _checked_source(df, keys, unique)
         ensure_table(spark, name, df.schema)
         assert_schema_matches(spark, name, df)
         on = reduce(
@@ -380,27 +426,11 @@ def upsert(
         merge = source.alias("source").mergeInto(name, on)
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return name
-    if not table_exists(spark, name):
-        source = _checked_source(df, keys, unique)
-        if buckets:
-            return _write_version(source, name, (), tuple(keys), buckets, {})
-        return _write_parts(source, name, keys, parts or buckets_for(input_bytes(df)), {})
-    assert_schema_matches(spark, name, df)
-    source = _checked_source(as_stored(spark, name, df), keys, unique)
-    if buckets:
-        merged = merge_rows(spark.table(name), source, keys)
-        return _write_version(merged, name, (), tuple(keys), buckets, {})
-    layout = json.loads(table_property(spark, name, KEYS) or "[]")
-    target = spark.table(name)
-    worth = buckets_for(input_bytes(target))
-    if layout[:-1] != list(keys) or worth > 2 * layout[-1]:
-        # not stored by these keys so far, or grown out of its folders: from now on it is
-        merged = merge_rows(target, source, keys)
-        return _write_parts(merged, name, keys, parts or worth, {})
-    stored, physical = layout[-1], current_version(spark, name)
-    part = _part_of(keys, stored)
-    touched = sorted(r[0] for r in source.select(part).distinct().collect())
-    places = _places(spark, physical)
-    target = spark.table(physical).where(F.col(PART).isin(touched)).drop(PART)
-    kept = {p: place for p, place in places.items() if int(p) not in touched}
-    return _write_parts(merge_rows(target, source, keys), name, keys, stored, kept)
+    if table_exists(spark, name):
+        assert_schema_matches(spark, name, df)
+        source = _checked_source(as_stored(spark, name, df), keys, unique)
+    if not buckets:
+        return fold(spark, source, name, keys, lambda old, new: merge_rows(old, new, keys), parts)
+    if table_exists(spark, name):
+        source = merge_rows(spark.table(name), _stage(spark, source, stored_table(spark, name)), keys)
+    return _replace(source, name, cluster_by=tuple(keys), buckets=buckets)

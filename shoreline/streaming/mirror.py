@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shoreline.operators.cdc import latest_by_version, version_order
-from shoreline.session import input_bytes
-from shoreline.streaming.layers import LayeredTable
+from shoreline.operators.cdc import latest_by_version
+from shoreline.sources import tables
+from shoreline.streaming import sinks
 
 
-class Mirror(LayeredTable):
+class Mirror:
     """Newest row per key, whatever order the changes arrive in (``cdc.version_order``).
 
+    The table is partitioned by a hash of the keys; a batch of changes reads and replaces the
+    partitions that its keys fall in. Of a stored and a new row the newer one stays, so a batch that
+    is applied again, or a source that is read again from its start, changes nothing.
+
     Deleted keys stay stored with their version and are only hidden on read; otherwise an older
     update arriving late would bring the row back. ``deletes="ignore"`` drops delete events
     instead, so a deleted row stays visible. Rows with a NULL key are not kept.
@@ -30,70 +33,53 @@ class Mirror(LayeredTable):
         version: Sequence[str] = ("ts_ms",),
         op_col: str = "op",
         deletes: str = "apply",
-        buckets: int | None = 0,
+        parts: int = 0,
     ):
         if deletes not in ("apply", "ignore"):
             raise ValueError("deletes is 'apply' or 'ignore'")
-        super().__init__(spark, name, schema, tuple(keys), buckets)
-        self.keys, self.version = list(keys), list(version)
+        if tables.has_row_level_writes(name):
+            raise ValueError(f"{name}: a format with row-level writes merges batches itself")
+        self.spark, self.name, self.schema = spark, name, schema
+        self.keys, self.version, self.parts = list(keys), list(version), parts
         self.op_col, self.deletes = op_col, deletes
 
-    def load(self, snapshot: DataFrame) -> None:
-        """Start from a full copy of the source, as change rows, written straight to the base."""
-        if self.base() is not None or self.pending():
-            raise ValueError(f"{self.name} already holds rows")
-        rows = latest_by_version(snapshot.dropna(subset=self.keys), self.keys, self.version, self.op_col)
-        self.replace_base(rows, through=-1, size=input_bytes(snapshot))
-
-    def apply(self, changes: DataFrame, batch: int) -> bool:
-        """Add one batch of flat change rows, reduced to the newest per key."""
+    def newest(self, changes: DataFrame) -> DataFrame:
+        """The newest of these changes per key. On a stream, in update mode, Spark's state store
+        holds it across batches, and every batch puts out the keys it touched."""
         keyed = changes.dropna(subset=self.keys)
         if self.deletes == "ignore":
             keyed = keyed.filter(~F.col(self.op_col).eqNullSafe("d"))
-        return self.append(latest_by_version(keyed, self.keys, self.version, self.op_col), batch)
-
-    def _ranked(self, df: DataFrame, name: str) -> DataFrame:
-        order = version_order(self.schema.names, self.version, self.op_col)
-        rest = [c for c in self.schema.names if c not in self.version and c != "offset"]
-        return df.select(F.struct(*order, *rest).alias(name), *self.keys)
-
-    def merged(self, base: DataFrame | None, layers: DataFrame | None) -> DataFrame:
-        """One row per key from both sides.
-
-        Each side holds a key once, so the join has no hot key, and a base stored in buckets of
-        its key is read in place: only the layers are shuffled.
-        """
-        if layers is None:
-            return self.empty() if base is None else base
-        newest = latest_by_version(layers, self.keys, self.version, self.op_col)
-        if base is None:
-            return newest
-        old, new = self._ranked(base, "old"), self._ranked(newest, "new")
-        same = reduce(Column.__and__, [old[k] == new[k] for k in self.keys])
-        both = old.join(new, same, "full_outer")
-        row = both.select(F.greatest("old", "new").alias("row"))
-        return row.select(*[F.col("row").getField(c).alias(c) for c in self.schema.names])
+        return latest_by_version(keyed, self.keys, self.version, self.op_col)
 
-    def read(self) -> DataFrame:
-        return self.rows().filter(~F.col(self.op_col).eqNullSafe("d"))
+    def _fold(self, newest: DataFrame) -> None:
+        def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+            return latest_by_version(old.unionByName(new), self.keys, self.version, self.op_col)
 
-    def stream(
-        self,
-        changes: DataFrame,
-        checkpoint: str,
-        trigger: dict | None = None,
-        compact_every: int = 50,
-    ) -> StreamingQuery:
-        """Start keeping the mirror from a stream of flat change rows."""
-        self.check_checkpoint(checkpoint)
+        rows = newest.select(*self.schema.names)
+        tables.fold(self.spark, rows, self.name, self.keys, merge, self.parts)
 
-        def on_batch(batch: DataFrame, batch_id: int) -> None:
-            self.apply(batch, batch_id)
-            self.compact_if_due(compact_every)
+    def load(self, snapshot: DataFrame) -> None:
+        """Start from a full copy of the source, as change rows."""
+        if tables.table_exists(self.spark, self.name):
+            raise ValueError(f"{self.name} already holds rows")
+        self.apply(snapshot)
+
+    def apply(self, changes: DataFrame) -> None:
+        """Take in some flat change rows."""
+        self._fold(self.newest(changes))
+
+    def stored(self) -> DataFrame:
+        """All keys with their newest change, deletes included."""
+        if not tables.table_exists(self.spark, self.name):
+            return self.spark.createDataFrame([], self.schema)
+        return tables.read_table(self.spark, self.name)
 
-        writer = changes.writeStream.foreachBatch(on_batch)
-        writer = writer.option("checkpointLocation", checkpoint)
-        return (writer.trigger(**trigger) if trigger else writer).start()
+    def read(self) -> DataFrame:
+        return self.stored().filter(~F.col(self.op_col).eqNullSafe("d"))
+
+    def stream(self, changes: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        """Start keeping the mirror from a stream of flat change rows."""
+        return sinks.each_batch(self.newest(changes), self._fold, checkpoint, trigger)
 
 
 def freshness(source: DataFrame, destination: DataFrame, ts_col: str) -> DataFrame:

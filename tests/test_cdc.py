@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -144,3 +145,31 @@ def test_kafka_source(spark):
     if not _has_class(spark, "org.apache.spark.sql.kafka010.KafkaSourceProvider"):
         pytest.skip("Spark's Kafka connector is not on the class path here")
     assert changes.read_change_stream(spark, "localhost:9092", "topic").isStreaming
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_table_copied_while_it_changes_equals_the_replay(spark, seed):
+    """Chunks in any order, one of them twice, each row read at some moment after its low mark."""
+    rng = random.Random(seed)
+    start = {k: k for k in range(0, 40, 2)}
+    state, history, log = dict(start), [dict(start)], []
+    for offset in range(1, 201):
+        key = rng.randrange(40)
+        if key in state and rng.random() < 0.4:
+            log.append((key, state.pop(key), "d", offset))
+        else:
+            log.append((key, 1000 + offset, "u" if key in state else "c", offset))
+            state[key] = 1000 + offset
+        history.append(dict(state))
+    copied, moment = [], 0
+    for chunk in rng.sample(range(4), 4) + [2]:
+        low = moment
+        for key in range(chunk * 10, chunk * 10 + 10):
+            moment = min(200, moment + rng.randrange(6))
+            if key in history[moment]:
+                copied.append((key, history[moment][key], low))
+    rows = spark.createDataFrame(copied, "k int, v int, low bigint")
+    chunks = cdc.chunk_as_changes(rows, F.col("low")).drop("low")
+    changes = spark.createDataFrame(log, "k int, v int, op string, offset bigint")
+    found = cdc.state_from_copy(chunks, changes, ["k"])
+    assert {r.k: r.v for r in found.collect()} == state

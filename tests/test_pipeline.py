@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from shoreline.operators import contracts, quality, star
+from shoreline.operators.counts import Counts
 from shoreline.plans import pipeline
 from shoreline.sources import landing, tables
 
@@ -97,3 +98,71 @@ def test_clustered_tables_feed_the_facts_without_a_shuffle(spark, namespace, no_
     sales = star.fact_sales_category(made["stg_sales"], made["dim_product"], made["dim_user"])
     exchanged = [line for line in plan(sales).splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanged) == 2 and not any("hashpartitioning(product_id" in line for line in exchanged)
+
+
+def seen(spark, namespace, names=("dim_user", "dim_product", "dim_rating", "fact_product_rating", "fact_sales_category")):
+    return {n: rows(spark.table(f"{namespace}.{n}")) for n in names if spark.catalog.tableExists(f"{namespace}.{n}")}
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_publishing_after_the_gate_gives_the_same_tables(spark, namespace, buckets):
+    raw = raw_reviews(spark)
+    want = {n: rows(t) for n, t in pipeline.run_star_schema(spark, raw, f"{namespace}").items()}
+    made = pipeline.run_star_schema(spark, raw, namespace, buckets=buckets, publish="after_gate")
+    assert {n: rows(t) for n, t in made.items()} == want
+    with pytest.raises(ValueError, match="after_gate"):
+        pipeline.run_star_schema(spark, raw, namespace, publish="never")
+
+
+@pytest.mark.parametrize("bad", ["dims", "facts"])
+def test_a_failing_gate_publishes_nothing(spark, namespace, monkeypatch, bad):
+    """Readers go on with the old tables, whichever gate fails, and nothing is left behind."""
+    run = lambda raw: pipeline.run_star_schema(spark, raw, namespace, publish="after_gate")
+    run(raw_reviews(spark))
+    before, stored = seen(spark, namespace), spark.sql(f"SHOW TABLES IN {namespace}").count()
+    more = [("P99999", None if bad == "dims" else "U00001", 99, 0)]
+    if bad == "facts":
+        monkeypatch.setitem(quality.FACT_RULES, "fact_product_rating", [quality.InRange("avg_rating", low=5, high=5)])
+    with pytest.raises(quality.QualityGateError, match="dim_user.user_id" if bad == "dims" else "InRange"):
+        run(raw_reviews(spark, extra=more))
+    assert seen(spark, namespace) == before
+    assert spark.sql(f"SHOW TABLES IN {namespace}").count() == stored
+    monkeypatch.undo()
+    # the staging table keeps the row until it is sent again as it should be
+    made = run(raw_reviews(spark, extra=[("P99999", "U00001", 99, 0)]))
+    assert made["dim_product"].where("product_id = 'P99999'").count() == 1
+
+
+def test_a_first_run_that_fails_publishes_nothing(spark, namespace):
+    with pytest.raises(quality.QualityGateError):
+        pipeline.run_star_schema(spark, raw_reviews(spark, [("P99999", None, 99, 0)]), namespace, publish="after_gate")
+    assert seen(spark, namespace) == {}
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_rows_are_counted_without_a_further_job(spark, namespace, buckets):
+    raw = raw_reviews(spark)
+    counts = Counts()
+    stage = lambda name, c: pipeline.stage(spark, raw, f"{namespace}.{name}", ["product_id"], buckets=buckets, counts=c)
+    for again in range(2):  # a new table, then one that is merged into
+        plain = jobs_of(spark, f"{namespace}-plain{again}", lambda: stage("a", None))
+        counted = jobs_of(spark, f"{namespace}-counted{again}", lambda: stage("b", counts))
+        assert plain == counted
+        assert counts.rows() == {"raw": raw.count(), "stg_sales": 20}
+
+
+def test_every_step_of_the_graph_is_counted(spark, namespace):
+    counts = Counts()
+    made = pipeline.run_star_schema(spark, raw_reviews(spark), namespace, counts=counts)
+    want = {name: table.count() for name, table in made.items()}
+    assert counts.rows() == {"raw": raw_reviews(spark).count(), **want}
+    assert {r.step: r.row_count for r in counts.report(spark).collect()} == counts.rows()

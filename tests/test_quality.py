@@ -1,6 +1,7 @@
 import pytest
 
 from conftest import plan
+from shoreline.operators import profile
 from shoreline.operators import quality as q
 
 
@@ -89,3 +90,33 @@ def test_a_table_is_scanned_once_for_all_its_rules(spark, users, tmp_path):
     users.write.parquet(f"{tmp_path}/u")
     report = q.evaluate(spark.read.parquet(f"{tmp_path}/u"), q.DIMENSION_RULES["dim_user"], "dim_user")
     assert plan(report).count("FileScan") == 1
+
+
+def test_sketches_of_partitions_merge_to_the_distinct_values_of_all(spark):
+    """Within the stated error of exact counts, for few and many values, shared by partitions or not."""
+    rows = spark.range(120_000).selectExpr(
+        "id % 5 AS day", "id AS own", "id % 30000 AS shared", "id % 7 AS few", "if(id % 3 = 0, NULL, id) AS holes",
+        "cast(NULL AS string) AS nothing",
+    )
+    columns = ["own", "shared", "few", "holes", "nothing"]
+    exact = {c: rows.select(c).dropna().distinct().count() for c in columns}
+    found = {r.column_name: r for r in profile.merged(profile.profile(rows, columns, "day")).collect()}
+    for column, count in exact.items():
+        assert found[column].row_count == 120_000 and found[column].non_null == rows.dropna(subset=[column]).count()
+        assert abs(found[column].distinct_values - count) <= profile.ERRORS * profile.ERROR * count
+    passed = {r.column_name: r.passed for r in profile.unique_proportion(profile.profile(rows, columns, "day")).collect()}
+    assert passed == {"own": True, "shared": False, "few": False, "holes": True, "nothing": False}
+
+
+def test_only_new_partitions_are_profiled(spark, tmp_path):
+    data, path = f"{tmp_path}/data", f"{tmp_path}/profiles"
+    day = lambda d, a, b: spark.range(a, b).selectExpr("id AS k", f"date('{d}') AS dia").write.mode("append").partitionBy("dia").parquet(data)
+    day("2026-03-01", 0, 100)
+    profile.update(spark, spark.read.parquet(data), path, ["k"], "dia")
+    first = set(tmp_path.glob("profiles/dia=*/*.parquet"))
+    day("2026-03-02", 50, 200)
+    days = spark.read.parquet(data)
+    merged = profile.merged(profile.update(spark, days, path, ["k"], "dia")).first()
+    assert (merged.row_count, merged.non_null, merged.distinct_values) == (250, 250, 200)
+    assert first < set(tmp_path.glob("profiles/dia=*/*.parquet"))
+    assert profile.update(spark, days, path, ["k"], "dia").count() == 2

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from shoreline.operators import federate, query
+from shoreline.sources import landing
 
 
 @pytest.fixture
@@ -34,6 +36,36 @@ def test_bad_input(spark, sql):
         query.bounded_query(spark, sql)
 
 
+@pytest.mark.parametrize("sql", ["SELECT * FROM IDENTIFIER('text.`{path}`')", "SELECT * FROM IDENTIFIER('te' || 'xt.`{path}`')", "SELECT IDENTIFIER('ref' || 'lect')('java.lang.Math', 'abs', 1)", "WITH t AS (SELECT * FROM IDENTIFIER('text.`{path}`')) SELECT * FROM t", "SELECT (SELECT max(value) FROM IDENTIFIER('text.`{path}`'))", "SELECT * FROM csv.`{path}`"])
+def test_computed_names_reach_no_file_and_no_jvm(spark, tmp_path, sql):
+    (tmp_path / "secret").write_text("hidden")
+    with pytest.raises(query.QueryInputError):
+        query.bounded_query(spark, sql.format(path=tmp_path / "secret"))
+
+
+def test_views_and_tables_over_files_are_allowed(spark, namespace, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/v")
+    spark.read.parquet(f"{tmp_path}/v").createOrReplaceTempView("over_files")
+    spark.range(4).write.saveAsTable(f"{namespace}.stored")
+    spark.sql(f"CREATE VIEW {namespace}.shown AS SELECT id + 1 AS id FROM {namespace}.stored")
+    for name, count in (("over_files", 3), (f"{namespace}.stored", 4), (f"{namespace}.shown", 4)):
+        assert query.bounded_query(spark, f"SELECT count(*) AS n FROM {name} WHERE id IN (SELECT id FROM over_files)").row_count == 1
+        assert query.bounded_query(spark, f"SELECT * FROM {name}").row_count == count
+
+
+def test_a_slow_query_ends_and_so_do_its_jobs(spark):
+    start, tracker = time.time(), spark.sparkContext.statusTracker()
+    with pytest.raises(query.QueryTimeout, match="longer than 3"):
+        query.bounded_query(spark, "SELECT SUM(sqrt(id % 7)) AS s FROM range(1000000000000)", seconds=3)
+    assert time.time() - start < 20
+    while tracker.getActiveStageIds() and time.time() - start < 60:
+        time.sleep(0.2)
+    assert not tracker.getActiveStageIds()
+    assert query.bounded_query(spark, "SELECT 1 AS x", seconds=60).data == [{"x": 1}]
+    with pytest.raises(query.QueryInputError):
+        query.bounded_query(spark, "SELECT 1", seconds=0)
+
+
 def test_bad_cap(spark):
     with pytest.raises(query.QueryInputError):
         query.bounded_query(spark, "SELECT 1", 0)
@@ -89,10 +121,32 @@ def test_lookup_of_many_rows_has_the_same_plan(live, history, no_broadcast):
     assert rows(found) == rows(federate.with_history(live, history).select(*columns)) and found.count() == 4
 
 
-def test_lookup_asks_the_live_side_once_and_thins_out_history(live, history):
-    found = federate.lookup(live, history, F.col("order_id") == 1)
-    text = plan(found)
-    assert "/live" not in text and "LeftSemi" in text
+def test_lookup_asks_the_live_side_once_and_thins_out_history(live, history, monkeypatch):
+    few = plan(federate.lookup(live, history, F.col("order_id") == 1))
+    assert "/live" not in few and "EqualTo(customer_id,10)" in few
+    monkeypatch.setattr(federate, "POINT_KEYS", 0)
+    many = plan(federate.lookup(live, history, F.col("order_id") == 1))
+    assert "/live" not in many and "LeftSemi" in many
+
+
+def scanned_rows(spark, path, key):
+    """How many rows a scan for one key hands on, before they are filtered one by one."""
+    found = spark.read.parquet(path).where(F.col("key") == key)
+    count = len(found.collect())
+    leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+    return count, leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filters_skip_row_groups_for_a_single_key(spark, tmp_path):
+    """Keys in no order, so that the row groups' ranges all hold the key that is looked up."""
+    rows = spark.range(0, 60_000, numPartitions=1).select((F.xxhash64("id") % 10_000_019).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    with_filter, without = f"{tmp_path}/a", f"{tmp_path}/b"
+    landing.write_for_lookup(rows, with_filter, {"key": 5_000}, row_group_bytes=1 << 18)
+    rows.write.option("parquet.block.size", 1 << 18).option("parquet.enable.dictionary", "false").parquet(without)
+    key = rows.first().key
+    assert scanned_rows(spark, without, key) == (1, 60_000)
+    found, read = scanned_rows(spark, with_filter, key)
+    assert found == 1 and read < 30_000
 
 
 def test_recent_is_strict_and_pushed_down(live):

@@ -94,131 +94,123 @@ def random_history(seed):
     return log, sorted(state.values())
 
 
-@pytest.mark.parametrize("seed, buckets", [(1, 0), (2, 4), (3, 4)])
-def test_mirror_equals_the_source_for_any_split_and_order(spark, namespace, seed, buckets):
+@pytest.mark.parametrize("seed, parts", [(1, 0), (2, 4), (3, 4)])
+def test_mirror_equals_the_source_for_any_split_and_order(spark, namespace, seed, parts):
     log, state = random_history(seed)
     random.Random(seed).shuffle(log)
     schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"], buckets=buckets)
+    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"], parts=parts)
     assert mirror.read().count() == 0
     cuts = sorted(random.Random(seed).sample(range(len(log)), 3))
-    parts = [log[a:b] for a, b in zip([0, *cuts], [*cuts, len(log)])]
-    for i, part in enumerate(parts):
-        assert mirror.apply(spark.createDataFrame(part, LOG), i)
-        if i in (0, 2):
-            assert mirror.compact() > 0
+    split = [log[a:b] for a, b in zip([0, *cuts], [*cuts, len(log)])]
+    for part in [*split, split[1]]:  # the last one is a replay
+        mirror.apply(spark.createDataFrame(part, LOG))
     assert rows(mirror.read()) == sorted(state, key=str)
-    mirror.compact()
-    assert rows(mirror.read()) == sorted(state, key=str)
-    assert mirror.compact() == 0
 
 
-def test_a_replayed_batch_changes_nothing(spark, namespace):
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    first = spark.createDataFrame([("a", 1, "c", 1), (None, 1, "c", 1)], LOG)
-    assert mirror.apply(first, 0) and not mirror.apply(first, 0)
-    mirror.compact()
-    assert not mirror.apply(first, 0)
+def test_rows_without_a_key_are_not_kept(spark, namespace):
+    mirror = Mirror(spark, f"{namespace}.m", spark.createDataFrame([], LOG).schema, ["k"])
+    mirror.apply(spark.createDataFrame([("a", 1, "c", 1), (None, 1, "c", 1)], LOG))
     assert rows(mirror.read()) == [("a", 1, "c", 1)]
 
 
-def test_a_batch_that_skips_numbers_waits_for_them(spark, namespace):
-    """Nothing after a gap is folded, so the missing batch is not taken for a replay."""
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    one = lambda k, ts: spark.createDataFrame([(k, 1, "c", ts)], LOG)
-    assert mirror.apply(one("a", 1), 0) and mirror.apply(one("f", 6), 5)
-    assert mirror.compact() == 1 and mirror.through() == 0
-    assert mirror.apply(one("c", 3), 2) and mirror.compact() == 0
-    assert mirror.apply(one("b", 2), 1) and mirror.compact() == 2 and mirror.through() == 2
-    assert not mirror.apply(one("x", 9), 1) and not mirror.apply(one("x", 9), 5)
-    assert [r.k for r in mirror.read().orderBy("k").collect()] == ["a", "b", "c", "f"]
-
-
-def test_commits_do_not_depend_on_the_committers_marker(spark, namespace):
-    schema = spark.createDataFrame([], LOG).schema
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-        assert mirror.apply(spark.createDataFrame([("a", 1, "c", 1)], LOG), 0)
-        assert mirror.read().count() == 1
-    finally:
-        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-
-
 def test_equal_versions_are_settled_by_arrival_or_for_the_delete(spark, namespace):
     fields = "k string, v string, op string, ts_ms bigint, offset bigint"
     changes_ = [("a", "zeta", "u", 1, 1), ("a", "alpha", "u", 1, 2), ("b", "x", "u", 1, 3), ("b", "x", "d", 1, 4), ("c", "x", "d", 1, 5), ("c", "y", "c", 1, 6)]
     log = spark.createDataFrame(changes_, fields)
     assert [(r.k, r.v) for r in cdc.state_from_log(log, ["k"]).orderBy("k").collect()] == [("a", "alpha"), ("c", "y")]
     mirror = Mirror(spark, f"{namespace}.m", log.schema, ["k"])
-    for batch, rows_ in enumerate([changes_[1::2], changes_[::2]]):
-        mirror.apply(spark.createDataFrame(rows_, fields), batch)
-        mirror.compact()
+    for rows_ in (changes_[1::2], changes_[::2]):
+        mirror.apply(spark.createDataFrame(rows_, fields))
     assert [(r.k, r.v) for r in mirror.read().orderBy("k").collect()] == [("a", "alpha"), ("c", "y")]
     bare = spark.createDataFrame([("b", 9, "u", 1), ("b", 1, "d", 1)], LOG)
     assert cdc.state_from_log(bare, ["k"]).count() == 0
     late = Mirror(spark, f"{namespace}.n", bare.schema, ["k"])
-    late.apply(bare.where("op = 'u'"), 0)
-    late.apply(bare.where("op = 'd'"), 1)
+    late.apply(bare.where("op = 'u'"))
+    late.apply(bare.where("op = 'd'"))
     assert late.read().count() == 0
 
 
 def test_a_late_update_does_not_bring_a_deleted_row_back(spark, namespace):
     schema = spark.createDataFrame([], LOG).schema
     mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    mirror.apply(spark.createDataFrame([("a", 1, "d", 9)], LOG), 0)
-    mirror.compact()
-    mirror.apply(spark.createDataFrame([("a", 1, "u", 5)], LOG), 1)
+    mirror.apply(spark.createDataFrame([("a", 1, "d", 9)], LOG))
+    mirror.apply(spark.createDataFrame([("a", 1, "u", 5)], LOG))
     assert mirror.read().count() == 0
 
 
 def test_ignoring_deletes_keeps_the_last_row(spark, namespace):
     schema = spark.createDataFrame([], LOG).schema
     mirror = Mirror(spark, f"{namespace}.m", schema, ["k"], deletes="ignore")
-    mirror.apply(spark.createDataFrame([("a", 1, "c", 1), ("a", 1, "d", 9)], LOG), 0)
+    mirror.apply(spark.createDataFrame([("a", 1, "c", 1), ("a", 1, "d", 9)], LOG))
     assert rows(mirror.read()) == [("a", 1, "c", 1)]
     with pytest.raises(ValueError):
         Mirror(spark, f"{namespace}.n", schema, ["k"], deletes="maybe")
 
 
-def test_an_unfinished_batch_is_invisible_and_written_again(spark, namespace):
+def test_streamed_mirror_follows_the_source_across_restarts(spark, namespace, source, tmp_path):
+    """What each key's newest change was is kept by the state store, deletes included."""
+    folder, stream = source
     schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    part = spark.createDataFrame([("a", 1, "c", 1)], LOG)
-    part.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{mirror.folder}/batch=0"
-    )
-    assert mirror.pending() == [] and mirror.read().count() == 0
-    assert mirror.apply(part, 0)
-    assert mirror.read().count() == 1
+    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"], parts=4)
+    run = lambda checkpoint: mirror.stream(stream(), f"{tmp_path}/{checkpoint}", NOW).awaitTermination()
+    run("ck")
+    add_file(spark.createDataFrame([("a", 5, "u", 7), ("b", 1, "d", 8)], LOG), folder)
+    run("ck")
+    assert rows(mirror.read()) == [("a", 5, "u", 7)]
+    add_file(spark.createDataFrame([("b", 4, "u", 6), ("a", 4, "u", 6), ("c", 1, "c", 9)], LOG), folder)
+    run("ck")
+    assert rows(mirror.read()) == [("a", 5, "u", 7), ("c", 1, "c", 9)]
+    run("another")  # reads all of the source again
+    assert rows(mirror.read()) == [("a", 5, "u", 7), ("c", 1, "c", 9)]
+    assert rows(mirror.stored()) == [("a", 5, "u", 7), ("b", 1, "d", 8), ("c", 1, "c", 9)]
 
 
-def test_reading_a_clustered_mirror_shuffles_only_the_layers(spark, namespace, no_broadcast):
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"], buckets=8)
-    mirror.apply(spark.createDataFrame([(f"k{i}", i, "c", i) for i in range(50)], LOG), 0)
-    mirror.compact()
-    mirror.apply(spark.createDataFrame([("k1", 0, "u", 99)], LOG), 1)
-    steps = plan(mirror.read())
-    old_side = steps.partition(":- ")[2].partition("+- Sort [k#")[0]
-    assert "FileScan" in old_side and "Exchange" not in old_side
+def test_state_is_kept_in_rocksdb_and_only_there(spark, namespace, source, tmp_path):
+    _, stream = source
+    mirror = Mirror(spark, f"{namespace}.m", spark.createDataFrame([], LOG).schema, ["k"])
+    provider = lambda: spark.conf.get(sinks.STATE_STORE)
+    before = provider()
+    query = mirror.stream(stream(), f"{tmp_path}/ck", NOW)
+    query.awaitTermination()
+    assert provider() == before
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 2 and any(k.startswith("rocksdb") for k in state["customMetrics"])
 
 
-def test_streamed_mirror_follows_the_source(spark, namespace, source, tmp_path):
+def test_a_stream_puts_out_changed_keys_only(spark, source, tmp_path):
     folder, stream = source
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    run = lambda: mirror.stream(stream(), f"{tmp_path}/ck", NOW, compact_every=2).awaitTermination()
+    mirror = Mirror(spark, "ns.unused", spark.createDataFrame([], LOG).schema, ["k"])
+    seen = []
+    run = lambda: sinks.each_batch(
+        mirror.newest(stream()), lambda batch: seen.append(rows(batch)), f"{tmp_path}/ck", NOW
+    ).awaitTermination()
     run()
-    add_file(spark.createDataFrame([("a", 5, "u", 7), ("b", 1, "d", 8)], LOG), folder)
-    run()
-    assert rows(mirror.read()) == [("a", 5, "u", 7)]
-    assert mirror.through() == 1
+    add_file(spark.createDataFrame([("a", 0, "u", 0)], LOG), folder)  # older than what is known
     run()
-    assert rows(mirror.read()) == [("a", 5, "u", 7)]
+    assert seen == [[("a", 1, "c", 1), ("b", 1, "c", 2)], [("a", 1, "c", 1)]]
+
+
+MESSAGES = "part int, pos bigint, v string, arrived timestamp"
+
+
+def test_messages_delivered_again_are_logged_once(spark, tmp_path):
+    at = lambda *data: spark.createDataFrame(data, "part int, pos bigint, v string, t string").selectExpr(
+        "part", "pos", "v", "timestamp('2026-03-01 ' || t) AS arrived"
+    )
+    folder = tmp_path / "in"
+    add_file(at((0, 1, "a", "10:00"), (1, 1, "b", "10:01"), (0, 1, "a", "10:02")), folder)
+
+    def run():
+        stream = changes.read_file_stream(spark, str(folder), spark.createDataFrame([], MESSAGES).schema)
+        log = sinks.once(stream, ["part", "pos"], "arrived", "30 minutes")
+        sinks.append_log(log, f"{tmp_path}/ck", f"{tmp_path}/out", trigger=NOW).awaitTermination()
+        return [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("part", "pos", "v").orderBy("part", "pos").collect()]
+
+    assert run() == [(0, 1, "a"), (1, 1, "b")]
+    # the whole batch again after a restart, with a new message
+    add_file(at((0, 1, "a", "10:10"), (1, 1, "b", "10:11"), (0, 2, "c", "10:12")), folder)
+    assert run() == [(0, 1, "a"), (0, 2, "c"), (1, 1, "b")]
 
 
 def test_the_log_and_the_mirror_agree(spark, namespace):
@@ -269,8 +261,7 @@ def test_incremental_equals_recomputed_for_any_split(spark, namespace, seed):
         part = sales(spark, *data[a:b]) if b > a else spark.createDataFrame([], SALES)
         view.apply_delta(part, i)
         if rng.random() < 0.5:
-            view.compact()
-        assert not view.apply_delta(part, i)
+            view.apply_delta(part, i)
     whole = sales(spark, *data).groupBy(F.date_trunc("hour", "pedido_em").alias("hora")).agg(
         F.count("*").alias("pedidos"), F.sum("valor").cast("decimal(38,2)").alias("receita")
     )
@@ -284,7 +275,6 @@ def test_signed_changes_update_and_remove_groups(spark, namespace):
     view.apply_delta(signed(-1, (1, "10:00", "5"), (2, "11:00", "7")), 1)
     assert hours(view) == [("11", 1, None)]
     view.apply_delta(signed(1, (2, "11:00", "9")), 2)
-    view.compact()
     assert hours(view) == [("11", 2, Decimal(9))]
 
 
@@ -293,20 +283,26 @@ def test_doubles_cannot_be_summed_incrementally(spark, namespace):
         revenue(spark, f"{namespace}.v", schema="pedido_em timestamp, valor double")
 
 
-def test_a_compacted_view_is_read_without_shuffle(spark, namespace):
+def test_a_view_is_read_without_shuffle(spark, namespace):
     view = revenue(spark, f"{namespace}.v")
-    view.apply_delta(sales(spark, (1, "10:05", "100")), 0)
-    view.compact()
-    assert "Exchange" not in plan(view.read())
+    for i in range(2):
+        view.apply_delta(sales(spark, (i, "10:05", "100")), i)
+    assert "Exchange" not in plan(view.read()) and hours(view) == [("10", 2, Decimal(200))]
 
 
-def test_folded_batches_are_removed_one_compaction_later(spark, namespace):
+def test_groups_without_a_key_are_kept(spark, namespace):
     view = revenue(spark, f"{namespace}.v")
-    for i in range(3):
-        view.apply_delta(sales(spark, (i, "10:05", "1")), i)
-        view.compact()
-    assert view._batches() == [2] and view.through() == 2
-    assert hours(view) == [("10", 3, Decimal(3))]
+    for i in range(2):
+        view.apply_delta(sales(spark, (1, "10:05", "1")).withColumn("pedido_em", F.lit(None).cast("timestamp")), i)
+    assert [tuple(r) for r in view.read().collect()] == [(None, 2, Decimal(2))]
+
+
+def test_a_load_replaces_what_it_brought_before(spark, namespace):
+    view = revenue(spark, f"{namespace}.v")
+    view.apply_delta(sales(spark, (1, "10:05", "100"), (2, "11:00", "1")), "monday")
+    view.apply_delta(sales(spark, (3, "10:06", "5")), "tuesday")
+    view.apply_delta(sales(spark, (1, "10:05", "70"), (2, "11:00", "1")), "monday")
+    assert hours(view) == [("10", 2, Decimal(75)), ("11", 1, Decimal(1))]
 
 
 @pytest.fixture
@@ -354,34 +350,19 @@ def test_a_failed_refresh_is_recorded(spark, namespace, sales_folder, tmp_path):
     assert [r.status for r in view.refresh_history().collect()] == ["Failed"]
 
 
-def test_a_large_base_is_not_rewritten_for_small_batches(spark, namespace):
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    many = spark.range(20000).selectExpr("concat('k', id) AS k", "int(id) AS v", "'c' AS op", "id AS ts_ms")
-    mirror.apply(many, 0)
-    assert mirror.compact_if_due(1) == 1
-    for i in (1, 2, 3):
-        mirror.apply(spark.createDataFrame([("k1", i, "u", 10**6 + i)], LOG), i)
-        assert mirror.compact_if_due(1) == 0
-    assert mirror.compact_if_due(4) == 0 and mirror.pending() == [1, 2, 3]
-    mirror.apply(many.withColumn("ts_ms", F.col("ts_ms") + 10**7), 4)
-    assert mirror.compact_if_due(4) == 4
-    assert mirror.read().count() == 20000
-
-
-def test_layers_leave_row_level_formats_alone(spark):
+def test_row_level_formats_are_left_alone(spark):
     schema = spark.createDataFrame([], LOG).schema
     with pytest.raises(ValueError, match="row-level"):
         Mirror(spark, "lake.ns.m", schema, ["k"])
 
 
-@pytest.mark.parametrize("buckets", [0, 4])
-def test_mirror_starts_from_a_full_copy(spark, namespace, buckets):
+@pytest.mark.parametrize("parts", [0, 4])
+def test_mirror_starts_from_a_full_copy(spark, namespace, parts):
     copy = cdc.snapshot_as_changes(spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "k string, v int"), 10)
-    mirror = Mirror(spark, f"{namespace}.m", copy.schema, ["k"], buckets=buckets)
+    mirror = Mirror(spark, f"{namespace}.m", copy.schema, ["k"], parts=parts)
     mirror.load(copy)
     assert rows(mirror.read()) == [("a", 1, "r", 10), ("b", 1, "r", 10)]
-    mirror.apply(spark.createDataFrame([("a", 0, "u", 9), ("b", 1, "d", 11), ("c", 1, "c", 12)], LOG), 0)
+    mirror.apply(spark.createDataFrame([("a", 0, "u", 9), ("b", 1, "d", 11), ("c", 1, "c", 12)], LOG))
     assert rows(mirror.read()) == [("a", 1, "r", 10), ("c", 1, "c", 12)]
     with pytest.raises(ValueError, match="already holds"):
         mirror.load(copy)
@@ -413,7 +394,6 @@ def test_a_new_checkpoint_needs_a_reset(spark, namespace, sales_folder, tmp_path
     folder, stream = sales_folder
     view = revenue(spark, f"{namespace}.v")
     view.refresh(stream(), f"{tmp_path}/ck1")
-    view.compact()
     add_file(sales(spark, (2, "10:06", "1")), folder)
     with pytest.raises(ValueError, match="another checkpoint"):
         view.refresh(stream(), f"{tmp_path}/ck2")
@@ -424,14 +404,3 @@ def test_a_new_checkpoint_needs_a_reset(spark, namespace, sales_folder, tmp_path
     assert hours(view) == []
     view.refresh(stream(), f"{tmp_path}/ck2")
     assert hours(view) == before == [("10", 2, Decimal(101))]
-
-
-def test_a_mirror_checks_its_checkpoint_too(spark, namespace, source, tmp_path):
-    _, stream = source
-    schema = spark.createDataFrame([], LOG).schema
-    mirror = Mirror(spark, f"{namespace}.m", schema, ["k"])
-    mirror.load(spark.createDataFrame([("z", 1, "r", 0)], LOG))
-    mirror.stream(stream(), f"{tmp_path}/ck", NOW).awaitTermination()
-    assert mirror.read().count() == 3
-    with pytest.raises(ValueError, match="another checkpoint"):
-        mirror.stream(stream(), f"{tmp_path}/other", NOW)

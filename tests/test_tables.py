@@ -17,7 +17,7 @@ def test_overwrite_replaces_and_readers_of_the_name_see_it(spark, namespace):
     first = tables.overwrite_table(spark, frame(spark, [(1, "a", 1)]), name)
     assert rows(tables.read_table(spark, name)) == [(1, "a", 1)]
     second = tables.overwrite_table(spark, frame(spark, [(2, "b", 2)]), name)
-    assert first != second == tables.current_version(spark, name)
+    assert first != second == tables.stored_table(spark, name)
     assert rows(tables.read_table(spark, name)) == [(2, "b", 2)]
 
 
@@ -28,19 +28,45 @@ def test_overwrite_may_read_the_table_it_replaces(spark, namespace):
     assert rows(tables.read_table(spark, name)) == [(1, "a", 2)]
 
 
-def versions(spark, namespace):
-    return [t.tableName for t in spark.sql(f"SHOW TABLES IN {namespace}").collect() if tables.is_version(t.tableName)]
+def stored(spark, namespace):
+    return [t.tableName for t in spark.sql(f"SHOW TABLES IN {namespace}").collect() if tables.is_internal(t.tableName)]
 
 
-def test_replaced_versions_stay_until_they_are_old(spark, namespace):
+def test_the_table_before_stays_for_its_readers(spark, namespace):
     name = f"{namespace}.t"
     tables.overwrite_table(spark, frame(spark, [(0, "a", 0)]), name)
-    held = tables.read_table(spark, name)
     for i in range(1, 4):
+        held = tables.read_table(spark, name)
         tables.overwrite_table(spark, frame(spark, [(i, "a", i)]), name)
-    assert rows(held) == [(0, "a", 0)] and len(versions(spark, namespace)) == 4
-    assert len(tables.vacuum(spark, name, retain_seconds=0)) == 3
-    assert rows(tables.read_table(spark, name)) == [(3, "a", 3)] and len(versions(spark, namespace)) == 1
+        assert rows(held) == [(i - 1, "a", i - 1)] and len(stored(spark, namespace)) == 2
+    assert rows(tables.read_table(spark, name)) == [(3, "a", 3)]
+
+
+def test_several_names_switch_together_or_not_at_all(spark, namespace, monkeypatch):
+    names = [f"{namespace}.{t}" for t in "abc"]
+    for name in names[:2]:
+        tables.overwrite_table(spark, frame(spark, [(1, "old", 1)]), name)
+    write = lambda: {n: tables.overwrite_table(spark, frame(spark, [(2, "new", 2)]), n, published=False) for n in names}
+    seen = lambda: [rows(spark.table(n))[0][1] for n in names if spark.catalog.tableExists(n)]
+    made = write()
+    assert seen() == ["old", "old"]
+    point = tables._point
+
+    def fails(spark, name, physical):
+        if name == names[2] and physical is not None:
+            raise RuntimeError("catalog is gone")
+        return point(spark, name, physical)
+
+    monkeypatch.setattr(tables, "_point", fails)
+    with pytest.raises(RuntimeError, match="catalog is gone"):
+        tables.publish(spark, made)
+    assert seen() == ["old", "old"]
+    monkeypatch.undo()
+    tables.publish(spark, made)
+    assert seen() == ["new"] * 3
+    again = write()
+    tables.discard(spark, again)
+    assert seen() == ["new"] * 3 and not any(spark.catalog.tableExists(t) for t in again.values())
 
 
 def test_stored_types_are_kept(spark, namespace):
@@ -61,20 +87,76 @@ def part_files(spark, name):
     return set(spark.table(name).inputFiles())
 
 
-def test_an_upsert_of_few_keys_leaves_other_files_alone(spark, namespace):
+def test_an_upsert_of_few_keys_leaves_other_partitions_alone(spark, namespace):
     name = f"{namespace}.t"
     tables.upsert(spark, frame(spark, [(i, "a", i) for i in range(200)]), name, ["id"], parts=16)
-    before = part_files(spark, name)
-    held = tables.read_table(spark, name)
+    before, table = part_files(spark, name), tables.stored_table(spark, name)
     tables.upsert(spark, frame(spark, [(5, "new", 50), (999, "new", 1)]), name, ["id"])
     after = part_files(spark, name)
-    assert 14 <= len(before & after) < len(before)
+    assert 14 <= len(before & after) < len(before) and tables.stored_table(spark, name) == table
     assert rows(tables.read_table(spark, name).where("part = 'new'")) == [(5, "new", 50), (999, "new", 1)]
-    assert tables.read_table(spark, name).count() == 201 and held.where("part = 'new'").count() == 0
-    tables.vacuum(spark, name, retain_seconds=0)
     assert tables.read_table(spark, name).count() == 201
+    tables.upsert(spark, frame(spark, []), name, ["id"])
+    assert part_files(spark, name) == after
     tables.drop_table(spark, name)
-    assert versions(spark, namespace) == []
+    assert stored(spark, namespace) == []
+
+
+def test_a_grown_table_gets_more_partitions(spark, namespace, monkeypatch):
+    """By its files' bytes, so that a table begun with a few rows is not rewritten whole for ever."""
+    monkeypatch.setattr(tables, "PART_BYTES", 20_000)
+    monkeypatch.setattr(tables.buckets_for, "__defaults__", (20_000,))
+    name, count = f"{namespace}.t", lambda: len({f.rpartition("/")[0] for f in part_files(spark, name)})
+    grown = lambda a, b: spark.range(a, b).selectExpr("id", "sha2(string(id), 256) AS part", "int(id) AS v")
+    tables.upsert(spark, grown(0, 50), name, ["id"])
+    assert count() == 1
+    for a in range(0, 8000, 2000):
+        tables.upsert(spark, grown(a, a + 2000), name, ["id"])
+    many = count()
+    assert many > 8
+    tables.upsert(spark, grown(8000, 8001), name, ["id"])
+    assert tables.read_table(spark, name).count() == 8001 and count() >= many
+
+
+@pytest.mark.parametrize("ready", [True, False])
+def test_an_upsert_that_died_is_finished_or_forgotten(spark, namespace, monkeypatch, ready):
+    """Once its rows are staged the next write completes it; before that it has not happened."""
+    name = f"{namespace}.t"
+    tables.upsert(spark, frame(spark, [(i, "a", i) for i in range(40)]), name, ["id"], parts=4)
+    finish, calls = tables.finish, []
+
+    def dies(spark, name):
+        calls.append(name)
+        if len(calls) == 2:
+            if not ready:
+                fs, marker = tables.file_system(spark, f"{tables._staged(spark, tables.stored_table(spark, name))}/ready")
+                fs.delete(marker, False)
+            raise RuntimeError("died")
+        finish(spark, name)
+
+    monkeypatch.setattr(tables, "finish", dies)
+    with pytest.raises(RuntimeError, match="died"):
+        tables.upsert(spark, frame(spark, [(3, "new", 3), (99, "new", 9)]), name, ["id"])
+    monkeypatch.undo()
+    assert tables.read_table(spark, name).where("part = 'new'").count() == 0
+    tables.upsert(spark, frame(spark, [(7, "late", 7)]), name, ["id"])
+    want = [(7, "late", 7)] + ([(3, "new", 3), (99, "new", 9)] if ready else [])
+    assert rows(tables.read_table(spark, name).where("part <> 'a'")) == sorted(want)
+    assert tables.read_table(spark, name).count() == 40 + ready
+
+
+def test_the_sources_plan_runs_once(spark, namespace):
+    name, seen = f"{namespace}.t", spark.sparkContext.accumulator(0)
+    tables.upsert(spark, frame(spark, [(i, "a", i) for i in range(40)]), name, ["id"], parts=4)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = spark.range(20, 60, numPartitions=2).selectExpr("id", "'b' AS part", "int(id) AS v").mapInPandas(counted, SCHEMA)
+    tables.upsert(spark, source, name, ["id"])
+    assert seen.value == 40 and tables.read_table(spark, name).count() == 60
 
 
 def test_parts_follow_the_bytes():
@@ -127,12 +209,17 @@ def test_partitioned_table_prunes(spark, namespace):
     assert "PartitionFilters: [isnotnull(part" in plan(one)
 
 
-def test_bulk_load_appends_to_the_current_version(spark, namespace, tmp_path):
+def test_bulk_load_appends(spark, namespace, tmp_path):
     name = f"{namespace}.t"
     tables.overwrite_table(spark, frame(spark, [(1, "a", 1)]), name)
     landing.write_parquet(frame(spark, [(2, "b", 2)]), f"{tmp_path}/seed")
     tables.bulk_load(spark, f"{tmp_path}/seed", name)
     assert rows(tables.read_table(spark, name)) == [(1, "a", 1), (2, "b", 2)]
+    keyed = f"{namespace}.k"
+    tables.upsert(spark, frame(spark, [(1, "a", 1)]), keyed, ["id"], parts=4)
+    tables.bulk_load(spark, f"{tmp_path}/seed", keyed)
+    tables.upsert(spark, frame(spark, [(2, "c", 3)]), keyed, ["id"])
+    assert rows(tables.read_table(spark, keyed)) == [(1, "a", 1), (2, "c", 3)]
 
 
 def test_upsert_updates_inserts_and_is_idempotent(spark, namespace):
@@ -280,7 +367,7 @@ def test_three_part_names_use_the_formats_own_commands(spark, monkeypatch):
     assert "source.id" in condition and "lake.ns.t.part" in condition and "AND" in condition.upper()
 
 
-def test_drop_removes_every_version(spark, namespace):
+def test_drop_removes_all_that_is_stored(spark, namespace):
     name = f"{namespace}.t"
     for i in range(3):
         tables.overwrite_table(spark, frame(spark, [(i, "a", i)]), name)
