@@ -36,6 +36,8 @@ DISTANCE = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 SIMILARITY = 0.8
 MOST_BROADCAST = 1_000_000
+CHARACTERS = 1 << 19  # normalised together by a task
+NODES_PER_TASK = 100_000  # each of which is in ten buckets
 LINES = "doc_id long, version long, line int, node long, simhash long"
 
 
@@ -115,7 +117,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for start, stop in text.chunks(texts):
+            for start, stop in text.chunks(texts, CHARACTERS):
                 found = Normal(texts[start:stop])
                 nodes, simhashes = found.nodes()
                 rows = pa.array(found.owner[found.long] + start)
@@ -138,13 +140,13 @@ def wordings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column("text").to_pylist(), batch.column("nodes").to_pylist()
-            for start, stop in text.chunks(texts):
+            texts, wanted = batch.column("text").to_pylist(), batch.column("nodes").to_pylist()
+            for start, stop in text.chunks(texts, CHARACTERS):
                 found = Normal(texts[start:stop])
                 nodes, _ = found.nodes()
-                rows = []
+                rows, lists = [], [set(nodes) for nodes in wanted[start:stop]]
                 for node, i in zip(nodes.view(np.int64).tolist(), found.long.tolist(), strict=True):
-                    if node in lists[start + found.owner[i]]:
+                    if node in lists[found.owner[i]]:
                         rows.append((node, found.text(i)))
                 columns = list(zip(*rows, strict=True)) or [[], []]
                 yield pa.RecordBatch.from_arrays(
@@ -166,23 +168,32 @@ def block_keys(simhash: Column) -> list[Column]:
     ]
 
 
-BANDS = (4, 32, 256)
-# A band is tried on texts of up to so many cells; beyond that ``distance`` is faster.
-CELLS = 600_000
+# How many words of either line may be passed over, fewest first, until the lines agree again.
+STEPS = sorted(((i, j) for i in range(5) for j in range(5) if i or j), key=lambda step: (max(step), sum(step)))
 
 
-def near(a: Column, b: Column) -> Column:
-    """Whether the edit distance is at most a fifth of the longer text's length; NULL where the bands
-    that are tried do not decide it. Narrow bands come first, as the cost grows with the band."""
-    longest = F.greatest(F.length(a), F.length(b))
-    limit = F.floor(longest * (1 - SIMILARITY) + 1e-9)
-    apart = F.abs(F.length(a) - F.length(b))
-    decided = F.lit(None).cast("boolean")
-    for band in reversed(BANDS):
-        found = F.when(longest <= CELLS // band, F.levenshtein(a, b, band))
-        within = found.between(0, F.least(limit, F.lit(band)))
-        decided = F.when(within, True).when(limit <= band, False).otherwise(decided)
-    return F.when(apart > limit, False).otherwise(decided)
+def bound(a: str, b: str, limit: int) -> int:
+    """An upper bound of the edit distance, or something above the limit.
+
+    Both lines are walked word by word. Where they differ, the fewest words are passed over after
+    which they agree again, at the price of the longer of the two stretches.
+    """
+    x, y = a.split(" "), b.split(" ")
+    i = j = cost = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for over, more in STEPS:
+            if i + over < len(x) and j + more < len(y) and x[i + over] == y[j + more]:
+                break
+        else:
+            over = more = 1
+        cost += max(sum(map(len, x[i : i + over])) + over, sum(map(len, y[j : j + more])) + more)
+        if cost > limit:
+            return cost
+        i, j = i + over, j + more
+    return cost + max(sum(map(len, x[i:])) + len(x) - i, sum(map(len, y[j:])) + len(y) - j)
 
 
 def distance(a: str, b: str) -> int:
@@ -211,20 +222,25 @@ def distance(a: str, b: str) -> int:
     return score
 
 
+def near(a: str, b: str) -> bool:
+    """Whether the edit distance is at most a fifth of the longer line's length. Nearly all near
+    lines are known by the bound already; the distance decides the others."""
+    longest = max(len(a), len(b))
+    limit = int(longest * (1 - SIMILARITY) + 1e-9)
+    if longest - min(len(a), len(b)) > limit:
+        return False
+    return bound(a, b, limit) <= limit or distance(a, b) <= limit
+
+
 def near_pairs(pairs: DataFrame) -> DataFrame:
-    """The ``a, b`` whose wordings are near. Long lines with many changes, which a band decides only
-    at the square of their length, are left to ``distance``."""
+    """The ``a, b`` whose wordings are near."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("a_wording").to_pylist(), batch.column("b_wording").to_pylist(), strict=True)
-            fits = [distance(a, b) <= int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9) for a, b in both]
-            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array([near(a, b) for a, b in both], pa.bool_()))
 
-    judged = near(F.col("a_wording"), F.col("b_wording")).alias("near")
-    pairs = written(pairs.select("a", "b", "a_wording", "b_wording", judged), "worded")
-    long = in_batches(pairs.where("near IS NULL").repartition("a", "b"), work, "a long, b long")
-    return pairs.where("near").select("a", "b").unionByName(long)
+    return in_batches(pairs.select("a", "b", "a_wording", "b_wording"), work, "a long, b long")
 
 
 def close(a: Column, b: Column) -> Column:
@@ -241,7 +257,8 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         lines.groupBy("node").agg(F.first("simhash").alias("simhash"), F.min("doc_id").alias("doc_id")), "nodes"
     )
     keys = F.explode(F.array(*block_keys(F.col("simhash"))))
-    members = nodes.select("node", F.col("simhash").alias("fact"), keys.alias("bucket"))
+    tasks = nodes.count() // NODES_PER_TASK + 1
+    members = nodes.repartition(tasks, "node").select("node", F.col("simhash").alias("fact"), keys.alias("bucket"))
 
     def alike(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()

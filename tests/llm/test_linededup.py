@@ -92,7 +92,7 @@ def test_simhash_does_not_depend_on_neighbours_or_length():
     assert among[1] == among[2] == alone[0]
 
 
-def test_bands_and_bits_agree_with_the_table(spark):
+def test_bound_and_bits_agree_with_the_table(spark):
     rng = random.Random(4)
     pairs = []
     for n in (25, 60, 400, 2500):
@@ -105,11 +105,28 @@ def test_bands_and_bits_agree_with_the_table(spark):
     table = {(a, b): distance(a, b) for *_, a, b in pairs}
     assert all(linededup.distance(a, b) == linededup.distance(b, a) == d for (a, b), d in table.items())
     assert [linededup.distance(*p) for p in (("", ""), ("a", ""), ("ab", "ab"), ("kitten", "sitting"), ("日本", "日x本"))] == [0, 1, 0, 3, 1]
+    assert all(linededup.bound(a, b, 10**9) >= d and linededup.bound(a, b, d) >= d for (a, b), d in table.items())
     got = linededup.near_pairs(spark.createDataFrame(pairs, "a bigint, b bigint, a_wording string, b_wording string"))
     wanted = {(i, j) for i, j, a, b in pairs if table[a, b] <= int(0.2 * max(len(a), len(b)) + 1e-9)}
     assert {tuple(r) for r in got.collect()} == wanted and 0 < len(wanted) < len(pairs)
 
 
+def test_near_decides_like_the_distance():
+    """Lines with words replaced, dropped, added and moved, on both sides of the limit."""
+    rng, decided = random.Random(6), []
+    words = [f"w{i}" * rng.randint(1, 3) for i in range(40)]
+    for _ in range(600):
+        a = [rng.choice(words) for _ in range(rng.randint(1, 25))]
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 2)] = rng.choices(words, k=rng.randint(0, 2))
+        a, b = " ".join(a), " ".join(b)
+        decided.append(linededup.near(a, b))
+        assert decided[-1] == (distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+    assert 100 < sum(decided) < 500
+
+
 def test_awkward_rows(spark, awkward):
     got = linededup.dedup(spark, awkward).collect()
     by_id = {r.row.doc_id: r for r in got}
