@@ -38,7 +38,19 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style title textarea noembed noframes iframe template svg math object video audio canvas".split())
+# MathML is text of its sentence.
+INLINE |= frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts mtable mtr mtd menclose semantics none".split()
+)
+# Elements whose content is no markup: it ends at the first end tag.
+RAW = frozenset("script style title textarea noembed noframes iframe".split())
+# Elements left out with all that is in them, elements of their own kind included. Where the end tag is missing only
+# the tag is left out, and what follows is read on.
+SKIPPED = frozenset("template svg object video audio canvas annotation annotation-xml".split())
+# Of both, those that stand in a line of text without ending it.
+WITHIN = frozenset("script style template svg annotation annotation-xml".split())
+FOREIGN = frozenset(("svg", "math"))  # may close themselves
 ENDS_SAME = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table tbody body article section div form select menu td th blockquote".split())
 # Kinds of ancestors, by tags and by words in class, id and role.
@@ -76,6 +88,8 @@ PHRASES = (
     r"privacy|terms of (?:use|service)|imprint|contact us",
 )
 
+PHRASE_EVERY = 400
+
 _BY_TAG: dict[str, int] = {}
 for _n, (_tags, _) in enumerate(KINDS.values()):
     for _tag in _tags.split():
@@ -101,6 +115,13 @@ def _kinds(tag: str, named: str) -> int:
     return kinds
 
 
+def _dense(phrase: re.Pattern, text: str) -> bool:
+    """Whether a text holds the phrase, and a long one as often as once in so many characters."""
+    if not phrase.search(text):
+        return False
+    return len(text) < PHRASE_EVERY or len(phrase.findall(text)) * PHRASE_EVERY >= len(text)
+
+
 class Block:
     __slots__ = ("text", "kinds", "own", "linked", "container")
 
@@ -115,6 +136,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, int]] = [("body", 0, 0)]
     held: list[str] = []
     linked = links = containers = 0
+    ends: dict[str, dict[int, int]] = {}
     at, size = 0, len(page)
 
     def flush() -> None:
@@ -175,19 +197,26 @@ def blocks(page: str) -> list[Block]:
             if place:
                 close(place)
             continue
-        if tag in OPAQUE:
-            end = _end_of(tag).search(page, at)
-            if tag == "title" or tag not in INLINE:
+        if tag in RAW or tag in SKIPPED:
+            if tag not in WITHIN:
                 flush()
-            at = size if not end else end.end()
+            if tag in RAW:
+                end = _end_of(tag).search(page, at)
+                at = size if not end else end.end()
+            elif not (tag in FOREIGN and page[at - 2 : at] == "/>"):
+                if tag not in ends:
+                    ends[tag] = _ends_of(page, tag)
+                at = ends[tag].get(opened, at)
+            continue
+        if tag in FOREIGN and page[at - 2 : at] == "/>":
             continue
         if tag == "br" or tag == "hr":
             held.append(" ")
         if tag not in INLINE:
             flush()
-            ends = ENDS_SAME.get(tag) or ("p",)
+            closes = ENDS_SAME.get(tag) or ("p",)
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
+                if stack[i][0] in closes:
                     close(i)
                     break
                 if stack[i][0] in SCOPES:
@@ -209,6 +238,24 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _ends_of(page: str, tag: str) -> dict[int, int]:
+    """Where the elements of a kind end, by where they start; those that do not end are not there."""
+    opened: list[int] = []
+    ends = {}
+    for found in _tags_of(tag).finditer(page):
+        if found[1]:
+            if opened:
+                ends[opened.pop()] = found.end()
+        elif not (tag in FOREIGN and found[0].endswith("/>")):
+            opened.append(found.start())
+    return ends
+
+
+@cache
+def _tags_of(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){tag}(?![^\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>", re.I)
+
+
 @cache
 def _end_of(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}\b[^>]*>", re.I)
@@ -233,14 +280,15 @@ def features(found: list[list[Block]]) -> np.ndarray:
     kinds = np.array([b.kinds for b in flat], np.int64)
     linked = np.array([b.linked for b in flat]) / chars
     own = np.array([OWN.index(b.own) if b.own in OWN else -1 for b in flat])
-    key = page * (1 << 20) + np.minimum([b.container for b in flat], (1 << 20) - 1)
+    containers = np.array([b.container for b in flat], np.int64)
+    key = page * (containers.max(initial=0) + 1) + containers
     _, box = np.unique(key, return_inverse=True)
     in_box = np.bincount(box, weights=words * (linked < 0.5))
     largest = np.zeros(len(found))
     np.maximum.at(largest, page, in_box[box])
     title = np.cumsum(own == OWN.index("h1"))
     before = np.where(np.cumsum(lengths) - lengths > 0, title[np.maximum(np.cumsum(lengths) - lengths - 1, 0)], 0)
-    lowered = [b.text.lower() if len(b.text) < 400 else "" for b in flat]
+    lowered = [b.text.lower() for b in flat]
     last = laid.codes[laid.ends - 1]
     relative = place / np.maximum(lengths[page], 1)
     columns = [
@@ -253,7 +301,7 @@ def features(found: list[list[Block]]) -> np.ndarray:
         digits >= 0.2,
         np.isin(last, [ord(c) for c in ".!?…\"”»"]),
         laid.count(text.only(",;")[laid.codes], laid.starts, laid.ends) > 0,
-        *(np.array([bool(p.search(t)) for t in lowered]) for p in _PHRASES),
+        *(np.array([_dense(p, t) for t in lowered]) for p in _PHRASES),
         place == 0,
         relative < 0.2,
         relative > 0.8,

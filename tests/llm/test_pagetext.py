@@ -56,12 +56,25 @@ def test_given_pages(spark):
         ("", []), ("plain", ["plain"]), ("<p>", []), ("a<!-- b -->c<!-- d", ["ac"]), ("<script>x</p>", []), ("<p>one<p>two</p></div></p>three", ["one", "two", "three"]),
         ("x &lt; y &#233; &copy &bogus;", ["x < y é © &bogus;"]), ("<p title='a > b'>c</p>1 < 2", ["c", "1 < 2"]), ("<p a=\"x>y", ["y"]), ("a\n b\t c d", ["a b c d"]),
         ("<STYLE>p{}</STYLE><P>Up</P>", ["Up"]), ("<textarea>no</textarea><p>yes", ["yes"]), ("</p>" * 50 + "<b><i>deep" + "</i>" * 9, ["deep"]),
+        ("<p>one <svg/> two</p><p>three", ["one two", "three"]), ("<p>one<math/>two<p>three", ["onetwo", "three"]), ("<video src=a><p>kept", ["kept"]),
+        ("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then</p>", ["If x=2 then"]),
+        ("<p>a <svg><svg><text>in</text></svg><text>out</text></svg> b", ["a b"]), ("<svg a='>'><title>t</title></svg>x", ["x"]),
+        ("<object><object>a</object>b</object>c", ["c"]), ("<audio>a<audio>b</audio>c", ["a", "c"]), ("<p>a<script>b</p></script>c", ["ac"]),
+        ("<canvas>" * 3000 + "end", ["end"]), ("<template><p>no</p></template><p>yes", ["yes"]), ("<svgx>a</svgx>", ["a"]),
     ],
 )
 def test_blocks(page, texts):
     assert [b.text for b in pagetext.blocks(page)] == texts
 
 
+def test_phrases_count_in_blocks_of_any_length():
+    """A long notice shows its phrases as a short one does; one mention in a long text does not."""
+    notice = "We use cookies and ask for your consent to that. "
+    seen = lambda t: [bool(f) for f in map(lambda p: pagetext._dense(p, t.lower()), pagetext._PHRASES)]
+    assert seen(notice) == seen(notice * 8) == seen(notice * 200) and seen(notice)[1]
+    assert not seen("Plain words of an article about something else. " * 40 + notice)[1]
+
+
 def test_a_very_long_page_is_read_whole():
     page = "<article>" + "".join(f"<p>Paragraph number {i} has some words, and a full stop.</p>" for i in range(20_000)) + "</article>"
     assert pagetext.main_texts([page], pagetext.default_model())[0].count("\n") == 19_999
