@@ -13,8 +13,8 @@ Of each connected group the first occurrence stays, by document id and then line
 occurrences are removed, within a document as well as across documents.
 
 A text that loses lines keeps its other lines as they are, also blank ones. NULL and empty texts
-have no line to lose. Rows that agree in id and text count as one document, which is returned once;
-documents without an id are returned unchanged, as nothing names their lines.
+have no line to lose. Rows that agree in id and text count as one document, which is returned once,
+as the last of them by all their columns; documents without an id are returned unchanged, as nothing names their lines.
 """
 
 from __future__ import annotations
@@ -327,7 +327,9 @@ def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("version"))
     repeated = named.groupBy("doc_id", "version").count().where("count > 1")
     if not repeated.isEmpty():
-        rows = rows.where("doc_id IS NULL").unionByName(rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "version"]))
+        last = F.max_by("row", F.to_json("row", {"ignoreNullFields": "false"})).alias("row")
+        one = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "version").agg(last)
+        rows = rows.where("doc_id IS NULL").unionByName(one.select(*rows.columns))
     whole = F.col("row.text").cast("string")
     return rows.join(gone, ["doc_id", "version"], "left").select(
         "row",

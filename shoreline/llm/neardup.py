@@ -271,10 +271,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, one of each class: that with the least id."""
-    copies = written(near_duplicates(spark, docs).where("NOT kept").select(F.col("doc_id").alias("copy")), "copies")
+    """The documents with all their columns, one of each class: that with the least id.
+
+    Where ids repeat, each text of an id is a document of its own, and of a class the one with the least
+    hash of id and text stays; so no text goes that has no copy left. Of rows that agree in id and text
+    the last one by all their columns stays.
+    """
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     repeated = rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        rows = rows.where("doc_id IS NULL").unionByName(rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    several = not repeated.isEmpty()
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if several:
+        key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+        named = named.select(key.alias("doc_id"), "text")
+        key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("row.text").cast("string")))
+        rows = rows.select("row", key.alias("doc_id"))
+        last = F.max_by("row", F.to_json("row", {"ignoreNullFields": "false"})).alias("row")
+        one = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(last)
+        rows = rows.where("doc_id IS NULL").unionByName(one)
+    copies = near_duplicates(spark, named).where("NOT kept").select(F.col("doc_id").alias("copy")).distinct()
+    copies = written(copies, "copies")
     return rows.join(copies, F.col("doc_id") == F.col("copy"), "left_anti").select("row.*")

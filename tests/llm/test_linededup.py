@@ -142,3 +142,10 @@ def test_what_is_left_is_counted(spark, documents):
     line = "a passage of words that stands in both of the texts"
     docs = documents((1, line + "\nown"), (2, "x\n" + line))
     assert [(r.doc_id, r.text, r.n_chars) for r in linededup.cleaned(spark, docs).orderBy("doc_id").collect()] == [(1, line + "\nown", len(line) + 4), (2, "x", 1)]
+
+
+def test_of_rows_equal_in_id_and_text_the_same_one_stays(spark, documents):
+    rows = [(1, "some words of a line that is kept", "en", f"s{i}") for i in range(6)]
+    for parts in (1, 5):
+        left = linededup.cleaned(spark, documents(*rows).repartition(parts)).collect()
+        assert [(r.doc_id, r.source) for r in left] == [(1, "s5")]

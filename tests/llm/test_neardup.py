@@ -113,7 +113,18 @@ def test_one_id_with_two_texts_joins_their_classes(spark, documents):
     docs = documents((1, a), (2, a), (2, b), (3, b), (4, "other words here"))
     found = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark, docs).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 4: 4}
-    assert sorted(r.doc_id for r in neardup.deduplicated(spark, docs).collect()) == [1, 4]
+    # one document of each text stays: no text is lost for sharing an id
+    left = neardup.deduplicated(spark, docs).collect()
+    assert sorted(r.text for r in left) == sorted([a, b, "other words here"])
+    again = neardup.deduplicated(spark, docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, left))
+
+
+def test_of_rows_equal_in_id_and_text_the_same_one_stays(spark, documents):
+    rows = [(1, "some words to be kept here", "en", f"s{i}") for i in range(6)] + [(2, "entirely different words stand here", "en", "s")]
+    for parts in (1, 5):
+        left = neardup.deduplicated(spark, documents(*rows).repartition(parts)).collect()
+        assert sorted((r.doc_id, r.source) for r in left) == [(1, "s5"), (2, "s")]
 
 
 def test_empty_table(spark, documents):
