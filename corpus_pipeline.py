@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: language, lines, near copies, mixture, packing.
 
 Each stage takes the documents that the one before it kept. All but the last return the columns of
-``documents``; the last returns one row per packed piece.
+``documents``, also others that the input has, whatever their names; the last returns one row per packed
+piece. An empty table stays empty at every stage. Texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -16,27 +17,45 @@ BUDGET = 0.8  # share of the tokens that the mixture keeps
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is near a known language; rejected ones go."""
+    """Documents whose text is near a known language; rejected ones go.
+
+    NULL and empty texts, and those without a letter, have no language and go. Rows are judged one by
+    one, so repeated rows and NULL ids stay as they are; equal cosines go to the first language by name.
+    """
     return langid.accepted(docs, langid.fit(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One occurrence of each group of near-equal lines stays; emptied documents go."""
+    """One occurrence of each group of near-equal lines stays; emptied documents go.
+
+    The first occurrence by id and line number stays. Rows equal in id and text are one document, which
+    is kept once; NULL ids, NULL and empty texts pass unchanged.
+    """
     return linededup.cleaned(spark, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays."""
+    """One document of each class of near copies stays.
+
+    That is the one with the least id. Texts that share an id are documents of their own, and rows equal
+    in id and text are one. NULL ids, and texts without a word, resemble nothing and stay.
+    """
     return neardup.deduplicated(spark, docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target weights of sources, languages and topics."""
+    """Documents sampled to the target weights of sources, languages and topics.
+
+    NULL sources and languages are a value of their own. Equal rows draw alike; NULL texts weigh nothing.
+    """
     return mixing.sampled(spark, docs, budget=BUDGET)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens and their places in sequences."""
+    """Pieces of at most 1024 tokens and their places in sequences.
+
+    NULL texts count as empty, which is one token; repeated rows and NULL ids are packed row by row.
+    """
     return packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -2,9 +2,11 @@
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from llm.conftest import SF
 from llm.test_linededup import brute as deduplicated_lines
 from llm.test_neardup import classes_by_brute_force
 from shoreline.llm import linededup, mixing, registry
@@ -13,12 +15,10 @@ from shoreline.llm import linededup, mixing, registry
 def test_stages_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_duplicates", "mixture", "packed"]
     assert registry.QUERIES["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in registry.QUERIES} - {"pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in registry.QUERIES} - {"pipeline"}
 
 
 def test_every_stage_on_its_input(spark, tmp_path, documents):
-    from llm.conftest import SF
-
     given = spark.read.parquet(f"{SF}/documents.parquet")
     line = "a passage of more than a few words that stands in many documents"
     more = documents(*[(10_000 + i, f"{line}\nthe own words of number {i} are here and in no other text") for i in range(6)], (20_000, None), (20_001, "12345 $$$"))
@@ -65,6 +65,22 @@ def test_every_stage_on_its_input(spark, tmp_path, documents):
     assert pieces.groupby("sequence_id").length.sum().max() <= 1024
 
 
+@pytest.mark.parametrize("empty", [True, False])
+def test_awkward_rows_and_an_empty_table_pass_every_stage(spark, awkward, tmp_path, empty):
+    """Nulls in every column, repeated rows, clashing columns: the same columns come out, and nothing new."""
+    docs = awkward.limit(0) if empty else awkward
+    before = [str(r) for r in docs.drop("text", "n_chars").collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        out.write.parquet(f"{tmp_path}/{name}")
+        left = spark.read.parquet(f"{tmp_path}/{name}")
+        assert left.columns == docs.columns
+        after = [str(r) for r in left.drop("text", "n_chars").collect()]
+        assert not set(after) - set(before) and len(after) <= len(before)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert pieces.where("start = 0").count() == len(before)
+
+
 def _lines(docs):
     """The texts after line dedup; pairs are only formed among lines close in SimHash."""
     rows = [(r.doc_id, r.text) for r in docs.collect()]
