@@ -32,7 +32,7 @@ from shoreline.llm.common import in_batches, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 19
 PIECES_PER_BLOCK = 2000
 
 
@@ -70,8 +70,9 @@ def word_starts(laid: text.Laid) -> np.ndarray:
 
 
 class Tokens:
-    """Ids of whole texts. A word is encoded the first time a worker meets it and kept in an open
-    hash table of arrays, so that all words of a batch are found at once."""
+    """Ids of whole texts. A word is encoded the first time it is met and kept in an open hash table
+    of arrays, so that all words of a batch are found at once. The table starts anew once it is a
+    quarter full, since the next texts can bring as many words as they have characters."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -111,7 +112,7 @@ class Tokens:
             keys, rows = keys[lost], rows[lost]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for start, stop in text.chunks(texts):
+        for start, stop in text.chunks(texts, CACHED_WORDS):
             yield from self._encode(texts[start:stop])
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -129,7 +130,7 @@ class Tokens:
         owner = laid.owner(starts)
         ends = np.minimum(np.append(starts[1:], len(laid.codes)), laid.ends[owner])
         keys = laid.hashes(starts, ends)
-        if len(self.first) > CACHED_WORDS:
+        if len(self.first) > CACHED_WORDS // 2:
             self._forget()
         unknown = np.flatnonzero(~self._find(keys)[1])
         if len(unknown):
@@ -148,16 +149,11 @@ class Tokens:
         return out
 
 
-@cache
-def tokens(path: str) -> Tokens:
-    return Tokens(path)
-
-
 def pieces(docs: DataFrame, vocabulary: str, length: int, end_id: int) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens(vocabulary)
+        known = Tokens(vocabulary)  # the task's own, gone with it
         for batch in batches:
             rows = []
             texts = [t or "" for t in batch.column("text").to_pylist()]
