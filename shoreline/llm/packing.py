@@ -5,7 +5,7 @@
 2. The histogram of piece lengths has at most ``length`` bins whatever the input. On it, lengths
    are placed longest first, all pieces of a length at once: they go to the open pattern with the
    fewest ids so far; where even that pattern has no room for the whole length, new patterns are
-   opened. A pattern is a list of lengths and a count of sequences that look like it.
+   opened, each of which takes as many of the length as fit. A pattern is a list of lengths and a count of sequences that look like it.
 3. Pieces of one length are numbered 0, 1, ... across all tasks (counts per length and block, then
    numbers inside a block), and a piece's number says which sequence of which pattern it fills.
 
@@ -183,7 +183,11 @@ def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[in
         while left:
             shortest = min((n for n, open_ in held.items() if open_), default=length)
             if shortest + size > length:
-                held.setdefault(size, []).append((left, [size]))
+                # a new pattern is the shortest one until it is full
+                fit = length // size
+                for count, many in ((left // fit, fit), (1, left % fit)):
+                    if count and many:
+                        held.setdefault(size * many, []).append((count, [size] * many))
                 break
             count, lengths = held[shortest].pop()
             taken = min(left, count)

@@ -46,6 +46,13 @@ def test_patterns_hold_the_histogram_exactly(seed):
     assert held == histogram
 
 
+@pytest.mark.parametrize("histogram, sequences", [({241: 200}, 50), ({300: 900}, 300), ({341: 999}, 333), ({512: 7}, 4), ({1024: 3, 1: 5}, 4), ({400: 3, 200: 3}, 2)])
+def test_equal_lengths_share_sequences(histogram, sequences):
+    patterns = packing.shortest_pack_first(histogram, 1024)
+    assert sum(count for count, _ in patterns) == sequences
+    assert all(sum(lengths) <= 1024 for _, lengths in patterns)
+
+
 def test_longest_go_to_the_shortest_open_pack():
     assert sorted(packing.shortest_pack_first({6: 1, 5: 1, 4: 1, 3: 1}, 10)) == [(1, [5, 4]), (1, [6, 3])]
 
