@@ -81,7 +81,7 @@ def vectors(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def runs(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts, short enough for a dense matrix of their counts."""
-    for start, stop in text.chunks(texts):
+    for start, stop in text.chunks(texts, 1 << 19):
         for at in range(start, stop, TEXTS):
             yield at, min(at + TEXTS, stop)
 

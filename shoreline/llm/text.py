@@ -15,7 +15,7 @@ import numpy as np
 CODES = 0x110000
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
