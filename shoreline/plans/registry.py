@@ -37,6 +37,8 @@ TEXT_NORMALIZERS = {
 SINCE = "2024-01-15 00:00:00"
 NOW = "2024-01-15 12:00:00"
 STREAM_FILES = 4
+# What makes an event's change newer, as the state's SQL orders them: a delete gets no precedence of its own.
+CHANGE_ORDER = ("ts_ms", "event_timestamp", "event_type", "page_url", "utm_source")
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -432,7 +434,7 @@ def cdc_latest_by_version(spark, sf_dir):
 @registered
 def cdc_state_from_log(spark, sf_dir):
     log = cdc.drop_columns(cdc.flatten_envelope(_envelope(spark, sf_dir)))
-    return cdc.state_from_log(log, ["event_id"])
+    return cdc.state_from_log(log, ["event_id"], CHANGE_ORDER)
 
 
 @registered
@@ -619,9 +621,9 @@ def _flat_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.drop_columns(cdc.flatten_envelope(_envelope(spark, sf_dir)))
 
 
-def _mirror(spark: SparkSession, schema, deletes: str = "apply") -> Mirror:
+def _mirror(spark: SparkSession, schema, deletes: str = "apply", version=CHANGE_ORDER) -> Mirror:
     name = f"{fresh_namespace(spark, 'mirror')}.web_events"
-    return Mirror(spark, name, schema, ["event_id"], deletes=deletes)
+    return Mirror(spark, name, schema, ["event_id"], version, deletes=deletes)
 
 
 def _mirrored(spark: SparkSession, sf_dir: str, deletes: str = "apply") -> Mirror:
@@ -656,7 +658,7 @@ def replica_mirror_stream(spark, sf_dir):
 def replica_equal_versions(spark, sf_dir):
     """The same as a mirror that gets the later changes first."""
     rows = _offset_changes(spark, sf_dir)
-    mirror = _mirror(spark, rows.schema)
+    mirror = _mirror(spark, rows.schema, version=["ts_ms"])
     early = F.col("offset") % 4 < 2
     mirror.apply(rows.filter(~early))
     mirror.apply(rows.filter(early))
