@@ -18,7 +18,7 @@ from shoreline.operators import cdc, contracts, federate, profile, quality, quer
 from shoreline.operators.counts import Counts
 from shoreline.operators.dedup import duplicate_counts, keep_latest
 from shoreline.plans import adapters, pipeline
-from shoreline.session import shared_folder
+from shoreline.session import input_bytes, shared_folder
 from shoreline.sources import changes, landing, share, tables
 from shoreline.streaming import sinks
 from shoreline.streaming.mirror import Mirror, freshness
@@ -36,7 +36,10 @@ TEXT_NORMALIZERS = {
 }
 SINCE = "2024-01-15 00:00:00"
 NOW = "2024-01-15 12:00:00"
+# A captured stream has this many files at least, and one for so many bytes of the events behind it: as
+# envelopes these are some 35 times as many. It is read in as many batches however many files there are.
 STREAM_FILES = 4
+STREAM_FILE_BYTES = 8 << 20
 # What makes an event's change newer, as the state's SQL orders them: a delete gets no precedence of its own.
 CHANGE_ORDER = ("ts_ms", "event_timestamp", "event_type", "page_url", "utm_source")
 
@@ -92,12 +95,16 @@ def landed_sales(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "sales", make)
 
 
+def _stream_files(events: DataFrame) -> int:
+    return max(STREAM_FILES, tables.buckets_for(input_bytes(events), STREAM_FILE_BYTES))
+
+
 def landed_changes(spark: SparkSession, sf_dir: str) -> str:
     """Captured change files of the events."""
 
     def make() -> str:
-        changed = adapters.envelope(adapters.table(spark, sf_dir, "events"))
-        changed = changed.repartition(STREAM_FILES)
+        events = adapters.table(spark, sf_dir, "events")
+        changed = adapters.envelope(events.repartition(_stream_files(events)))
         return landing.land(changed, shared_folder(spark, "captured"), "public", "web_events")
 
     return _once(spark, sf_dir, "web_events", make)
@@ -113,20 +120,22 @@ def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landed_changes(spark, sf_dir)
-    return changes.read_file_stream(spark, path, cdc.ENVELOPE, max_files_per_trigger=2)
+    files = _stream_files(adapters.table(spark, sf_dir, "events"))
+    return changes.read_file_stream(spark, path, cdc.ENVELOPE, max_files_per_trigger=-(-files // 2))
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a folder of files that is read a few files at a time."""
     events = adapters.table(spark, sf_dir, "events")
+    files = _stream_files(events)
 
     def make() -> str:
         path = shared_folder(spark, "events")
-        events.repartition(STREAM_FILES).write.parquet(path)
+        events.repartition(files).write.parquet(path)
         return path
 
     path = _once(spark, sf_dir, "events", make)
-    return changes.read_file_stream(spark, path, events.schema, max_files_per_trigger=2)
+    return changes.read_file_stream(spark, path, events.schema, max_files_per_trigger=-(-files // 2))
 
 
 # Hourly revenue -------------------------------------------------------------------------------
@@ -502,10 +511,12 @@ def cdc_log_replayed(spark, sf_dir):
     """A log of messages that were all delivered twice, in other batches, and are logged once."""
     folder = shared_folder(spark, "replayed")
     events = adapters.table(spark, sf_dir, "events")
-    sent = adapters.envelope(events, F.col("event_id")).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    files = _stream_files(events)
+    dealt = adapters.envelope(events.repartition(files), F.col("event_id"))
+    sent = dealt.withColumn("partition", (F.col("offset") % 3).cast("int"))
     for _ in range(2):
-        sent.repartition(STREAM_FILES).write.mode("append").parquet(f"{folder}/messages")
-    stream = changes.read_file_stream(spark, f"{folder}/messages", sent.schema, max_files_per_trigger=3)
+        sent.write.mode("append").parquet(f"{folder}/messages")
+    stream = changes.read_file_stream(spark, f"{folder}/messages", sent.schema, max_files_per_trigger=3 * files // 4)
     arrived = stream.withColumn("arrived", F.col("_metadata.file_modification_time"))
     once = sinks.once(arrived, cdc.ARRIVAL, "arrived").drop("arrived")
     log = cdc.drop_columns(cdc.flatten_envelope(once)).drop(*cdc.ARRIVAL)

@@ -194,3 +194,13 @@ def test_a_table_copied_while_it_changes_equals_the_replay(spark, seed):
     changes = spark.createDataFrame(log, "k int, v int, op string, offset bigint")
     found = cdc.state_from_copy(chunks, changes, ["k"])
     assert {r.k: r.v for r in found.collect()} == state
+
+
+def test_captured_files_grow_with_the_events(spark, tmp_path, monkeypatch):
+    from shoreline.plans import registry
+
+    made = ("id AS event_id", "timestamp_micros(id * 1000) AS ts", "id AS user_id", "'view' AS event_type", "1.0D AS value")
+    spark.range(4000).selectExpr(*made).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(registry, "STREAM_FILE_BYTES", 2000, raising=False)
+    landed = spark.read.parquet(registry.landed_changes(spark, str(tmp_path)))
+    assert len(landed.inputFiles()) > 2 * registry.STREAM_FILES and landed.count() == 4000
