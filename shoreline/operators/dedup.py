@@ -12,11 +12,15 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 
     The remaining columns break ties, so equal runs give equal tables. An aggregate rather than
     a window: each map task sends one row per key, so a key holding a third of the input is
-    reduced before the shuffle instead of being sorted in one task.
+    reduced before the shuffle instead of being sorted in one task. The keys are shuffled once, not
+    in the ranked row as well.
     """
     ranked = [*order_by, *(c for c in df.columns if c not in order_by)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
-    return best.select(*[F.col("_best").getField(c).alias(c) for c in df.columns])
+    rest = [c for c in ranked if c not in keys]
+    if not rest:
+        return df.select(*df.columns).distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -211,3 +211,13 @@ def test_hourly_filter_reaches_the_scan_and_skips_days(spark, tmp_path):
     assert report.count() == 48
     assert "PushedFilters: [IsNotNull(pedido_em), GreaterThanOrEqual(pedido_em" in plan(report)
     assert "dia#" in plan(report).partition("PartitionFilters: [")[2][:80]
+
+
+def test_dedup_shuffles_a_key_once(spark):
+    from shoreline.operators.dedup import keep_latest
+
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "w"), (None, 1, "n"), (None, 1, "m")], "k string, o int, v string")
+    kept = keep_latest(df, ["k"], ["o"])
+    assert kept.columns == df.columns and rows(kept) == [("a", 2, "w"), (None, 1, "n")]
+    assert "max(struct(o, " in plan(kept) and "struct(o, o" in plan(kept) and ", k, " not in plan(kept)
+    assert rows(keep_latest(df.select("k"), ["k"])) == [("a",), (None,)]
