@@ -516,7 +516,7 @@ def cdc_log_replayed(spark, sf_dir):
     sent = dealt.withColumn("partition", (F.col("offset") % 3).cast("int"))
     for _ in range(2):
         sent.write.mode("append").parquet(f"{folder}/messages")
-    stream = changes.read_file_stream(spark, f"{folder}/messages", sent.schema, max_files_per_trigger=3 * files // 4)
+    stream = changes.read_file_stream(spark, f"{folder}/messages", sent.schema, max_files_per_trigger=-(-3 * files // 4))
     arrived = stream.withColumn("arrived", F.col("_metadata.file_modification_time"))
     once = sinks.once(arrived, cdc.ARRIVAL, "arrived").drop("arrived")
     log = cdc.drop_columns(cdc.flatten_envelope(once)).drop(*cdc.ARRIVAL)
