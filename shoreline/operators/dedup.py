@@ -23,6 +23,26 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
     return best.select(*[F.col(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns])
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_key``, a hash of each key that occurs more than once. Seldom also that of two keys whose
+    hashes are equal, which are then looked at in vain."""
+    counted = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where("n > 1").select("_key")
+
+
+def keep_latest_where_repeated(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], repeated: DataFrame
+) -> DataFrame:
+    """``keep_latest`` where only ``repeated`` keys, few enough to be broadcast, occur more than once.
+
+    All other rows are the latest of their key as they are, and are neither sorted nor shuffled.
+    """
+    hashed, few = df.withColumn("_key", F.xxhash64(*keys)), F.broadcast(repeated)
+    alone = hashed.join(few, "_key", "left_anti").drop("_key")
+    several = hashed.join(few, "_key", "left_semi").drop("_key")
+    return alone.unionByName(keep_latest(several, keys, order_by))
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and the duplicates a dedup would drop, as one row."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

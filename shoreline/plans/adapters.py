@@ -50,7 +50,8 @@ def sales(lineitem: DataFrame, part: DataFrame, order: DataFrame, customer: Data
         customer.select("c_custkey", "c_name"), "c_custkey"
     )
     parts = part.select("p_partkey", "p_name", "p_type", "p_brand")
-    joined = lines.join(parts, "p_partkey").join(buyers, "o_orderkey")
+    # the orders first: the lines are shuffled for them and have no long columns yet
+    joined = lines.join(buyers, "o_orderkey").join(parts, "p_partkey")
     product, user = F.col("p_partkey").cast("string"), F.col("c_custkey").cast("string")
     return joined.select(
         F.concat(F.lit("P"), product).alias("product_id"),

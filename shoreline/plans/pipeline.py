@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoreline.operators import contracts, quality, star
 from shoreline.operators.counts import Counts
-from shoreline.operators.dedup import keep_latest
+from shoreline.operators.dedup import keep_latest, keep_latest_where_repeated, repeated_keys
+from shoreline.session import shared_folder
 from shoreline.sources import landing, tables
 
 STAGING = "stg_sales"
+MOST_BROADCAST = 1_000_000  # hashes of 8 bytes
 
 
 def stage(
@@ -28,12 +30,23 @@ def stage(
 ) -> str:
     """Conform raw rows to the sales contract, keep one per key and upsert them.
 
-    ``counts`` learns the rows that came in and those that were kept, while they are written.
+    The keys are looked at first, by their hashes alone: where few repeat, all other rows go to the
+    table as they are. So ``raw`` is read more than once and must give the same rows each time.
+    ``counts`` learns the rows that came in, in that first look, and those that were kept, while
+    they are written.
     """
     counts = counts or Counts()
-    rows = contracts.conform(counts.passing(raw, "raw"), contracts.SALES, normalizers)
-    rows = counts.passing(keep_latest(rows, keys, order_by), STAGING)
-    return tables.upsert(spark, rows, name, keys, unique=True, buckets=buckets)
+    looked_at = contracts.conform(counts.passing(raw, "raw"), contracts.SALES, normalizers)
+    path = shared_folder(spark, "repeated")
+    repeated_keys(looked_at, keys).write.parquet(path)
+    repeated = spark.read.schema("_key long").parquet(path)
+    rows = contracts.conform(raw, contracts.SALES, normalizers)
+    if repeated.count() <= MOST_BROADCAST:
+        rows = keep_latest_where_repeated(rows, keys, order_by, repeated)
+    else:
+        rows = keep_latest(rows, keys, order_by)
+    rows = counts.passing(rows, STAGING)
+    return tables.upsert(spark, rows, name, keys, unique=True, buckets=buckets, deal=False)
 
 
 def _write_all(

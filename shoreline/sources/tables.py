@@ -147,13 +147,14 @@ def write_stored(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     buckets: int = 0,
+    gather: bool = True,
 ) -> str:
     """Write rows to a new table for this name, which readers see once it is ``publish``-ed."""
     physical = f"{name}__{time.time_ns():016x}_{uuid.uuid4().hex[:8]}"
     if cluster_by:
         # One task per bucket, hence one sorted file per bucket.
         df = df.repartition(buckets, *cluster_by)
-    elif partition_by:
+    elif partition_by and gather:
         # Few files per folder; adaptive execution splits a folder that outgrows the others.
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet")
@@ -186,10 +187,12 @@ def _part_of(keys: Sequence[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
 
-def _write_parts(df: DataFrame, name: str, keys: Sequence[str], parts: int) -> str:
-    """Write the whole table anew, partitioned by a hash of its keys."""
+def _write_parts(df: DataFrame, name: str, keys: Sequence[str], parts: int, gather: bool = True) -> str:
+    """Write the whole table anew, partitioned by a hash of its keys; a single part need not be
+    gathered."""
     spark = df.sparkSession
-    physical = write_stored(df.withColumn(PART, _part_of(keys, parts)), name, partition_by=[PART])
+    part = F.lit(0) if parts == 1 else _part_of(keys, parts)
+    physical = write_stored(df.withColumn(PART, part), name, partition_by=[PART], gather=gather)
     layout = json.dumps([*keys, parts])
     spark.sql(f"ALTER TABLE {physical} SET TBLPROPERTIES ('{KEYS}' = '{layout}')")
     publish(spark, {name: physical})
@@ -368,16 +371,27 @@ def _stage(spark: SparkSession, rows: DataFrame, physical: str) -> DataFrame:
 
 
 def fold(
-    spark: SparkSession, rows: DataFrame, name: str, keys: Sequence[str], merge: Merge, parts: int = 0
+    spark: SparkSession,
+    rows: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    merge: Merge,
+    parts: int = 0,
+    deal: bool = True,
 ) -> str:
     """Combine rows with the stored ones of equal keys by ``merge(stored, rows)``.
 
     ``merge`` gets all stored rows of the partitions that the keys fall in, and returns what these
     partitions are to hold. The others are neither read nor written. A table that has grown to
     twice its partitions' worth is dealt anew.
+
+    Unless ``deal``, a new table is one partition, whose rows are written as they come. This saves a
+    shuffle of all of them; the next call deals them, if they are worth more partitions.
     """
     ensure_namespace(spark, _split(name)[0])
     if not table_exists(spark, name):
+        if not deal:
+            return _write_parts(rows, name, keys, 1, gather=False)
         return _write_parts(rows, name, keys, parts or buckets_for(input_bytes(rows)))
     finish(spark, name)
     target, physical = spark.table(name), stored_table(spark, name)
@@ -406,14 +420,15 @@ def upsert(
     unique: bool = False,
     buckets: int = 0,
     parts: int = 0,
+    deal: bool = True,
 ) -> str:
     """Update the rows whose key exists, insert the others; nothing is deleted.
 
     ``unique`` promises that the keys of ``df`` do not repeat (it was deduplicated on them) and
     saves the check. The table is partitioned into ``parts`` by a hash of the keys (as many as its
     first rows' bytes are worth, if not given), and only partitions that the source's keys fall in
-    are read and written. ``buckets`` stores it instead clustered by its keys: later joins on them
-    shuffle only their other side, but every upsert writes the table anew.
+    are read and written; see ``fold`` for ``deal``. ``buckets`` stores it instead clustered by its
+    keys: later joins on them shuffle only their other side, but every upsert writes the table anew.
     """
     ensure_namespace(spark, _split(name)[0])
     source = _checked_source(df, keys, unique)
@@ -430,7 +445,7 @@ def upsert(
         assert_schema_matches(spark, name, df)
         source = _checked_source(as_stored(spark, name, df), keys, unique)
     if not buckets:
-        return fold(spark, source, name, keys, lambda old, new: merge_rows(old, new, keys), parts)
+        return fold(spark, source, name, keys, lambda old, new: merge_rows(old, new, keys), parts, deal)
     if table_exists(spark, name):
         source = merge_rows(spark.table(name), _stage(spark, source, stored_table(spark, name)), keys)
     return _replace(source, name, cluster_by=tuple(keys), buckets=buckets)

@@ -221,3 +221,41 @@ def test_dedup_shuffles_a_key_once(spark):
     assert kept.columns == df.columns and rows(kept) == [("a", 2, "w"), (None, 1, "n")]
     assert "max(struct(o, " in plan(kept) and "struct(o, o" in plan(kept) and ", k, " not in plan(kept)
     assert rows(keep_latest(df.select("k"), ["k"])) == [("a",), (None,)]
+
+
+def test_rows_of_keys_that_do_not_repeat_are_staged_without_a_shuffle(spark, monkeypatch):
+    from shoreline.operators.contracts import SALES
+    from shoreline.operators.dedup import keep_latest, keep_latest_where_repeated, repeated_keys
+    from shoreline.plans import pipeline
+
+    df = spark.range(300).selectExpr(
+        "if(id < 280, id, id % 4) AS k", "if(id % 90 = 7, NULL, id % 3) AS l", "id % 7 AS o", "md5(string(id)) AS v"
+    )
+    kept = keep_latest_where_repeated(df, ["k", "l"], ["o"], repeated_keys(df, ["k", "l"]))
+    assert kept.columns == df.columns and rows(kept) == rows(keep_latest(df, ["k", "l"], ["o"]))
+    assert 280 < kept.count() < 300
+
+    given = []
+    monkeypatch.setattr(pipeline.tables, "upsert", lambda spark, rows, *args, **options: given.append((rows, options)))
+    names = [f.name for f in SALES]
+    raw = spark.range(50).select(*[F.col("id").cast("string").alias(n) for n in names])
+    raw = raw.unionByName(raw.where("id < 2").withColumn("rating_count", F.lit("99")))
+    for most in (pipeline.MOST_BROADCAST, 1):
+        monkeypatch.setattr(pipeline, "MOST_BROADCAST", most)
+        pipeline.stage(spark, raw, "a.b", ["product_id", "user_id"], ["rating_count"])
+    (few, options), (many, _) = given
+    assert options["deal"] is False
+    assert rows(few) == rows(many) and few.where("rating_count = 99").count() == 2 and few.count() == 50
+    assert "LeftAnti" in plan(few) and "LeftAnti" not in plan(many)
+
+
+def test_lines_meet_their_orders_before_the_long_columns_of_the_parts(spark, no_broadcast):
+    from shoreline.plans import adapters
+
+    order = spark.range(5).selectExpr("id AS o_orderkey", "id AS o_custkey", "'x' AS o_orderpriority")
+    customer = spark.range(5).selectExpr("id AS c_custkey", "'n' || id AS c_name")
+    part = spark.range(5).selectExpr("id AS p_partkey", "'p' || id AS p_name", "'t' || id AS p_type", "'b' || id AS p_brand")
+    line = spark.range(5).selectExpr("id AS l_orderkey", "id AS l_partkey", "1 AS l_linenumber", "1.0 AS l_quantity", "1.0 AS l_extendedprice", "0.1 AS l_discount")
+    joins = adapters.sales(line, part, order, customer)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [at for at in joins.splitlines() if "Join Inner" in at]
+    assert "p_partkey" in joins[0] and "o_orderkey" in joins[1]

@@ -375,3 +375,16 @@ def test_drop_removes_all_that_is_stored(spark, namespace):
     assert spark.sql(f"SHOW TABLES IN {namespace}").filter("NOT isTemporary").count() == 0
     tables.overwrite_table(spark, frame(spark, [(9, "a", 9)]), name)
     assert rows(tables.read_table(spark, name)) == [(9, "a", 9)]
+
+
+def test_rows_written_as_they_come_are_dealt_by_the_next_upsert(spark, namespace, monkeypatch):
+    name = f"{namespace}.t"
+    first = frame(spark, [(i, "a", i) for i in range(20)]).repartition(3)
+    physical = tables.upsert(spark, first, name, ["id"], unique=True, deal=False)
+    assert [r[0] for r in spark.table(physical).select(tables.PART).distinct().collect()] == [0]
+    assert len(spark.table(physical).inputFiles()) == 3 and tables.read_table(spark, name).count() == 20
+    monkeypatch.setattr(tables, "buckets_for", lambda size: 4)
+    physical = tables.upsert(spark, frame(spark, [(3, "b", 0), (20, "b", 1)]), name, ["id"], deal=False)
+    assert spark.table(physical).select(tables.PART).distinct().count() > 1
+    kept = [(i, "a", i) for i in range(20) if i != 3]
+    assert rows(tables.read_table(spark, name)) == rows(frame(spark, [*kept, (3, "b", 0), (20, "b", 1)]))
