@@ -32,7 +32,7 @@ from shoreline.llm.common import fold, in_batches, kept_share
 
 BITS = 12
 DIMENSIONS = 1 << BITS
-TEXTS = 256
+TEXTS = 64
 SPANS = (2, 3, 5, 8, 12, 18, 27, 40, 60, 90, 130, 190, 280)
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
@@ -81,7 +81,7 @@ def vectors(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def runs(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts, short enough for a dense matrix of their counts."""
-    for start, stop in text.chunks(texts, 1 << 19):
+    for start, stop in text.chunks(texts, 1 << 17):
         for at in range(start, stop, TEXTS):
             yield at, min(at + TEXTS, stop)
 

@@ -36,7 +36,7 @@ DISTANCE = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 SIMILARITY = 0.8
 MOST_BROADCAST = 1_000_000
-CHARACTERS = 1 << 19  # normalised together by a task
+CHARACTERS = 1 << 17  # normalised together by a task
 NODES_PER_TASK = 100_000  # each of which is in ten buckets
 LINES = "doc_id long, version long, line int, node long, simhash long"
 

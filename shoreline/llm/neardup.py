@@ -35,6 +35,7 @@ from shoreline.llm.common import in_batches, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
+CHARACTERS = 1 << 17  # shingled together by a task
 BANDS, ROWS = 28, 7
 K = BANDS * ROWS
 DARTS = K * (np.log(K) + 2)
@@ -141,7 +142,7 @@ def signed(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for start, stop in text.chunks(texts):
+            for start, stop in text.chunks(texts, CHARACTERS):
                 n = stop - start
                 found, owner, high, low = shingles(texts[start:stop])
                 buckets = bands(signatures(found, owner, n)).view(np.int64)
@@ -179,7 +180,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = list(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True))
-            for start, stop in text.chunks([a + b for a, b in both]):
+            for start, stop in text.chunks([a + b for a, b in both], CHARACTERS):
                 alike = pa.array(similarities(both[start:stop]) >= SIMILARITY)
                 yield batch.slice(start, stop - start).select(["a", "b"]).filter(alike)
 
@@ -197,7 +198,7 @@ def rarities(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sources = batch.column("text").to_pylist()
-            for start, stop in text.chunks(sources):
+            for start, stop in text.chunks(sources, CHARACTERS):
                 found, owner, _, _ = shingles(sources[start:stop])
                 order = np.lexsort((found, owner))
                 found, owner = found[order], owner[order]

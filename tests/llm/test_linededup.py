@@ -149,3 +149,30 @@ def test_of_rows_equal_in_id_and_text_the_same_one_stays(spark, documents):
     for parts in (1, 5):
         left = linededup.cleaned(spark, documents(*rows).repartition(parts)).collect()
         assert [(r.doc_id, r.source) for r in left] == [(1, "s5")]
+
+
+def test_kernels_take_little_memory_at_a_time():
+    """A worker lays texts of any number piece by piece; its largest arrays stay small."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from shoreline.llm import langid, text
+
+    texts = [f"{i} " + "one more line of some words\n" * 70 for i in range(512)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(512)), "text": texts})
+    model = ["a"], np.ones(langid.DIMENSIONS, np.float32), np.ones((1, langid.DIMENSIONS), np.float32), np.zeros(1, int), np.zeros(64)
+
+    def lines():
+        for start, stop in text.chunks(texts, linededup.CHARACTERS):
+            linededup.Normal(texts[start:stop]).nodes()
+
+    text._values(), [text.table(kind) for kind in ("word", "letter", "digit")]
+    text._powers.cache_clear()
+    for work in (lines, lambda: langid.label(batch, "text", *model)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 24 << 20, peak
