@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,25 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def handed_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work``, after which a worker gives the memory it has freed back to the system.
+
+    Workers live on from task to task and stage to stage. Allocators keep freed memory for the next
+    request, so each worker would go on holding the most that any of its tasks took.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return run
+
+
 def in_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
@@ -34,7 +54,7 @@ def in_batches(
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(handed_back(work), schema)
 
 
 def fold(column: str, parts: int, seed: str = "") -> Column:

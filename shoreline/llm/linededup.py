@@ -302,6 +302,11 @@ def without(texts, lines):
     return pd.Series(out, dtype=object)
 
 
+# A filter on what is left would otherwise be pushed below the projection with a copy of the call: every
+# text would go to Python twice, and every task would hold two workers.
+without = without.asNondeterministic()
+
+
 def prepared(docs: DataFrame) -> DataFrame:
     """The columns that the lines come from; the version tells texts of one id apart."""
     return docs.select(

@@ -176,3 +176,11 @@ def test_kernels_take_little_memory_at_a_time():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 24 << 20, peak
+
+
+def test_texts_go_to_python_once(spark, documents):
+    rows = [(1, "one line that is long enough to count\nand another line that is"), (2, "one line that is long enough to count")]
+    left = linededup.cleaned(spark, documents(*rows))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+    assert {r.doc_id for r in left.collect()} == {1}
