@@ -69,15 +69,12 @@ def fact_sales_category(
     """Sales per user and category.
 
     A repeated ``product_id`` or ``user_id`` in a dimension multiplies the amount, as the plain
-    joins do; ``strict_keys`` turns that into an error. Staging is summed per (user, product)
-    before the first join and per (user, category) before the second, so no join input holds
-    more than one row per pair however large a user or a product is.
+    joins do; ``strict_keys`` turns that into an error. Staged rows meet one row per (product,
+    category), so none is multiplied, and are summed per (user, category) before the second join.
+    They are not summed per (user, product) first: staging seldom repeats a pair, and that would
+    shuffle all of its rows once more. A hot product is split by adaptive execution.
     """
-    per_pair = (
-        stg.select("user_id", "product_id", cleaning.price(stg, "actual_price").alias("amount"))
-        .groupBy("user_id", "product_id")
-        .agg(F.sum("amount").cast(MONEY).alias("amount"))
-    )
+    sold = stg.select("user_id", "product_id", cleaning.price(stg, "actual_price").alias("amount"))
     categories = products.groupBy("product_id", "category").agg(
         F.count(F.lit(1)).alias("repeats")
     )
@@ -93,7 +90,7 @@ def fact_sales_category(
         return (F.col(amount) * F.col(repeats).cast("decimal(18,0)")).cast(MONEY)
 
     by_category = (
-        per_pair.join(categories, "product_id")
+        sold.join(categories, "product_id")
         .groupBy("user_id", "category")
         .agg(F.sum(times("amount", "repeats")).cast(MONEY).alias("amount"))
     )

@@ -31,6 +31,7 @@ from shoreline.session import file_system, input_bytes, setting
 STORED, KEYS = "shoreline.stored", "shoreline.keys"
 PART = "__part"
 PART_BYTES = 256 << 20
+CODEC = "zstd"  # of all that is stored here: a third less than Spark's default
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -157,7 +158,7 @@ def write_stored(
     elif partition_by and gather:
         # Few files per folder; adaptive execution splits a folder that outgrows the others.
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format("parquet")
+    writer = df.write.format("parquet").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if cluster_by:
@@ -366,7 +367,7 @@ def finish(spark: SparkSession, name: str) -> None:
 def _stage(spark: SparkSession, rows: DataFrame, physical: str) -> DataFrame:
     """The rows, written first, so that their plan runs once however often they are then used."""
     path = f"{_staged(spark, physical)}/source"
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -404,7 +405,8 @@ def fold(
     touched = sorted(r[0] for r in source.select(part).distinct().collect())
     held = spark.table(physical).where(F.col(PART).isin(touched)).select(*target.columns)
     merged = merge(held, source).withColumn(PART, part)
-    merged.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(f"{staged}/rows")
+    writer = merged.hint("rebalance", PART).write.mode("overwrite").option("compression", CODEC)
+    writer.partitionBy(PART).parquet(f"{staged}/rows")
     fs, ready = file_system(spark, f"{staged}/ready")
     fs.create(ready, True).close()
     finish(spark, name)

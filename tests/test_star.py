@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -92,6 +93,14 @@ def test_facts_are_the_same_without_broadcasts(spark, star_tables, no_broadcast)
     assert rows(sales) == rows(literal_sales(spark))
 
 
+def test_staged_rows_are_shuffled_for_their_product_and_their_category_only(spark, star_tables, no_broadcast):
+    t = star_tables
+    steps = plan(star.fact_sales_category(t["stg"], t["dim_product"], t["dim_user"]))
+    exchanged = re.findall(r"hashpartitioning\(((?:\w+#\d+L?, )+)\d+\)", steps)
+    keys = {", ".join(re.findall(r"(\w+)#", columns)) for columns in exchanged}
+    assert keys == {"product_id", "product_id, category", "user_id, category", "user_id"}
+
+
 def test_strict_keys_reject_repeats_and_pass_unique_dimensions(spark, star_tables):
     t = star_tables
     strict = star.fact_sales_category(t["stg"], t["dim_product"], t["dim_user"], strict_keys=True)

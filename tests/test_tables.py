@@ -388,3 +388,12 @@ def test_rows_written_as_they_come_are_dealt_by_the_next_upsert(spark, namespace
     assert spark.table(physical).select(tables.PART).distinct().count() > 1
     kept = [(i, "a", i) for i in range(20) if i != 3]
     assert rows(tables.read_table(spark, name)) == rows(frame(spark, [*kept, (3, "b", 0), (20, "b", 1)]))
+
+
+def test_whatever_is_stored_is_compressed_by_the_same_codec(spark, namespace):
+    name = f"{namespace}.t"
+    tables.upsert(spark, spark.range(20).selectExpr("id AS k", "1 AS v"), name, ["k"], parts=2)
+    tables.upsert(spark, spark.range(5).selectExpr("id AS k", "2 AS v"), name, ["k"])
+    files = spark.table(tables.stored_table(spark, name)).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert spark.table(name).where("v = 2").count() == 5
