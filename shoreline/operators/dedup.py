@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+GROUPS = 1 << 18  # of keys, by their hash: what is broadcast has a row of a few bytes for each
+_RANKED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -43,6 +46,25 @@ def keep_latest_where_repeated(
     return alone.unionByName(keep_latest(several, keys, order_by))
 
 
+def near_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), groups: int = GROUPS) -> DataFrame:
+    """``df`` without many of the rows that ``keep_latest`` would not keep, for any number of keys.
+
+    Each key's greatest value of the first ``order_by`` column is found from these columns alone. A
+    row below the least of them in its group of keys cannot be its key's latest. The groups are few
+    enough to be broadcast, so such rows go before any row is sorted or shuffled whole. ``df`` is
+    read twice; where that column is missing or a text, it is handed back as it is.
+    """
+    if not order_by or order_by[0] in keys or not isinstance(df.schema[order_by[0]].dataType, _RANKED):
+        return df
+    first, group = F.col(order_by[0]), F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")
+    greatest = df.groupBy(*keys).agg(F.max(first).alias("_greatest"))
+    least = greatest.groupBy(group.alias("_group")).agg(
+        F.min("_greatest").alias("_least"), F.bool_or(F.col("_greatest").isNull()).alias("_none")
+    )
+    met = df.withColumn("_group", group).join(F.broadcast(least), "_group")
+    return met.where(F.col("_none") | (first >= F.col("_least"))).select(*df.columns)
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and the duplicates a dedup would drop, as one row."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoreline.operators import contracts, quality, star
 from shoreline.operators.counts import Counts
-from shoreline.operators.dedup import keep_latest, keep_latest_where_repeated, repeated_keys
+from shoreline.operators.dedup import keep_latest, keep_latest_where_repeated, near_latest, repeated_keys
 from shoreline.session import shared_folder
 from shoreline.sources import landing, tables
 
@@ -31,7 +31,8 @@ def stage(
     """Conform raw rows to the sales contract, keep one per key and upsert them.
 
     The keys are looked at first, by their hashes alone: where few repeat, all other rows go to the
-    table as they are. So ``raw`` is read more than once and must give the same rows each time.
+    table as they are, and where many do, the rows that others of their key surely outrank go first.
+    So ``raw`` is read more than once and must give the same rows each time.
     ``counts`` learns the rows that came in, in that first look, and those that were kept, while
     they are written.
     """
@@ -44,7 +45,7 @@ def stage(
     if repeated.count() <= MOST_BROADCAST:
         rows = keep_latest_where_repeated(rows, keys, order_by, repeated)
     else:
-        rows = keep_latest(rows, keys, order_by)
+        rows = keep_latest(near_latest(rows, keys, order_by), keys, order_by)
     rows = counts.passing(rows, STAGING)
     return tables.upsert(spark, rows, name, keys, unique=True, buckets=buckets, deal=False)
 

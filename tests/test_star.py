@@ -258,6 +258,39 @@ def test_rows_of_keys_that_do_not_repeat_are_staged_without_a_shuffle(spark, mon
     assert "LeftAnti" in plan(few) and "LeftAnti" not in plan(many)
 
 
+@pytest.mark.parametrize("groups", [1, 7, 1 << 18])
+def test_rows_that_others_outrank_go_before_the_dedup(spark, groups):
+    from shoreline.operators.dedup import keep_latest, near_latest
+
+    df = spark.range(3000).selectExpr(
+        "if(id % 41 = 0, NULL, id % 40) AS k", "string(id % 2) AS l",
+        "if(id % 40 = 3 OR id % 5 = 0, NULL, id div 40 % 7) AS o", "md5(string(id)) AS v",
+    )
+    near = near_latest(df, ["k", "l"], ["o", "v"], groups)
+    assert near.columns == df.columns and near.exceptAll(df).count() == 0
+    assert rows(keep_latest(near, ["k", "l"], ["o", "v"])) == rows(keep_latest(df, ["k", "l"], ["o", "v"]))
+    known = df.where("k % 5 <> 0 AND k <> 3 AND o IS NOT NULL")  # every key has rows of each value
+    assert near_latest(known, ["k"], ["o"], groups).select("o").distinct().count() == 1
+    for order in ([], ["v"], ["k"]):
+        assert near_latest(df, ["k"], order) is df
+
+
+def test_many_repeated_keys_are_staged_without_the_rows_that_others_outrank(spark, monkeypatch):
+    from shoreline.operators.contracts import SALES
+    from shoreline.plans import pipeline
+
+    given = []
+    monkeypatch.setattr(pipeline.tables, "upsert", lambda spark, rows, *args, **options: given.append(rows))
+    raw = spark.range(200).select(*[F.col("id").cast("string").alias(f.name) for f in SALES])
+    raw = raw.withColumns({"product_id": (F.col("product_id").cast("int") % 20).cast("string")})
+    for most in (pipeline.MOST_BROADCAST, 1):
+        monkeypatch.setattr(pipeline, "MOST_BROADCAST", most)
+        pipeline.stage(spark, raw, "a.b", ["product_id"], ["rating_count"])
+    few, many = given
+    assert rows(few) == rows(many) and many.count() == 20
+    assert "_least" in plan(many)
+
+
 def test_lines_meet_their_orders_before_the_long_columns_of_the_parts(spark, no_broadcast):
     from shoreline.plans import adapters
 
